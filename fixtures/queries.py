@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
+from wardloom.functions.vocabulary import Vocabulary
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.plans.run import Result, run
 from wardloom.sources.stage import fingerprint, shared_folder, stage
@@ -339,23 +340,24 @@ def places(spark, d):
 
 
 def word_pieces(spark, d):
-    out = tokens.word_pieces(read_table(spark, d, "documents"), v.vocab(spark, d), "doc_id", "text")
+    texts = read_table(spark, d, "documents", heavy=True).select("doc_id", "text")
+    out = tokens.word_pieces(texts, Vocabulary.read(v.vocab(spark, d)), "text")
     return out.select("doc_id", listed(F.col("ids")).alias("ids"))
 
 
 def encode_texts(spark, d):
     texts = v.text(spark, d).select("text").distinct()
-    out = tokens.encode_texts(texts, v.vocab(spark, d))
+    out = tokens.encode_texts(texts, Vocabulary.read(v.vocab(spark, d)), "text")
     return out.select("text", listed(F.col("tokens.id")).alias("ids"), listed(F.col("tokens.dpe")).alias("dpes"))
 
 
 def encode_events(spark, d):
     """Whole events table: one event per row, its table name and three columns as tokens, 32 at most."""
-    rows = v.ev(spark, d).withColumn("table_no", F.lit(0)).withColumn("event_no", F.col("event_id"))
-    united = units.event_units(rows, EVENT_COLUMNS).select("stay_id", "event_no", "table_no", "units")
-    out = tokens.encode_events(united, [("events", EVENT_COLUMNS)], v.vocab(spark, d), 32)
+    rows = v.ev(spark, d, heavy=True).withColumn("table_no", F.lit(0))
+    united = units.event_units(rows, EVENT_COLUMNS).select("stay_id", "event_id", "table_no", "units")
+    out = tokens.encode_events(united, [("events", EVENT_COLUMNS)], Vocabulary.read(v.vocab(spark, d)), 32)
     return out.select(
-        F.col("event_no").alias("event_id"), "stay_id",
+        "event_id", "stay_id",
         listed(F.col("ids")).alias("ids"), listed(F.col("types")).alias("types"), listed(F.col("dpes")).alias("dpes"),
     )
 

@@ -38,8 +38,8 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
-def ev(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def ev(spark: SparkSession, d: str, heavy: bool = False) -> DataFrame:
+    events = read_table(spark, d, "events", heavy=heavy).withColumn("ts", F.col("ts").cast("timestamp"))
     seconds = F.unix_seconds("ts") - EPOCH
     return events.select(
         "event_id",
@@ -192,7 +192,7 @@ FIXED_TOKENS = [("[PAD]", 0), ("[UNK]", 100), ("[CLS]", 101), ("[SEP]", 102), ("
 
 def vocab(spark: SparkSession, d: str) -> DataFrame:
     """Fixed rows, single letters, their continuations, and the 2,000 most frequent words."""
-    words = table(spark, d, "documents").select(
+    words = read_table(spark, d, "documents", heavy=True).select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("token")
     )
     top = (

@@ -36,8 +36,8 @@ def space_digits(text: Column) -> Column:
 def number_places(number: Column) -> Column:
     """Place codes of one number or run of dots: 6 for the unit digit, 7 for the tens, 4 for the tenths; dots runs get 0."""
     dot = F.instr(number, ".")
-    integer_digits = F.when(dot > 0, dot - 1).otherwise(F.length(number))
-    codes = F.transform(F.sequence(F.lit(0), F.length(number) - 1), lambda p: (UNIT_PLACE + integer_digits - p).cast("int"))
+    first = UNIT_PLACE + F.when(dot > 0, dot - 1).otherwise(F.length(number))
+    codes = F.sequence(first, first - F.length(number) + 1, F.lit(-1))
     return F.when(F.startswith(number, F.lit(".")), F.array_repeat(F.lit(0), F.length(number))).otherwise(codes)
 
 

@@ -1,11 +1,13 @@
-"""Splitting text into words the way a word-piece vocabulary expects."""
+"""Texts as words and tokens, the way a word-piece vocabulary expects them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wardloom.functions.numbers import NUMBER_OR_DOTS, number_places
+from wardloom.functions.numbers import NUMBER_OR_DOTS, number_places, round_decimals
+from wardloom.functions.vocabulary import Vocabulary
+from wardloom.spec import TokenIds
 
 # Characters that are words of their own, white space, and characters that are removed.
 IDEOGRAPHS = (
@@ -14,27 +16,43 @@ IDEOGRAPHS = (
 )
 SINGLE = rf"\p{{Punct}}\p{{P}}{IDEOGRAPHS}"
 SPACE = r"\s\p{Z}"
-REMOVED = r"[\x{0}\x{FFFD}]|[\p{Cc}\p{Cf}&&[^\t\n\r]]"
+REMOVED = r"[\p{Cc}\p{Cf}\x{FFFD}&&[^\t\n\r]]"
 
-WORD = rf"[{SINGLE}]|[^{SINGLE}{SPACE}]+"
+# runs of plain letters and digits are taken in one step, they are most of any text
+WORD = rf"(?:[0-9a-zA-Z]++|[^{SINGLE}{SPACE}])++|[{SINGLE}]"
 SEGMENT = rf"{NUMBER_OR_DOTS}|[^0-9.]+"
 
 
-def plain_words(text: Column, lower: bool = True) -> Column:
+def plain_words(text: Column) -> Column:
     """Words of ``text``; punctuation marks and ideographs stand alone."""
-    cleaned = F.regexp_replace(F.lower(text) if lower else text, REMOVED, "")
-    return F.regexp_extract_all(cleaned, F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(text, REMOVED, ""), F.lit(WORD), F.lit(0))
 
 
-def unit_words(text: Column, lower: bool = True) -> Column:
-    """Array of (word, place): every digit and dot is a word with its place code, other words have place 0."""
+def text_ids(text: Column, vocab: Vocabulary, unknown: int, lower: bool = True) -> Column:
+    """Vocabulary ids of a whole text, without special tokens."""
+    words = plain_words(F.lower(text) if lower else text)
+    return vocab.using(lambda table: F.flatten(F.transform(words, lambda w: vocab.pieces(table, w, unknown))))
 
-    def number(segment):
-        chars = F.transform(F.sequence(F.lit(1), F.length(segment)), lambda i: F.substring(segment, i, F.lit(1)))
-        return F.zip_with(chars, number_places(segment), lambda c, p: F.struct(c.alias("word"), p.alias("place")))
 
-    def other(segment):
-        return F.transform(plain_words(segment, lower), lambda w: F.struct(w.alias("word"), F.lit(0).alias("place")))
+def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool = True) -> Column:
+    """Array of (id, dpe) of a unit text: decimals are rounded, then every digit and dot is a token with its place code; the tokens
+    of other words have no place."""
 
-    segments = F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(0))
-    return F.flatten(F.transform(segments, lambda s: F.when(F.rlike(s, F.lit("^[0-9.]")), number(s)).otherwise(other(s))))
+    def number(segment):
+        return F.zip_with(
+            F.split(segment, ""),
+            number_places(segment),
+            lambda c, p: F.struct(
+                F.when(c == ".", tokens.dot).otherwise(F.ascii(c) - ord("0") + tokens.zero).alias("id"), p.alias("dpe")
+            ),
+        )
+
+    def other(table, segment):
+        ids = F.flatten(F.transform(plain_words(segment), lambda w: vocab.pieces(table, w, tokens.unknown)))
+        return F.transform(ids, lambda i: F.struct(i.alias("id"), F.lit(tokens.no_place).alias("dpe")))
+
+    segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
+    starts_number = lambda s: (s >= ".") & (s < ":") & ~F.startswith(s, F.lit("/"))
+    return vocab.using(
+        lambda table: F.flatten(F.transform(segments, lambda s: F.when(starts_number(s), number(s)).otherwise(other(table, s))))
+    )

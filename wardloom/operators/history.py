@@ -42,24 +42,33 @@ def event_limit(max_tokens: int, max_events: int | None) -> int:
     return max_tokens - 1 if max_events is None else min(max_events, max_tokens - 1)
 
 
-def cut_history(
-    events: DataFrame,
+def fit_tokens(
+    numbered: DataFrame,
     max_tokens: int,
-    max_events: int | None,
     min_events: int,
     order: Sequence[str],
     tokens: Column | None = None,
     keys: Keys = Keys(),
-    out: str = "event_no",
 ) -> DataFrame:
-    """Longest run of latest events whose tokens (each event plus its end marker, plus one start marker) fit
-    ``max_tokens``, at most ``max_events`` of them; stays left with ``min_events`` or fewer are dropped.
-
-    One window serves the numbering and the running sum, so there is one shuffle by stay.
+    """Longest run of latest events whose tokens (each event plus its end marker, plus one start marker) fit ``max_tokens``;
+    stays left with ``min_events`` or fewer are dropped. Input: events after ``latest_events``, whose shuffle and sort it shares.
     """
     size = F.size("ids") if tokens is None else tokens
-    kept = latest_events(events, event_limit(max_tokens, max_events), order, keys, out)
     running = _stay_window(keys.stay, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fitting = kept.withColumn("_used", F.sum(size + 1).over(running)).where(F.col("_used") <= max_tokens - 1)
+    fitting = numbered.withColumn("_used", F.sum(size + 1).over(running)).where(F.col("_used") <= max_tokens - 1)
     whole = fitting.withColumn("_n", F.count("*").over(Window.partitionBy(keys.stay)))
     return whole.where(F.col("_n") > min_events).drop("_used", "_n")
+
+
+def cut_history(
+    events: DataFrame,
+    max_tokens: int,
+    max_events: int | None,
+    min_events: int,
+    order: Sequence[str],
+    tokens: Column | None = None,
+    keys: Keys = Keys(),
+) -> DataFrame:
+    """At most ``max_events`` latest events of each stay, as far as they fit ``max_tokens``."""
+    latest = latest_events(events, event_limit(max_tokens, max_events), order, keys)
+    return fit_tokens(latest, max_tokens, min_events, order, tokens, keys)

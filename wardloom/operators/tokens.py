@@ -1,155 +1,83 @@
-"""Word pieces and token arrays of events.
-
-Texts repeat: a lab value or a unit occurs in very many events. So each distinct text is split once, each distinct word is
-matched against the vocabulary once, and the results are joined back.
-"""
+"""Word pieces of texts, and token arrays of events. Everything happens inside the row: no text is shuffled."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.functions.numbers import round_decimals
-from wardloom.functions.words import plain_words, unit_words
-from wardloom.spec import Keys, TokenIds
+from wardloom.functions.vocabulary import Vocabulary
+from wardloom.functions.words import text_ids, unit_tokens
+from wardloom.spec import TokenIds
 
-MAX_WORD_CHARS = 100
-IDS = "array<int>"
 TOKENS = "array<struct<id:int,type:int,dpe:int>>"
 
 
-def word_dictionary(words: DataFrame, vocab: DataFrame, unknown: int, max_chars: int = MAX_WORD_CHARS) -> DataFrame:
-    """(word, pieces) for distinct words: longest vocabulary entry first, continuations marked ``##``; a word without a complete
-    split, or longer than ``max_chars``, is the unknown token."""
-    entries = vocab.select(F.col("token"), F.col("id").cast("int").alias("id"))
-    direct = words.join(entries.withColumnRenamed("token", "word"), "word", "left")
-    open_words = direct.where("id is null").select("word")
-
-    size = F.length("word")
-    spans = (
-        open_words.where(size <= max_chars)
-        .select("word", F.explode(F.sequence(F.lit(1), size)).alias("first"))
-        .select("word", "first", F.explode(F.sequence(F.col("first"), size)).alias("last"))
-    )
-    text = F.substring("word", F.col("first"), F.col("last") - F.col("first") + 1)
-    token = F.when(F.col("first") == 1, text).otherwise(F.concat(F.lit("##"), text))
-    matches = (
-        spans.withColumn("token", token)
-        .join(entries, "token")
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_list(F.struct("first", (-F.col("last")).alias("minus_last"), "id"))).alias("spans"))
-    )
-    # sorted by start, longest first: the first span that starts where the previous piece ended is the greedy choice
-    step = F.aggregate(
-        "spans",
-        F.struct(F.lit(1).alias("next"), F.array().cast(IDS).alias("pieces")),
-        lambda acc, s: F.when(
-            s["first"] == acc["next"],
-            F.struct((1 - s["minus_last"]).alias("next"), F.concat(acc["pieces"], F.array(s["id"])).alias("pieces")),
-        ).otherwise(acc),
-    )
-    pieced = matches.withColumn("_walk", step).where(F.col("_walk.next") == size + 1).select("word", F.col("_walk.pieces").alias("_pieces"))
-    return direct.join(pieced, "word", "left").select(
-        "word", F.coalesce(F.when(F.col("id").isNotNull(), F.array("id")), "_pieces", F.array(F.lit(unknown))).alias("pieces")
-    )
-
-
 def word_pieces(
-    texts: DataFrame, vocab: DataFrame, key: str, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "ids"
+    texts: DataFrame, vocab: Vocabulary, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "ids"
 ) -> DataFrame:
-    """(key, ids): whole texts as vocabulary ids, without special tokens.
+    """Add the vocabulary ids of whole texts."""
+    return texts.withColumn(out, text_ids(F.col(text), vocab, tokens.unknown, lower))
 
-    A word that repeats in a text travels once with its positions, so a very common word adds one row per text.
-    """
-    found = texts.select(key, F.posexplode(plain_words(F.col(text), lower)).alias("pos", "word"))
-    places = found.groupBy(key, "word").agg(F.collect_list("pos").alias("places"))
-    pieces = word_dictionary(places.select("word").distinct(), vocab, tokens.unknown)
-    per_text = (
-        places.join(pieces, "word")
-        .groupBy(key)
-        .agg(F.collect_list(F.struct("places", "pieces")).alias("_words"))
-    )
-    placed = F.flatten(F.transform("_words", lambda w: F.transform(w["places"], lambda p: F.struct(p.alias("p"), w["pieces"].alias("pieces")))))
-    ids = F.flatten(F.transform(F.sort_array(placed), lambda w: w["pieces"]))
-    encoded = per_text.select(key, ids.alias(out))
-    return texts.select(key).join(encoded, key, "left").withColumn(out, F.coalesce(out, F.array().cast(IDS)))
-
-
-def encode_texts(texts: DataFrame, vocab: DataFrame, tokens: TokenIds = TokenIds(), lower: bool = True) -> DataFrame:
-    """(text, tokens) for distinct unit texts; a token is (id, dpe). Decimals are rounded, digits and dots stand alone."""
-    words = texts.select("text", F.posexplode_outer(unit_words(round_decimals(F.col("text")), lower)).alias("pos", "w"))
-    flat = words.select("text", "pos", F.col("w.word").alias("word"), F.col("w.place").alias("place"))
-    pieces = word_dictionary(flat.select("word").where("word is not null").distinct(), vocab, tokens.unknown)
-    joined = flat.join(pieces, "word", "left")
-    parts = F.sort_array(F.collect_list(F.struct("pos", "place", F.coalesce("pieces", F.array().cast(IDS)).alias("pieces"))))
-    token = F.flatten(
-        F.transform(parts, lambda w: F.transform(w["pieces"], lambda i: F.struct(i.alias("id"), w["place"].alias("dpe"))))
-    )
-    return joined.groupBy("text").agg(token.alias("tokens"))
 
+def encode_texts(
+    texts: DataFrame, vocab: Vocabulary, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "tokens"
+) -> DataFrame:
+    """Add the (id, dpe) tokens of unit texts."""
+    return texts.withColumn(out, unit_tokens(F.col(text), vocab, tokens, lower))
 
-def _typed(tokens, type_id: int):
-    return F.transform(tokens, lambda t: F.struct(t["id"].alias("id"), F.lit(type_id).alias("type"), t["dpe"].alias("dpe")))
 
+def _typed(items: Column, type_id: int) -> Column:
+    return F.transform(items, lambda t: F.struct(t["id"].alias("id"), F.lit(type_id).alias("type"), t["dpe"].alias("dpe")))
 
-def _labels(events: DataFrame, heads: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """(table_no, pos, text) of table names (pos -1) and column names: as many rows as the schemas have columns."""
-    rows = [(n, p, text) for n, (table, columns) in enumerate(heads) for p, text in enumerate([table, *columns], start=-1)]
-    structs = [F.struct(F.lit(n).alias("table_no"), F.lit(p).alias("pos"), F.lit(t).alias("text")) for n, p, t in rows]
-    return events.sparkSession.range(1).select(F.inline(F.array(*structs)))
+
+def _heads(events: DataFrame, heads: Sequence[tuple[str, Sequence[str]]], vocab: Vocabulary, tokens: TokenIds, lower: bool) -> DataFrame:
+    """(table_no, table_tokens, name_tokens): one row per event table, its name and its columns as tokens."""
+    rows = [
+        F.struct(F.lit(n).alias("table_no"), F.lit(table).alias("table"), F.array(*map(F.lit, columns)).alias("columns"))
+        for n, (table, columns) in enumerate(heads)
+    ]
+    return events.sparkSession.range(1).select(F.inline(F.array(*rows))).select(
+        "table_no",
+        _typed(unit_tokens(F.col("table"), vocab, tokens, lower), tokens.table_type).cast(TOKENS).alias("_table"),
+        F.transform("columns", lambda c: _typed(unit_tokens(c, vocab, tokens, lower), tokens.column_type)).alias("_names"),
+    )
 
 
 def encode_events(
     events: DataFrame,
     heads: Sequence[tuple[str, Sequence[str]]],
-    vocab: DataFrame,
+    vocab: Vocabulary,
     max_event_tokens: int,
     tokens: TokenIds = TokenIds(),
     lower: bool = True,
-    keys: Keys = Keys(),
-    event_key: str = "event_no",
 ) -> DataFrame:
-    """Add ``ids``, ``types`` and ``dpes``: table name, then (column, value) units while they fit the event limit.
+    """Replace ``units`` by ``ids``, ``types`` and ``dpes``: table name, then (column, value) units while they fit.
 
-    ``events`` has ``units`` from ``event_units``, ``table_no`` into ``heads`` (table name, column names), and
-    (stay, ``event_key``) is unique. The first unit that would pass the limit (two places stay free for the markers) ends the event.
+    ``events`` has ``units`` from ``event_units`` and ``table_no`` into ``heads`` (table name, column names). The first unit that
+    would pass the limit (two places stay free for the markers) ends the event. Rows stay where they are.
     """
-    carried = [c for c in events.columns if c != "units"]
-    values = events.select(F.explode("units.value").alias("text")).distinct()
-    dictionary = encode_texts(values, vocab, tokens, lower).select(F.col("text").alias("value"), F.col("tokens").alias("value_tokens"))
-
-    labels = _labels(events, heads)
-    label_tokens = labels.join(encode_texts(labels.select("text").distinct(), vocab, tokens, lower), "text")
-    # bounded by the number of columns of the source's event tables
-    names = F.broadcast(label_tokens.where("pos >= 0").select("table_no", "pos", F.col("tokens").alias("name_tokens")))
-    tables = F.broadcast(label_tokens.where("pos = -1").select("table_no", F.col("tokens").alias("table_tokens")))
-
-    single = events.select(*carried, F.explode_outer("units").alias("u")).select(
-        *carried, F.col("u.pos").alias("pos"), F.col("u.value").alias("value")
-    )
-    unit = F.struct("pos", _typed(F.col("name_tokens"), tokens.column_type).alias("name"), _typed(F.col("value_tokens"), tokens.value_type).alias("value"))
-    # one shuffle by stay serves this grouping and the per-stay steps after it
-    whole = (
-        single.join(dictionary, "value", "left")
-        .join(names, ["table_no", "pos"], "left")
-        .repartition(keys.stay)
-        .groupBy(*carried)
-        .agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), unit))).alias("_units"))
-        .join(tables, "table_no")
+    # one row per event table of the source
+    known = F.broadcast(_heads(events, heads, vocab, tokens, lower))
+    pairs = F.transform(
+        "units",
+        lambda u: F.concat(
+            F.get(F.col("_names"), u["pos"]), _typed(unit_tokens(u["value"], vocab, tokens, lower), tokens.value_type)
+        ),
     )
     room = max_event_tokens - 2
     grown = F.aggregate(
-        "_units",
-        F.struct(_typed(F.col("table_tokens"), tokens.table_type).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
-        lambda acc, u: F.when(
-            ~acc["full"] & (F.size(acc["tokens"]) + F.size(u["name"]) + F.size(u["value"]) <= room),
-            F.struct(F.concat(acc["tokens"], u["name"], u["value"]).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
+        pairs,
+        F.struct(F.col("_table").alias("tokens"), F.lit(False).alias("full")),
+        lambda acc, pair: F.when(
+            ~acc["full"] & (F.size(acc["tokens"]) + F.size(pair) <= room),
+            F.struct(F.concat(acc["tokens"], pair).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
         ).otherwise(F.struct(acc["tokens"].alias("tokens"), F.lit(True).alias("full"))),
         lambda acc: acc["tokens"],
     )
-    return whole.withColumn("_tokens", grown).select(
+    carried = [c for c in events.columns if c != "units"]
+    return events.join(known, "table_no").select(*carried, grown.alias("_tokens")).select(
         *carried,
         F.col("_tokens.id").alias("ids"),
         F.col("_tokens.type").alias("types"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardloom.functions.vocabulary import Vocabulary
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.sources import stage, tables
 from wardloom.spec import DiagnosisSpec, EventTableSpec, Keys, Params, SourceSpec, TokenIds
@@ -186,7 +187,8 @@ def run(
     reuse: str | None = None,
 ) -> Result:
     """Run all steps. ``reuse`` names the input snapshot: with it, finished stages of the same spec and parameters are read
-    instead of computed again. Three tables are written on the way, so the raw events are scanned once."""
+    instead of computed again. Cohort and tokens are written on the way; the raw events are scanned once
+    and move once, to their stay."""
     key = stage.fingerprint(reuse, spec, params, token_ids, lower)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -207,12 +209,9 @@ def run(
         heads.append((table.name.rsplit("/", 1)[-1], columns))
     # earlier events cannot survive the cut, so they are never encoded
     limit = history.event_limit(params.max_stay_tokens, params.max_events)
-    latest = keep(history.latest_events(units.union_events(per_table), limit, ORDER, keys), "events")
-
-    encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, keys)
-    kept = keep(
-        history.cut_history(encoded, params.max_stay_tokens, params.max_events, params.min_events, ORDER, keys=keys), "tokens"
-    )
+    latest = history.latest_events(units.union_events(per_table), limit, ORDER, keys)
+    encoded = tokens.encode_events(latest, heads, Vocabulary.read(vocab), params.max_event_tokens, token_ids, lower)
+    kept = keep(history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys), "tokens")
     packed = packing.pack_stays(kept, params.max_event_tokens, params.max_stay_tokens, token_ids, keys)
     active = kept.select(keys.stay).distinct()
     chosen = dataset.split_patients(dataset.keep_active(stays, active, keys), params.seeds, params.valid_percent, keys)

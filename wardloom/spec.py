@@ -69,6 +69,8 @@ class TokenIds:
     end_type: int = 6
     no_place: int = 0
     pad: int = 0
+    zero: int = 121  # ids of the digits 0 to 9 follow each other
+    dot: int = 119
     unknown: int = 100
     start: int = 101
     end: int = 102
