@@ -104,5 +104,6 @@ def _ordered(names, seen):
 def with_views(*names: str, extra: dict[str, str] | None = None, select: str, recursive: bool = False) -> str:
     """``select`` with the named views (and what they need) and extra steps in front of it."""
     parts = _ordered(names, {}) | (extra or {})
-    head = ",\n".join(f"{n} AS ({sql.strip()})" for n, sql in parts.items())
+    # each step is computed once; only the recursive one ("walk") must stay inline
+    head = ",\n".join(f"{n} AS {'' if n == 'walk' else 'MATERIALIZED '}({sql.strip()})" for n, sql in parts.items())
     return f"WITH {'RECURSIVE ' if recursive else ''}{head}\n{select.strip()}"

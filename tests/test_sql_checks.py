@@ -1,0 +1,19 @@
+"""Every registered query against its SQL check on the given tables."""
+
+import pytest
+
+from fixtures import compare, oracle, queries
+
+
+@pytest.fixture(scope="module")
+def con(small):
+    return compare.connect(small)
+
+
+@pytest.mark.parametrize("name", sorted(oracle.registered()))
+def test_matches_sql(spark, small, con, name):
+    assert compare.differences(queries.registered()[name](spark, small), con, oracle.registered()[name]) == []
+
+
+def test_every_check_has_a_query():
+    assert set(oracle.registered()) <= set(queries.registered())
