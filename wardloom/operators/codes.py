@@ -33,13 +33,13 @@ def _back_off(unmapped: DataFrame, mapping: DataFrame) -> DataFrame:
         .agg(F.max_by("prefix", F.length("prefix")).alias("prefix"))
     )
     needed = longest.select("prefix").distinct()
+    # counted before the join: a short prefix covers very many codes, but few distinct targets
     votes = (
-        mapping.where(F.length("source") > 0)
+        mapping.where((F.length("source") > 0) & F.col("target").isNotNull())
         .select(F.explode(_prefixes(F.col("source"))).alias("prefix"), "target")
-        .join(needed, "prefix", "left_semi")
-        .where("target is not null")
         .groupBy("prefix", "target")
         .agg(F.count("*").alias("n"))
+        .join(needed, "prefix", "left_semi")
     )
     first = Window.partitionBy("prefix").orderBy(F.col("n").desc(), F.col("target").asc())
     winner = votes.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("prefix", F.col("target").alias("backed"))
@@ -63,12 +63,13 @@ def crosswalk_codes(codes: DataFrame, mapping: DataFrame, backoff: bool = False)
 def convert_versions(
     diagnoses: DataFrame, mapping: DataFrame, code: str, version: str, backoff: bool = False
 ) -> DataFrame:
-    """Add ``converted``: version 9 codes stay, version 10 codes go through the crosswalk."""
-    modern = F.col(version).cast("string").try_cast("int") == 10
-    walk = crosswalk_codes(diagnoses.where(modern).select(F.col(code).alias("code")), mapping, backoff)
-    key = F.when(modern, F.col(code))
-    joined = diagnoses.withColumn("code_10", key).join(walk.withColumnRenamed("code", "code_10"), "code_10", "left")
-    return joined.withColumn("converted", F.when(modern, F.col("converted")).otherwise(F.col(code))).drop("code_10")
+    """Add ``converted``: version 9 codes stay, version 10 codes go through the crosswalk. The two parts are kept apart, so
+    that old codes do not all travel to the join as one null key."""
+    is_modern = F.coalesce(F.col(version).cast("string").try_cast("int") == 10, F.lit(False))
+    modern, old = diagnoses.where(is_modern), diagnoses.where(~is_modern)
+    walk = crosswalk_codes(modern.select(F.col(code).alias("code")), mapping, backoff).withColumnRenamed("code", code)
+    walked = modern.join(walk, code, "left").select(*diagnoses.columns, "converted")
+    return walked.unionByName(old.withColumn("converted", F.col(code)))
 
 
 def label_code_set(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.functions.times import instant
@@ -15,6 +15,10 @@ from wardloom.spec import ExclusionRule, Keys
 FIRST = "first_excl"
 
 
+def _any(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])
+
+
 def first_exclusion(
     tables: Mapping[str, DataFrame], rules: Iterable[ExclusionRule], key: str, unit: str = "abs", stay: str | None = None
 ) -> DataFrame:
@@ -25,20 +29,20 @@ def first_exclusion(
     by_table = groupby(sorted(rules, key=lambda r: (r.table, r.time)), key=lambda r: (r.table, r.time))
     parts = []
     for (table, time), group in by_table:
-        df, tests = tables[table], []
-        for rule in group:
+        group = list(group)
+        # the items are tested at the scan; only the few rows left meet the stays of a restricted rule
+        hits = tables[table].where(_any([F.expr(r.predicate) for r in group]))
+        tests = []
+        for n, rule in enumerate(group):
             test = F.expr(rule.predicate)
             if rule.only_stays:
-                allowed, where = rule.only_stays
-                # flag the row instead of a second scan; the key is distinct on the right, so rows stay single
-                flag = f"_allowed_{len(tests)}"
-                selected = tables[allowed].where(where).select(F.col(stay)).distinct().withColumn(flag, F.lit(True))
-                df = df.join(selected, stay, "left")
-                test = test & F.col(flag)
+                name, where = rule.only_stays
+                allowed = tables[name].where(where).select(stay).distinct().withColumn(f"_allowed_{n}", F.lit(True))
+                hits = hits.join(allowed, stay, "left")
+                test = test & F.col(f"_allowed_{n}")
             tests.append(test)
-        at = instant(df, time) if unit == "abs" else F.col(time).try_cast("int")
-        hits = df.where(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)), tests))
-        parts.append(hits.select(key, at.alias(FIRST)))
+        at = instant(hits, time) if unit == "abs" else F.col(time).try_cast("int")
+        parts.append(hits.where(_any(tests)).select(key, at.alias(FIRST)))
     return reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.min(FIRST).alias(FIRST))
 
 

@@ -46,11 +46,13 @@ def label_measurement(
 ) -> DataFrame:
     """Cohort plus one integer column per task (null without a measurement in the window).
 
-    All tasks share one scan, one join and one aggregation. The exclusion time is carried by the cohort row, so the
-    large lab table is not joined a second time.
+    All tasks share one scan, one join and one aggregation. With absolute times the exclusion time is carried by the cohort
+    row, so the large lab table is not joined a second time. With offsets the values are summed per stay, item and minute
+    before they meet the exclusions, so a stay with very many values is small by then.
     """
     first, last = (obs + gap) * 60, (obs + pred) * 60
     rows = _task_values(labs, lab, tasks)
+    value = F.col(lab.value).try_cast("double")
     has_exclusion = exclusions is not None and any(t.before_exclusion for t in tasks)
     # the reference point of the window is the stay; only the columns the window needs travel into the join
     if lab.unit == "abs":
@@ -62,7 +64,7 @@ def label_measurement(
         start = F.unix_seconds("intime")
         earliest, latest = second_bounds(first, last)
         points = rows.select(
-            F.col(key), "_item", F.col(lab.value).try_cast("double").alias("_value"), instant(rows, lab.time).alias("_at")
+            F.col(key), "_item", value.alias("_sum"), value.isNotNull().cast("long").alias("_count"), instant(rows, lab.time).alias("_at")
         )
         matched = join_points_to_spans(
             points, spans, key, F.unix_seconds("_at"), start + earliest, start + latest, max((pred - gap) * 3600, 3600)
@@ -70,17 +72,17 @@ def label_measurement(
     else:
         # minute offsets need no join to find the window; the filter runs at the scan
         at = F.col(lab.time).try_cast("int")
-        matched = rows.where(at.between(first, last)).select(
-            F.col(keys.stay), "_item", F.col(lab.value).try_cast("double").alias("_value"), at.alias("_at")
-        )
+        inside = rows.where(at.between(first, last)).select(F.col(keys.stay), "_item", value.alias("_value"), at.alias("_at"))
+        matched = inside.groupBy(keys.stay, "_item", "_at").agg(F.sum("_value").alias("_sum"), F.count("_value").alias("_count"))
         if has_exclusion:
             matched = matched.join(exclusions.select(exclusion_key, FIRST), exclusion_key, "left")
-    means = []
+    columns = []
     for t in tasks:
         use = F.col("_item").isin(list(t.items))
         if t.before_exclusion and has_exclusion:
             use = use & (F.col(FIRST).isNull() | (F.col(FIRST) > F.col("_at")))
-        means.append(F.avg(F.when(use, F.col("_value"))).alias(t.name))
-    per_stay = matched.groupBy(keys.stay).agg(*means)
+        mean = F.try_divide(F.sum(F.when(use, F.col("_sum"))), F.sum(F.when(use, F.col("_count"))))
+        columns.append(mean.alias(t.name))
+    per_stay = matched.groupBy(keys.stay).agg(*columns)
     labels = per_stay.select(keys.stay, *[binned(F.col(t.name), t.rule).alias(t.name) for t in tasks])
     return cohort.join(labels, keys.stay, "left")

@@ -152,6 +152,10 @@ def label_measurements(stays, inputs, spec, params, keys) -> DataFrame:
     return out
 
 
+def _event_limit(params: Params) -> int:
+    return history.event_limit(params.max_stay_tokens, params.max_events)
+
+
 def observed_events(
     inputs: Mapping[str, DataFrame], table: EventTableSpec, spec: SourceSpec, stays: DataFrame, params: Params, keys: Keys
 ) -> tuple[DataFrame, list[str]]:
@@ -167,9 +171,10 @@ def observed_events(
     if table.unit == "abs":
         seen = attach.observation_window(attach.attach_observed(rows, stays, table.time, params.obs, keys), params.obs, "abs", table.time)
     else:
-        # the offset needs no stay row, so the window is a filter at the scan
+        # the offset needs no stay row: window and limit come first, and a long stay is short before the join
         inside = attach.observation_window(rows, params.obs, "min", table.time)
-        seen = inside.join(stays.select(keys.stay), keys.stay, "left_semi")
+        latest = history.latest_events(inside, _event_limit(params), ("time_min", "row_key"), keys).drop("event_no")
+        seen = latest.join(stays.select(keys.stay), keys.stay, "left_semi")
     texts = {code: inputs[name] for code, (name, _) in table.descriptions.items()}
     described = attach.describe_codes(seen, texts) if texts else seen
     return units.event_units(described, columns).select(keys.stay, "time_min", "row_key", "units"), columns
@@ -187,7 +192,7 @@ def run(
     reuse: str | None = None,
 ) -> Result:
     """Run all steps. ``reuse`` names the input snapshot: with it, finished stages of the same spec and parameters are read
-    instead of computed again. Cohort and tokens are written on the way; the raw events are scanned once
+    instead of computed again. Stays, labelled cohort and tokens are written on the way; the raw events are scanned once
     and move once, to their stay."""
     key = stage.fingerprint(reuse, spec, params, token_ids, lower)
 
@@ -195,7 +200,8 @@ def run(
         return stage.stage(df, f"{spec.name}-{name}", key) if reuse else stage.cut_lineage(df)
 
     stays, keys = build_cohort(inputs, spec, params)
-    stays, dictionaries = label_outcomes(stays, params)
+    # every label reads the cohort again, so it is written once
+    stays, dictionaries = label_outcomes(keep(stays, "stays"), params)
     if params.diagnosis:
         stays = label_diagnosis(stays, inputs, spec, params, categories, crosswalk, keys)
     if params.measurements:
@@ -208,8 +214,7 @@ def run(
         per_table.append(events)
         heads.append((table.name.rsplit("/", 1)[-1], columns))
     # earlier events cannot survive the cut, so they are never encoded
-    limit = history.event_limit(params.max_stay_tokens, params.max_events)
-    latest = history.latest_events(units.union_events(per_table), limit, ORDER, keys)
+    latest = history.latest_events(units.union_events(per_table), _event_limit(params), ORDER, keys)
     encoded = tokens.encode_events(latest, heads, Vocabulary.read(vocab), params.max_event_tokens, token_ids, lower)
     kept = keep(history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys), "tokens")
     packed = packing.pack_stays(kept, params.max_event_tokens, params.max_stay_tokens, token_ids, keys)
