@@ -16,7 +16,7 @@ FIRST = "first_excl"
 
 
 def _any(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])
+    return reduce(lambda a, b: a | b, tests)
 
 
 def first_exclusion(

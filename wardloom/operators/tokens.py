@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardloom.functions.vocabulary import Vocabulary
@@ -32,17 +32,16 @@ def _typed(items: Column, type_id: int) -> Column:
     return F.transform(items, lambda t: F.struct(t["id"].alias("id"), F.lit(type_id).alias("type"), t["dpe"].alias("dpe")))
 
 
-def _heads(events: DataFrame, heads: Sequence[tuple[str, Sequence[str]]], vocab: Vocabulary, tokens: TokenIds, lower: bool) -> DataFrame:
-    """(table_no, table_tokens, name_tokens): one row per event table, its name and its columns as tokens."""
-    rows = [
-        F.struct(F.lit(n).alias("table_no"), F.lit(table).alias("table"), F.array(*map(F.lit, columns)).alias("columns"))
-        for n, (table, columns) in enumerate(heads)
-    ]
-    return events.sparkSession.range(1).select(F.inline(F.array(*rows))).select(
-        "table_no",
-        _typed(unit_tokens(F.col("table"), vocab, tokens, lower), tokens.table_type).cast(TOKENS).alias("_table"),
-        F.transform("columns", lambda c: _typed(unit_tokens(c, vocab, tokens, lower), tokens.column_type)).alias("_names"),
+def _heads(spark: SparkSession, heads: Sequence[tuple[str, Sequence[str]]], vocab: Vocabulary, tokens: TokenIds, lower: bool) -> Column:
+    """Per event table its name and its column names as tokens. They are encoded once, and as there are only as many as the
+    source has event columns, the result is a constant of the plan."""
+    rows = [F.struct(F.lit(table).alias("table"), F.array(*map(F.lit, columns)).alias("columns")) for table, columns in heads]
+    encoded = spark.range(1).select(F.inline(F.array(*rows))).select(
+        _typed(unit_tokens(F.col("table"), vocab, tokens, lower), tokens.table_type).alias("table"),
+        F.transform("columns", lambda c: _typed(unit_tokens(c, vocab, tokens, lower), tokens.column_type)).alias("names"),
     )
+    known = encoded.agg(F.to_json(F.collect_list(F.struct("table", "names")))).first()[0]
+    return F.from_json(F.lit(known), f"array<struct<table:{TOKENS},names:array<{TOKENS}>>>")
 
 
 def encode_events(
@@ -58,26 +57,27 @@ def encode_events(
     ``events`` has ``units`` from ``event_units`` and ``table_no`` into ``heads`` (table name, column names). The first unit that
     would pass the limit (two places stay free for the markers) ends the event. Rows stay where they are.
     """
-    # one row per event table of the source
-    known = F.broadcast(_heads(events, heads, vocab, tokens, lower))
-    pairs = F.transform(
-        "units",
-        lambda u: F.concat(
-            F.get(F.col("_names"), u["pos"]), _typed(unit_tokens(u["value"], vocab, tokens, lower), tokens.value_type)
-        ),
-    )
+    known = _heads(events.sparkSession, heads, vocab, tokens, lower)
     room = max_event_tokens - 2
-    grown = F.aggregate(
-        pairs,
-        F.struct(F.col("_table").alias("tokens"), F.lit(False).alias("full")),
-        lambda acc, pair: F.when(
-            ~acc["full"] & (F.size(acc["tokens"]) + F.size(pair) <= room),
-            F.struct(F.concat(acc["tokens"], pair).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
-        ).otherwise(F.struct(acc["tokens"].alias("tokens"), F.lit(True).alias("full"))),
-        lambda acc: acc["tokens"],
-    )
+
+    def grown(head: Column) -> Column:
+        pairs = F.transform(
+            "units",
+            lambda u: F.concat(head["names"][u["pos"]], _typed(unit_tokens(u["value"], vocab, tokens, lower), tokens.value_type)),
+        )
+        return F.aggregate(
+            pairs,
+            F.struct(head["table"].cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
+            lambda acc, pair: F.when(
+                ~acc["full"] & (F.size(acc["tokens"]) + F.size(pair) <= room),
+                F.struct(F.concat(acc["tokens"], pair).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
+            ).otherwise(F.struct(acc["tokens"].alias("tokens"), F.lit(True).alias("full"))),
+            lambda acc: acc["tokens"],
+        )
+
     carried = [c for c in events.columns if c != "units"]
-    return events.join(known, "table_no").select(*carried, grown.alias("_tokens")).select(
+    encoded = F.transform(F.array(known[F.col("table_no")]), grown)[0]
+    return events.select(*carried, encoded.alias("_tokens")).select(
         *carried,
         F.col("_tokens.id").alias("ids"),
         F.col("_tokens.type").alias("types"),

@@ -165,8 +165,11 @@ def observed_events(
     excluded = [common.get(c, c) for c in table.exclude]
     skip = [*excluded, keys.stay, keys.admission, *([table.time] if table.unit == "abs" else [])]
     columns = units.feature_columns(rows.columns, skip)
-    # ties in time are broken by the row's own key, or by its content
-    rows = rows.withColumn("row_key", F.xxhash64(*(table.row_key or sorted(rows.columns))))
+    # ties in time are broken by the row's own number, or by its content
+    row_key = F.xxhash64(*(table.row_key or sorted(rows.columns)))
+    if len(table.row_key) == 1:
+        row_key = F.coalesce(F.col(table.row_key[0]).cast("string").try_cast("long"), row_key)
+    rows = rows.withColumn("row_key", row_key)
     rows = rows.select(*dict.fromkeys([*[k for k in (keys.stay, keys.admission) if k in rows.columns], table.time, "row_key", *columns]))
     if table.unit == "abs":
         seen = attach.observation_window(attach.attach_observed(rows, stays, table.time, params.obs, keys), params.obs, "abs", table.time)
