@@ -125,7 +125,7 @@ def star_stays(spark: SparkSession, d: str) -> DataFrame:
 
 def star_ev(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("hadm_id"))
-    lines = table(spark, d, "lineitem").select(
+    lines = read_table(spark, d, "lineitem", heavy=True).select(
         "l_orderkey",
         F.col("l_shipdate").cast("timestamp").alias("charttime"),
         (F.col("l_partkey") + F.col("l_linenumber")).alias("itemid"),
@@ -231,4 +231,4 @@ def text(spark: SparkSession, d: str) -> DataFrame:
         F.lit("dose "), F.col("l_linenumber").cast("string"), F.lit("."), F.lpad(F.col("l_partkey").cast("string"), 6, "0"),
         F.lit(" mg x"), F.col("l_suppkey").cast("string"),
     )
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", whole.alias("text"))
+    return read_table(spark, d, "lineitem", heavy=True).select("l_orderkey", "l_linenumber", "l_partkey", whole.alias("text"))

@@ -35,10 +35,7 @@ def read_table(
     that much work per row follows, so a scan with too few tasks is spread first; compressed CSV always is.
     """
     path = find_table(spark, root, name)
-    if path.endswith(".parquet"):
-        df = spark.read.parquet(path)
-    else:
-        df = spark.read.option("header", True).option("escape", '"').csv(path)
+    df = _scan(spark, path)
     if heavy or path.endswith(".gz"):
         df = spread(df)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -48,9 +45,15 @@ def read_table(
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    if path.endswith(".parquet"):
+        return spark.read.parquet(path)
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
 def in_file_order(spark: SparkSession, path: str) -> DataFrame:
-    """CSV rows with ``ord``, which grows in file order: path, block, then position in the block."""
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    """Rows with ``ord``, which grows in file order: path, block, then position in the block."""
+    df = _scan(spark, path)
     position = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
     return df.select("*", position.alias("ord"))
 
