@@ -46,14 +46,11 @@ SELECT stay_id, hadm_id, los, age FROM fx_compat
 WHERE los >= 2.0 AND age BETWEEN 18 AND 80 AND first_unit = last_unit""",
 )
 
-READMISSION = with_views(
-    "fx_compat",
-    extra=COHORT,
-    select="""
+READMISSION_SELECT = """
 SELECT stay_id, hadm_id,
        CASE WHEN row_number() OVER (PARTITION BY hadm_id ORDER BY intime DESC, stay_id) = 1 THEN 0 ELSE 1 END AS readmission
-FROM coh""",
-)
+FROM coh"""
+READMISSION = with_views("fx_compat", extra=COHORT, select=READMISSION_SELECT)
 
 FIRST_STAY = with_views(
     "fx_compat",
@@ -90,16 +87,10 @@ ACUITY_TEXT = """SELECT stay_id, CASE WHEN in_icu_mortality THEN 'IN_ICU_MORTALI
        WHEN hos_discharge_location = 'Death' THEN 'IN_HOSPITAL_MORTALITY' ELSE hos_discharge_location END AS name FROM coh"""
 ACUITY = with_views("fx_compat", extra=COHORT | {"texts": ACUITY_TEXT}, select=CLASSED.format(out="final_acuity"))
 
-DISCHARGE = with_views(
-    "fx_compat",
-    extra=COHORT
-    | {
-        "texts": f"""SELECT stay_id, CASE WHEN coalesce(dischtime_min BETWEEN {(OBS + GAP) * 60} AND {(OBS + PRED) * 60}, false)
+DISCHARGE_TEXT = f"""SELECT stay_id, CASE WHEN coalesce(dischtime_min BETWEEN {(OBS + GAP) * 60} AND {(OBS + PRED) * 60}, false)
        THEN CASE WHEN in_icu_mortality OR hos_discharge_location = 'Death' THEN 'Death' ELSE hos_discharge_location END
        ELSE 'No Discharge' END AS name FROM coh"""
-    },
-    select=CLASSED.format(out="imminent_discharge"),
-)
+DISCHARGE = with_views("fx_compat", extra=COHORT | {"texts": DISCHARGE_TEXT}, select=CLASSED.format(out="imminent_discharge"))
 
 CLASSES = with_views(
     "fx_compat",
@@ -193,19 +184,19 @@ RISING = "CASE WHEN {v} < 15 THEN 0 WHEN {v} < 30 THEN 1 WHEN {v} < 60 THEN 2 WH
 FALLING = "CASE WHEN {v} >= 100 THEN 0 WHEN {v} >= 60 THEN 1 WHEN {v} >= 30 THEN 2 WHEN {v} >= 10 THEN 3 WHEN {v} < 10 THEN 4 END"
 BANDED = "CASE WHEN {v} < 20 THEN 0 WHEN {v} <= 80 THEN 1 WHEN {v} > 80 THEN 2 END"
 MINUTE = "round((epoch_us({t}) // 1000000 - epoch_us(intime) // 1000000) / 60.0)"
-MEASURED = with_views(
-    "fx_compat",
-    "fx_labs",
-    "fx_excl",
-    extra=COHORT
-    | {
-        "inside": f"""SELECT c.stay_id, l.itemid, l.valuenum, e.first_excl IS NULL OR e.first_excl > l.charttime AS clean
+MEASURED_STEPS = {
+    "inside": f"""SELECT c.stay_id, l.itemid, l.valuenum, e.first_excl IS NULL OR e.first_excl > l.charttime AS clean
 FROM coh c JOIN fx_labs l USING (hadm_id) LEFT JOIN fx_excl e ON e.patient_id = c.patient_id
 WHERE {MINUTE.format(t='charttime')} BETWEEN {(OBS + GAP) * 60} AND {(OBS + PRED) * 60}""",
-        "means": """SELECT stay_id, avg(valuenum) FILTER (itemid = 'purchase') AS a, avg(valuenum) FILTER (itemid = 'view') AS b,
+    "means": """SELECT stay_id, avg(valuenum) FILTER (itemid = 'purchase') AS a, avg(valuenum) FILTER (itemid = 'view') AS b,
        avg(valuenum) FILTER (itemid = 'click') AS c, avg(valuenum) FILTER (itemid = 'signup' AND clean) AS d
 FROM inside GROUP BY stay_id""",
-    },
+}
+MEASURED = with_views(
+    "fx_compat",
+    "fx_labs",
+    "fx_excl",
+    extra=COHORT | MEASURED_STEPS,
     select=f"""
 SELECT stay_id, {RISING.format(v='a')} AS rising, {FALLING.format(v='b')} AS falling, {BANDED.format(v='c')} AS banded,
        {RISING.format(v='d')} AS untreated
@@ -535,6 +526,95 @@ FROM longest""",
 )
 
 
+# --- whole run --------------------------------------------------------------------------------------------------
+
+MONTH, HALF_MONTH, EPOCH = 2592000, 1296000, 1704067200
+RUN_TOKENS, RUN_EVENTS, RUN_EVENT_TOKENS = 512, 64, 32
+
+
+def unit_texts(table_no: int, table: str, columns: dict[str, str]) -> str:
+    rows = [f"SELECT eid, -1 AS pos, 1 AS type, '{table}' AS text FROM latest WHERE table_no = {table_no}"]
+    for pos, (name, value) in enumerate(columns.items()):
+        at = f"FROM latest WHERE table_no = {table_no} AND {value} IS NOT NULL"
+        rows += [f"SELECT eid, {pos}, 2, '{name}' {at}", f"SELECT eid, {pos}, 3, CAST({value} AS VARCHAR) {at}"]
+    return "\nUNION ALL ".join(rows)
+
+
+OBSERVED = f"""
+SELECT stay_id, CAST({MINUTE.format(t='ts')} AS INTEGER) AS time_min, 0 AS table_no, event_id AS row_key,
+       event_type AS a, value AS b, props AS c,
+       CAST(NULL AS VARCHAR) AS item, CAST(NULL AS DOUBLE) AS quantity, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS flag
+FROM fx_ev JOIN coh USING (stay_id) WHERE {MINUTE.format(t='ts')} BETWEEN 0 AND {OBS * 60}
+UNION ALL
+SELECT stay_id, CAST(round((second - epoch_us(intime) // 1000000) / 60.0) AS INTEGER), 1, line_id, NULL, NULL, NULL, text, l_quantity, l_extendedprice, l_returnflag
+FROM (SELECT *, {EPOCH} + (epoch_us(charttime) // 1000000) % {MONTH} AS second FROM fx_star_ev) s
+JOIN coh ON coh.hadm_id = s.hadm_id * 10 + (second - {EPOCH}) // {HALF_MONTH} LEFT JOIN fx_part_text ON code = itemid
+WHERE round((second - epoch_us(intime) // 1000000) / 60.0) BETWEEN 0 AND least(outtime_min, {OBS * 60})"""
+
+RUN_STEPS = {
+    "observed": OBSERVED,
+    "latest": f"""SELECT *, row_number() OVER () AS eid FROM (
+  SELECT *, row_number() OVER (PARTITION BY stay_id ORDER BY time_min DESC, table_no DESC, row_key DESC) AS event_no FROM observed)
+WHERE event_no <= {RUN_EVENTS}""",
+    "texts": unit_texts(0, "events", {"event_type": "a", "value": "b", "props": "c"})
+    + "\nUNION ALL "
+    + unit_texts(1, "orders", {"itemid": "item", "l_quantity": "quantity", "l_extendedprice": "price", "l_returnflag": "flag"}),
+    "segments": EVENT_UNITS["segments"],
+    "words": EVENT_UNITS["words"],
+    **pieces_of("SELECT word FROM words"),
+    "coded": """SELECT text, flatten(list(coalesce(ids, [100]) ORDER BY k, p)) AS ids,
+       flatten(list([place FOR i IN coalesce(ids, [100])] ORDER BY k, p)) AS dpes
+FROM words LEFT JOIN known USING (word) GROUP BY text""",
+    "running_units": "SELECT eid, pos, sum(sum(len(ids))) OVER (PARTITION BY eid ORDER BY pos) AS used FROM texts JOIN coded USING (text) GROUP BY eid, pos",
+    "units": f"SELECT eid, pos FROM running_units WHERE pos = -1 OR used + 2 <= {RUN_EVENT_TOKENS}",
+    "encoded": """SELECT eid, flatten(list(ids ORDER BY pos, type)) AS ids, flatten(list([type FOR i IN ids] ORDER BY pos, type)) AS types,
+       flatten(list(dpes ORDER BY pos, type)) AS dpes
+FROM texts JOIN coded USING (text) SEMI JOIN units USING (eid, pos) GROUP BY eid""",
+    "filled": """SELECT stay_id, time_min, event_no, ids, types, dpes, sum(len(ids) + 1) OVER (PARTITION BY stay_id ORDER BY event_no) AS used
+FROM latest JOIN encoded USING (eid)""",
+    "kept": f"SELECT * FROM filled WHERE used <= {RUN_TOKENS - 1} QUALIFY count(*) OVER (PARTITION BY stay_id) > {MIN_EVENTS}",
+    "chains": FLAT_STEPS["chains"],
+    "times": "SELECT stay_id, list(time_min ORDER BY event_no DESC) AS time FROM kept GROUP BY stay_id",
+    "active": "SELECT * FROM coh SEMI JOIN kept USING (stay_id)",
+    **split_steps("active"),
+}
+
+
+def coded_class(name: str, texts: str) -> dict[str, str]:
+    return {f"{name}_texts": texts, f"{name}_codes": CLASSED.format(out=name).replace("texts", f"{name}_texts")}
+
+
+def dies(hours: int) -> str:
+    return f"""CAST(coalesce(hos_discharge_location = 'Death' AND dischtime_min > {(OBS + GAP) * 60}
+                     AND dischtime_min <= {(OBS + hours) * 60}, false) AS INTEGER)"""
+
+
+WHOLE = with_views(
+    "fx_compat",
+    "fx_labs",
+    "fx_excl",
+    "fx_star_ev",
+    "fx_part_text",
+    "fx_vocab",
+    extra=COHORT
+    | MEASURED_STEPS
+    | coded_class("final_acuity", ACUITY_TEXT)
+    | coded_class("imminent_discharge", DISCHARGE_TEXT)
+    | {"seen_stays": READMISSION_SELECT}
+    | RUN_STEPS,
+    recursive=True,
+    select=f"""
+SELECT a.stay_id, a.patient_id, readmission, {dies(PRED)} AS mortality, {dies(LONG_TERM)} AS long_term_mortality,
+       CAST(los > 3 AS INTEGER) AS los_3day, CAST(los > 7 AS INTEGER) AS los_7day, final_acuity, imminent_discharge,
+       {RISING.format(v='m.a')} AS rising, {FALLING.format(v='m.b')} AS falling, {BANDED.format(v='m.c')} AS banded,
+       {RISING.format(v='m.d')} AS untreated, split_42, split_7, CAST(events AS INTEGER) AS events,
+       {text_of(padded('f.a', RUN_TOKENS))} AS ids, {text_of(padded('f.b', RUN_TOKENS))} AS types,
+       {text_of(padded('f.c', RUN_TOKENS))} AS dpes, {text_of('time')} AS time
+FROM active a JOIN seen_stays USING (stay_id) JOIN final_acuity_codes USING (stay_id) JOIN imminent_discharge_codes USING (stay_id)
+JOIN chains f USING (stay_id) JOIN times USING (stay_id) JOIN wide USING (patient_id) LEFT JOIN means m USING (stay_id)""",
+)
+
+
 def registered() -> dict[str, str]:
     return {
         "read_table": SCAN,
@@ -588,4 +668,5 @@ def registered() -> dict[str, str]:
         "stage_reuse": STAGED,
         "training_view": TRAINING,
         "batch_view": BATCHES,
+        "whole_run": WHOLE,
     }

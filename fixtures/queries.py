@@ -457,7 +457,7 @@ SPEC = SourceSpec(
     layout=_layout(units=None),
     events=(
         EventTableSpec("events", "ts", "abs", ("event_id", "patient_id"), {}, ("event_id",)),
-        EventTableSpec("orders", "charttime", "abs", (), {"itemid": ("parts", "text")}),
+        EventTableSpec("orders", "charttime", "abs", ("line_id",), {"itemid": ("parts", "text")}, ("line_id",)),
     ),
     labs=LAB,
     exclusion=ExclusionSpec((TREATED,), "patient"),

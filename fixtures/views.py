@@ -129,6 +129,8 @@ def star_ev(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey",
         F.col("l_shipdate").cast("timestamp").alias("charttime"),
         (F.col("l_partkey") + F.col("l_linenumber")).alias("itemid"),
+        # order and line number repeat; with the part they hardly do
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("line_id"),
         "l_quantity",
         "l_extendedprice",
         "l_returnflag",

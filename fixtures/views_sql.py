@@ -31,7 +31,8 @@ SELECT patient_id, min(ts) AS first_excl FROM fx_ev WHERE event_type = 'error' A
     "fx_star_stays": """
 SELECT o_orderkey AS stay_id, o_custkey AS hadm_id, o_orderdate AS intime, 129600 AS outtime_min FROM orders""",
     "fx_star_ev": """
-SELECT o_custkey AS hadm_id, l_shipdate AS charttime, l_partkey + l_linenumber AS itemid, l_quantity, l_extendedprice, l_returnflag
+SELECT o_custkey AS hadm_id, l_shipdate AS charttime, l_partkey + l_linenumber AS itemid,
+       (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS line_id, l_quantity, l_extendedprice, l_returnflag
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_part_text": """
 SELECT p_partkey AS code, CASE WHEN p_name NOT LIKE '%ring' THEN p_name END AS text FROM part""",
