@@ -26,7 +26,7 @@ def round_decimals(text: Column, places: int = 4) -> Column:
     around = F.split(text, DECIMAL, -1)
     found = F.regexp_extract_all(text, F.lit(DECIMAL), F.lit(0))
     pieces = F.zip_with(around, found, lambda a, n: F.concat(a, F.coalesce(_rounded(n, places), F.lit(""))))
-    return F.array_join(pieces, "")
+    return F.when(F.contains(text, F.lit(".")), F.array_join(pieces, "")).otherwise(text)
 
 
 def space_digits(text: Column) -> Column:

@@ -38,13 +38,14 @@ def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool =
     """Array of (id, dpe) of a unit text: decimals are rounded, then every digit and dot is a token with its place code; the tokens
     of other words have no place."""
 
+    def digit_or_dot(char):
+        digit = F.ascii(char) + (tokens.zero - ord("0"))
+        # where the vocabulary lists characters in their usual order, one step serves the dot as well
+        return digit if tokens.zero - tokens.dot == ord("0") - ord(".") else F.when(char == ".", tokens.dot).otherwise(digit)
+
     def number(segment):
         return F.zip_with(
-            F.split(segment, ""),
-            number_places(segment),
-            lambda c, p: F.struct(
-                F.when(c == ".", tokens.dot).otherwise(F.ascii(c) - ord("0") + tokens.zero).alias("id"), p.alias("dpe")
-            ),
+            F.split(segment, ""), number_places(segment), lambda c, p: F.struct(digit_or_dot(c).alias("id"), p.alias("dpe"))
         )
 
     def other(table, segment):
