@@ -348,7 +348,7 @@ def word_pieces(spark, d):
 def encode_texts(spark, d):
     texts = v.text(spark, d).select("text").distinct()
     out = tokens.encode_texts(texts, Vocabulary.read(v.vocab(spark, d)), "text")
-    return out.select("text", listed(F.col("tokens.id")).alias("ids"), listed(F.col("tokens.dpe")).alias("dpes"))
+    return out.select("text", listed(F.col("tokens.ids")).alias("ids"), listed(F.col("tokens.dpes")).alias("dpes"))
 
 
 def encode_events(spark, d):

@@ -102,7 +102,7 @@ def test_digit_places(spark):
 def test_unit_tokens_match_a_direct_loop(spark, vocab):
     texts = some_texts()
     got = run(spark, texts, lambda t: unit_tokens(t, vocab, TokenIds()))
-    assert [[(x.id, x.dpe) for x in row] for row in got] == [tokens_of(t) for t in texts]
+    assert [list(zip(row.ids, row.dpes)) for row in got] == [tokens_of(t) for t in texts]
 
 
 def test_word_pieces_match_a_direct_loop(spark, vocab):

@@ -35,8 +35,8 @@ def text_ids(text: Column, vocab: Vocabulary, unknown: int, lower: bool = True)
 
 
 def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool = True) -> Column:
-    """Array of (id, dpe) of a unit text: decimals are rounded, then every digit and dot is a token with its place code; the tokens
-    of other words have no place."""
+    """(ids, dpes) of a unit text: decimals are rounded, then every digit and dot is a token with its place code; the tokens of
+    other words have no place. Two plain arrays: a struct per token would cost more than the token."""
 
     def digit_or_dot(char):
         digit = F.ascii(char) + (tokens.zero - ord("0"))
@@ -44,16 +44,22 @@ def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool =
         return digit if tokens.zero - tokens.dot == ord("0") - ord(".") else F.when(char == ".", tokens.dot).otherwise(digit)
 
     def number(segment):
-        return F.zip_with(
-            F.split(segment, ""), number_places(segment), lambda c, p: F.struct(digit_or_dot(c).alias("id"), p.alias("dpe"))
-        )
+        return F.struct(F.transform(F.split(segment, ""), digit_or_dot).alias("ids"), number_places(segment).alias("dpes"))
 
     def other(table, segment):
         ids = F.flatten(F.transform(plain_words(segment), lambda w: vocab.pieces(table, w, tokens.unknown)))
-        return F.transform(ids, lambda i: F.struct(i.alias("id"), F.lit(tokens.no_place).alias("dpe")))
+        placed = F.transform(
+            F.array(ids), lambda i: F.struct(i.alias("ids"), F.array_repeat(F.lit(tokens.no_place), F.size(i)).alias("dpes"))
+        )
+        return placed[0]
+
+    def starts_number(segment):
+        return (segment >= ".") & (segment < ":") & ~F.startswith(segment, F.lit("/"))
+
+    def encoded(table):
+        segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
+        parts = F.transform(segments, lambda s: F.when(starts_number(s), number(s)).otherwise(other(table, s)))
+        whole = F.transform(F.array(parts), lambda p: F.struct(F.flatten(p["ids"]).alias("ids"), F.flatten(p["dpes"]).alias("dpes")))
+        return whole[0]
 
-    segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
-    starts_number = lambda s: (s >= ".") & (s < ":") & ~F.startswith(s, F.lit("/"))
-    return vocab.using(
-        lambda table: F.flatten(F.transform(segments, lambda s: F.when(starts_number(s), number(s)).otherwise(other(table, s))))
-    )
+    return vocab.using(encoded)

@@ -11,7 +11,7 @@ from wardloom.functions.vocabulary import Vocabulary
 from wardloom.functions.words import text_ids, unit_tokens
 from wardloom.spec import TokenIds
 
-TOKENS = "array<struct<id:int,type:int,dpe:int>>"
+TOKENS = "struct<ids:array<int>,dpes:array<int>>"
 
 
 def word_pieces(
@@ -24,21 +24,17 @@ def word_pieces(
 def encode_texts(
     texts: DataFrame, vocab: Vocabulary, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "tokens"
 ) -> DataFrame:
-    """Add the (id, dpe) tokens of unit texts."""
+    """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``."""
     return texts.withColumn(out, unit_tokens(F.col(text), vocab, tokens, lower))
 
 
-def _typed(items: Column, type_id: int) -> Column:
-    return F.transform(items, lambda t: F.struct(t["id"].alias("id"), F.lit(type_id).alias("type"), t["dpe"].alias("dpe")))
-
-
 def _heads(spark: SparkSession, heads: Sequence[tuple[str, Sequence[str]]], vocab: Vocabulary, tokens: TokenIds, lower: bool) -> Column:
     """Per event table its name and its column names as tokens. They are encoded once, and as there are only as many as the
     source has event columns, the result is a constant of the plan."""
     rows = [F.struct(F.lit(table).alias("table"), F.array(*map(F.lit, columns)).alias("columns")) for table, columns in heads]
     encoded = spark.range(1).select(F.inline(F.array(*rows))).select(
-        _typed(unit_tokens(F.col("table"), vocab, tokens, lower), tokens.table_type).alias("table"),
-        F.transform("columns", lambda c: _typed(unit_tokens(c, vocab, tokens, lower), tokens.column_type)).alias("names"),
+        unit_tokens(F.col("table"), vocab, tokens, lower).alias("table"),
+        F.transform("columns", lambda c: unit_tokens(c, vocab, tokens, lower)).alias("names"),
     )
     known = encoded.agg(F.to_json(F.collect_list(F.struct("table", "names")))).first()[0]
     return F.from_json(F.lit(known), f"array<struct<table:{TOKENS},names:array<{TOKENS}>>>")
@@ -60,26 +56,31 @@ def encode_events(
     known = _heads(events.sparkSession, heads, vocab, tokens, lower)
     room = max_event_tokens - 2
 
-    def grown(head: Column) -> Column:
-        pairs = F.transform(
-            "units",
-            lambda u: F.concat(head["names"][u["pos"]], _typed(unit_tokens(u["value"], vocab, tokens, lower), tokens.value_type)),
+    def state(ids, types, dpes, full):
+        return F.struct(ids.alias("ids"), types.alias("types"), dpes.alias("dpes"), F.lit(full).alias("full"))
+
+    def repeated(type_id, part):
+        return F.array_repeat(F.lit(type_id), F.size(part["ids"]))
+
+    def grow(event, unit):
+        name, value = unit["name"], unit["value"]
+        fits = F.size(event["ids"]) + F.size(name["ids"]) + F.size(value["ids"]) <= room
+        longer = state(
+            F.concat(event["ids"], name["ids"], value["ids"]),
+            F.concat(event["types"], repeated(tokens.column_type, name), repeated(tokens.value_type, value)),
+            F.concat(event["dpes"], name["dpes"], value["dpes"]),
+            False,
         )
-        return F.aggregate(
-            pairs,
-            F.struct(head["table"].cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
-            lambda acc, pair: F.when(
-                ~acc["full"] & (F.size(acc["tokens"]) + F.size(pair) <= room),
-                F.struct(F.concat(acc["tokens"], pair).cast(TOKENS).alias("tokens"), F.lit(False).alias("full")),
-            ).otherwise(F.struct(acc["tokens"].alias("tokens"), F.lit(True).alias("full"))),
-            lambda acc: acc["tokens"],
+        return F.when(~event["full"] & fits, longer).otherwise(state(event["ids"], event["types"], event["dpes"], True))
+
+    def whole(head: Column) -> Column:
+        units = F.transform(
+            "units",
+            lambda u: F.struct(head["names"][u["pos"]].alias("name"), unit_tokens(u["value"], vocab, tokens, lower).alias("value")),
         )
+        table = head["table"]
+        return F.aggregate(units, state(table["ids"], repeated(tokens.table_type, table), table["dpes"], False), grow)
 
     carried = [c for c in events.columns if c != "units"]
-    encoded = F.transform(F.array(known[F.col("table_no")]), grown)[0]
-    return events.select(*carried, encoded.alias("_tokens")).select(
-        *carried,
-        F.col("_tokens.id").alias("ids"),
-        F.col("_tokens.type").alias("types"),
-        F.col("_tokens.dpe").alias("dpes"),
-    )
+    encoded = F.transform(F.array(known[F.col("table_no")]), whole)[0]
+    return events.select(*carried, encoded.alias("_event")).select(*carried, "_event.ids", "_event.types", "_event.dpes")
