@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,18 +119,16 @@ def _nothing_like(items: Column, element: T.DataType) -> Column:
 def batch_view(view: DataFrame, batch_size: int, classes: int, seed: int = 0, keys: Keys = Keys()) -> DataFrame:
     """Batches of a training view: ``batch``, channels padded to the longest item of the batch, one-hot ``label``.
 
-    The order is random but reproducible. Numbering runs on keys alone; the arrays move once, to their batch.
+    The order is random but reproducible. Numbers come from the keys alone and lengths are met on narrow rows; the arrays move
+    once, to their batch number.
     """
-    slim = view.select(keys.stay).withColumn("_one", F.lit(1)).withColumn(
-        "_position", shuffled_position(F.col(keys.stay), seed)
-    )
+    slim = view.select(keys.stay, F.lit(1).alias("_one"), shuffled_position(F.col(keys.stay), seed).alias("_position"))
     numbers = running_total(slim, "_position", "_one").select(
         keys.stay, F.floor((F.col("running") - 1) / batch_size).cast("long").alias("batch")
     )
-    longest = numbers.join(view.select(keys.stay, F.size("input_ids").alias("_size")), keys.stay).groupBy("batch").agg(
-        F.max("_size").alias("_longest")
-    )
-    placed = view.join(numbers.join(longest, "batch"), keys.stay)
+    sized = numbers.join(view.select(keys.stay, F.size("input_ids").alias("_size")), keys.stay)
+    longest = F.max("_size").over(Window.partitionBy("batch"))
+    placed = view.join(sized.select(keys.stay, "batch", longest.alias("_longest")), keys.stay)
     padded = []
     for name in ("input_ids", "type_ids", "dpe_ids"):
         element = view.schema[name].dataType.elementType
