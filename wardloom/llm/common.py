@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,8 @@ def without(columns: Sequence[str], taken: Sequence[str]) -> list[str]:
             name = f"_{name}"
         found.append(name)
     return found
+
+
+def sent_to_tasks(module: str) -> None:
+    """Functions of ``module`` travel to the executors' Python with what they use, so that the package need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
