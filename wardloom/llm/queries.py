@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import chat, htmltext, mixing, outliers, topk, toxicity, urlfilter
+from wardloom.llm import chat, htmltext, linededup, mixing, outliers, packing, topk, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,20 @@ def op2_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("row.doc_id", *outliers.STATS, "base_failed", "distance", "kept")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Where every piece of every document goes; ids as their CRC-32."""
+    packed = packing.pack(table(spark, d, "documents"), tokenizer_path())
+    digests = packed.pieces.select("row.doc_id", "piece", "start", "length", "task", "place", F.crc32("ids").alias("ids_crc32"))
+    return packed.place(digests)
+
+
 def op5_pivotal_mixing(spark: SparkSession, d: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mixed_rows(mixing.copies(table(spark, d, "documents")))
@@ -64,6 +78,13 @@ def op7_bloom_cascade(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op8_line_suffix_array(spark: SparkSession, d: str) -> DataFrame:
+    """Every document without later copies of line runs, and what was deleted."""
+    found = linededup.dedup_lines(table(spark, d, "documents"))
+    gone = F.aggregate("copies", F.lit(0), lambda s, r: s + r["last"] - r["first"] + 1).cast("long")
+    return found.select("row.doc_id", "text", gone.alias("n_deleted"), F.size("copies").cast("long").alias("n_runs"), "emptied")
+
+
 def op9_pivot_topk(spark: SparkSession, d: str) -> DataFrame:
     """The five best rows for every fiftieth vector."""
     return topk.top_k(table(spark, d, "embeddings"))
@@ -79,9 +100,11 @@ def registered() -> dict[str, Query]:
     return {
         "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
         "op2_robust_outliers": op2_robust_outliers,
+        "op3_best_fit_packing": op3_best_fit_packing,
         "op5_pivotal_mixing": op5_pivotal_mixing,
         "op6_budgeted_windows": op6_budgeted_windows,
         "op7_bloom_cascade": op7_bloom_cascade,
+        "op8_line_suffix_array": op8_line_suffix_array,
         "op9_pivot_topk": op9_pivot_topk,
         "op10_template_removal": op10_template_removal,
     }
