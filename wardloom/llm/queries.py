@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import chat, htmltext, linededup, mixing, outliers, packing, topk, toxicity, urlfilter
+from wardloom.llm import chat, htmltext, jaccard, linededup, mixing, outliers, packing, topk, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,11 @@ def op3_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packed.place(digests)
 
 
+def op4_size_aware_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """Component of every document under links of at least 85 % similar sets of four-word shingles."""
+    return jaccard.similar_components(table(spark, d, "documents"))
+
+
 def op5_pivotal_mixing(spark: SparkSession, d: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mixed_rows(mixing.copies(table(spark, d, "documents")))
@@ -101,6 +106,7 @@ def registered() -> dict[str, Query]:
         "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
         "op2_robust_outliers": op2_robust_outliers,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_size_aware_jaccard": op4_size_aware_jaccard,
         "op5_pivotal_mixing": op5_pivotal_mixing,
         "op6_budgeted_windows": op6_budgeted_windows,
         "op7_bloom_cascade": op7_bloom_cascade,
