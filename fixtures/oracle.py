@@ -308,7 +308,7 @@ SELECT event_id, coalesce(array_to_string([CAST(p AS VARCHAR) FOR p IN flatten([
 # greedy longest match: best end per start, then the chain of ends from the first character
 def pieces_of(words: str) -> dict[str, str]:
     return {
-        "missed": f"SELECT DISTINCT word FROM ({words}) ANTI JOIN fx_vocab ON token = word WHERE length(word) <= 100",
+        "missed": f"SELECT DISTINCT word FROM ({words}) ANTI JOIN fx_vocab ON token = word",
         "spans": """SELECT word, CAST(a.i AS INTEGER) AS first, CAST(b.i AS INTEGER) AS last
 FROM missed, unnest(range(1, length(word) + 1)) a(i), unnest(range(a.i, length(word) + 1)) b(i)""",
         "best": """SELECT word, first, max(last) AS last, arg_max(id, last) AS id
@@ -482,29 +482,45 @@ FROM coh LEFT JOIN (SELECT DISTINCT stay_id FROM kept) k USING (stay_id)""",
 ACTIVE_STEPS = COHORT | cut() | FLAT_STEPS | {"texts": ACUITY_TEXT, "active": "SELECT * FROM coh SEMI JOIN kept USING (stay_id)"}
 WRITTEN = with_views(
     "fx_tokens",
-    extra=ACTIVE_STEPS | split_steps("active"),
+    extra=ACTIVE_STEPS
+    | split_steps("active")
+    | {
+        "hi_events": f"SELECT stay_id, event_no, {EVENT_HI} AS event FROM kept",
+        "hi_lists": f"SELECT stay_id, {text_of('flatten(list(event ORDER BY event_no DESC))')} AS hi FROM hi_events GROUP BY stay_id",
+    },
     select=f"""
-SELECT a.stay_id, CAST(events AS INTEGER) AS events, {text_of('list_concat(f.a, f.b, f.c)')} AS fl,
+SELECT a.stay_id, hi, {text_of('list_concat(f.a, f.b, f.c)')} AS fl,
        CAST(coalesce(hos_discharge_location = 'Death' AND dischtime_min > {(OBS + GAP) * 60}
                      AND dischtime_min <= {(OBS + PRED) * 60}, false) AS INTEGER) AS mortality,
        name, split_42, split_7
-FROM active a JOIN flat f USING (stay_id) JOIN texts USING (stay_id) JOIN wide USING (patient_id)""",
+FROM active a JOIN flat f USING (stay_id) JOIN hi_lists USING (stay_id) JOIN texts USING (stay_id) JOIN wide USING (patient_id)""",
+)
+STAGED = with_views(
+    "fx_compat",
+    extra=COHORT,
+    select="""
+SELECT stay_id, hadm_id, los, 'first' AS call FROM coh UNION ALL SELECT stay_id, hadm_id, los, 'again' FROM coh
+UNION ALL SELECT stay_id, hadm_id, los, 'changed' FROM coh WHERE los >= 2.5""",
 )
-STAGED = with_views("fx_compat", extra=COHORT, select="SELECT stay_id, hadm_id, los FROM coh")
+CSV_FILES = """
+SELECT c_custkey, c_name, c_acctbal, 'plain' AS kind FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal, 'gz' FROM customer"""
+CATEGORIES = with_views("fx_ccs", select="SELECT code, CAST(category AS INTEGER) AS category FROM fx_ccs")
+CROSSWALK_FILE = with_views("fx_gem_last", select="SELECT source AS code, target FROM fx_gem_last")
+DICTIONARY = with_views("fx_part_text", select="SELECT CAST(code AS VARCHAR) AS code, text FROM fx_part_text")
 
 CHANNELS = f"""SELECT stay_id, event_no, {padded(marked('ids', 101, 102), EVENT_TOKENS)} AS i,
-       {padded(marked('types', 5, 6), EVENT_TOKENS)} AS t FROM kept"""
+       {padded(marked('types', 5, 6), EVENT_TOKENS)} AS t, {padded(marked('dpes', 0, 0), EVENT_TOKENS)} AS p FROM kept"""
 CLASS_OF = {"classed": CLASSED.format(out="label")}
 HI_LISTS = {
     "events_hi": CHANNELS,
     "lists": """SELECT stay_id, flatten(list(i ORDER BY event_no DESC)) AS input_ids, flatten(list(t ORDER BY event_no DESC)) AS type_ids,
-       count(*) AS length FROM events_hi GROUP BY stay_id""",
+       flatten(list(p ORDER BY event_no DESC)) AS dpe_ids, count(*) AS length FROM events_hi GROUP BY stay_id""",
 }
 TRAINING = with_views(
     "fx_tokens",
     extra=ACTIVE_STEPS | split_steps("active") | CLASS_OF | HI_LISTS,
     select=f"""
-SELECT a.stay_id, {text_of('input_ids')} AS input_ids, {text_of('type_ids')} AS type_ids, label
+SELECT a.stay_id, {text_of('input_ids')} AS input_ids, {text_of('type_ids')} AS type_ids, {text_of('dpe_ids')} AS dpe_ids, label
 FROM active a JOIN lists USING (stay_id) JOIN classed USING (stay_id) JOIN wide USING (patient_id) WHERE split_42 = 'train'""",
 )
 BATCHES = with_views(
@@ -513,14 +529,14 @@ BATCHES = with_views(
     | CLASS_OF
     | HI_LISTS
     | {
-        "numbered_stays": """SELECT stay_id, input_ids, length, label,
+        "numbered_stays": """SELECT stay_id, input_ids, type_ids, dpe_ids, length, label,
        (row_number() OVER (ORDER BY md5(stay_id || ':0')) - 1) // 32 AS batch
 FROM active JOIN lists USING (stay_id) JOIN classed USING (stay_id)""",
         "longest": "SELECT *, max(length) OVER (PARTITION BY batch) AS n FROM numbered_stays",
     },
     select=f"""
 SELECT CAST(batch AS BIGINT) AS batch, stay_id, CAST(n AS INTEGER) AS length,
-       {text_of(f'list_concat(input_ids, [0 FOR i IN range({EVENT_TOKENS} * (n - length))])')} AS input_ids,
+       {", ".join(text_of(f'list_concat({c}, [0 FOR i IN range({EVENT_TOKENS} * (n - length))])') + f" AS {c}" for c in ("input_ids", "type_ids", "dpe_ids"))},
        {text_of('[CASE WHEN i = label THEN 1 ELSE 0 END FOR i IN range(6)]')} AS label
 FROM longest""",
 )
@@ -666,6 +682,10 @@ def registered() -> dict[str, str]:
         "skipped_stays": SKIPPED,
         "write_dataset": WRITTEN,
         "stage_reuse": STAGED,
+        "read_csv": CSV_FILES,
+        "read_categories": CATEGORIES,
+        "read_crosswalk": CROSSWALK_FILE,
+        "read_dictionary": DICTIONARY,
         "training_view": TRAINING,
         "batch_view": BATCHES,
         "whole_run": WHOLE,

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
-from wardloom.functions.vocabulary import Vocabulary
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.plans.run import Result, run
-from wardloom.sources.stage import fingerprint, shared_folder, stage
-from wardloom.sources.tables import read_table
+from wardloom.sources.stage import content_key, fingerprint, shared_folder, stage
+from wardloom.sources.tables import read_categories, read_crosswalk, read_dictionary, read_table
 from wardloom.spec import (
     Band,
     Bins,
@@ -52,6 +51,47 @@ def scan(spark, d):
     return typed.select("event_id", micros("ts"), "user_id", "event_type", "value", "props")
 
 
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def csv_files(spark, d):
+    """The customer table as CSV, plain and compressed, read back with types."""
+    root, rows = _folder(spark), read_table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    schema = "c_custkey bigint, c_acctbal double"
+    rows.write.option("header", True).csv(f"{root}/plain.csv")
+    rows.write.option("header", True).option("compression", "gzip").csv(f"{root}/gz.csv.gz")
+    parts = [read_table(spark, root, kind, schema, partitions=v.cores(spark)).withColumn("kind", F.lit(kind)) for kind in ("plain", "gz")]
+    return parts[0].unionByName(parts[1])
+
+
+def category_file(spark, d):
+    """Categories whose names and values stand in single quotes, the numbers from one on."""
+    path = f"{_folder(spark)}/ccs.csv"
+    quote = F.lit("'")
+    line = F.concat(quote, F.col("code"), F.lit(" ','"), (F.col("category") + 1).cast("string"), F.lit(" '"))
+    head = spark.range(1).select(F.lit(0).alias("n"), F.lit("'ICD-9-CM CODE','CCS LVL 1'").alias("line"))
+    rows = head.unionByName(v.ccs(spark, d).select(F.lit(1).alias("n"), line.alias("line")))
+    rows.coalesce(1).sortWithinPartitions("n").select("line").write.text(path)
+    return read_categories(spark, path)
+
+
+def crosswalk_file(spark, d):
+    """The last row in file order of every code of the crosswalk."""
+    path = f"{_folder(spark)}/gem.csv"
+    rows = v.gem(spark, d).coalesce(1).sortWithinPartitions("ord")
+    rows.select(F.col("source").alias("icd10cm"), F.col("target").alias("icd9cm")).write.option("header", True).csv(path)
+    return codes.last_per_code(read_crosswalk(spark, path), "source", "target", "ord").withColumnRenamed("source", "code")
+
+
+def dictionary_file(spark, d):
+    """Every code stands twice, and the second text counts, null or not."""
+    root, rows = _folder(spark), v.part_dictionary(spark, d)
+    both = rows.select("code", F.lit("an older text").alias("text"), F.lit(0).alias("n")).unionByName(rows.withColumn("n", F.lit(1)))
+    both.coalesce(1).sortWithinPartitions("n", "code").drop("n").write.option("header", True).csv(f"{root}/items.csv")
+    return read_dictionary(spark, root, "items", "code", "text")
+
+
 def _stay_out(df: DataFrame) -> DataFrame:
     return df.select(
         "stay_id", "hadm_id", "patient_id", "los", "age", micros("intime"), "outtime_min", "dischtime_min", "in_icu_mortality", "hos_discharge_location"
@@ -340,22 +380,22 @@ def places(spark, d):
 
 
 def word_pieces(spark, d):
-    texts = read_table(spark, d, "documents", heavy=True).select("doc_id", "text")
-    out = tokens.word_pieces(texts, Vocabulary.read(v.vocab(spark, d)), "text")
+    texts = read_table(spark, d, "documents", partitions=v.cores(spark)).select("doc_id", "text")
+    out = tokens.word_pieces(texts, v.vocab(spark, d), "text")
     return out.select("doc_id", listed(F.col("ids")).alias("ids"))
 
 
 def encode_texts(spark, d):
     texts = v.text(spark, d).select("text").distinct()
-    out = tokens.encode_texts(texts, Vocabulary.read(v.vocab(spark, d)), "text")
+    out = tokens.encode_texts(texts, v.vocab(spark, d), "text")
     return out.select("text", listed(F.col("tokens.ids")).alias("ids"), listed(F.col("tokens.dpes")).alias("dpes"))
 
 
 def encode_events(spark, d):
     """Whole events table: one event per row, its table name and three columns as tokens, 32 at most."""
-    rows = v.ev(spark, d, heavy=True).withColumn("table_no", F.lit(0))
-    united = units.event_units(rows, EVENT_COLUMNS).select("stay_id", "event_id", "table_no", "units")
-    out = tokens.encode_events(united, [("events", EVENT_COLUMNS)], Vocabulary.read(v.vocab(spark, d)), 32)
+    rows = v.ev(spark, d, dealt=True).withColumn("table_no", F.lit(0))
+    united = units.event_units(rows, EVENT_COLUMNS, names=False).select("stay_id", "event_id", "table_no", "units")
+    out = tokens.encode_events(united, [("events", EVENT_COLUMNS)], v.vocab(spark, d), 32)
     return out.select(
         "event_id", "stay_id",
         listed(F.col("ids")).alias("ids"), listed(F.col("types")).alias("types"), listed(F.col("dpes")).alias("dpes"),
@@ -419,21 +459,32 @@ def write_dataset(spark, d):
     return (
         dataset.read_dataset(spark, dest)
         .join(names, "final_acuity", "left")
-        .select("stay_id", F.size("hi").alias("events"), listed(F.flatten("fl")).alias("fl"), "mortality", "name", "split_42", "split_7")
+        .select(
+            "stay_id", listed(F.flatten(F.flatten("hi"))).alias("hi"), listed(F.flatten("fl")).alias("fl"), "mortality", "name", "split_42", "split_7"
+        )
     )
 
 
 def stage_reuse(spark, d):
-    """The second call reads what the first one wrote."""
-    key = fingerprint(d, uuid.uuid4().hex)
-    stage(_cohort(spark, d), "cohort", key)
-    return stage(_cohort(spark, d), "cohort", key).select("stay_id", "hadm_id", "los")
+    """The second call reads what the first one wrote; another content under the same name is computed anew."""
+    whole, name = _cohort(spark, d), uuid.uuid4().hex
+
+    def kept(df: DataFrame, plan: DataFrame) -> DataFrame:
+        return stage(plan, "cohort", fingerprint(name, content_key(df)))
+
+    first = kept(whole, whole)
+    again = kept(whole, whole.limit(0))  # what stands there is read, not this plan
+    other = whole.where("los >= 2.5")
+    changed = kept(other, other)
+    parts = [(first, "first"), (again, "again"), (changed, "changed")]
+    rows = [p.select("stay_id", "hadm_id", "los", F.lit(n).alias("call")) for p, n in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 def training_view(spark, d):
     data = dataset.read_dataset(spark, _written(spark, d))
     out = dataset.training_view(data, "train", 42, "final_acuity", "hi")
-    return out.select("stay_id", listed(F.flatten("input_ids")).alias("input_ids"), listed(F.flatten("type_ids")).alias("type_ids"), "label")
+    return out.select("stay_id", *[listed(F.flatten(c)).alias(c) for c in ("input_ids", "type_ids", "dpe_ids")], "label")
 
 
 def batch_view(spark, d):
@@ -442,7 +493,7 @@ def batch_view(spark, d):
     view = dataset.training_view(packed.join(labelled, "stay_id"), "train", 42, "final_acuity", "hi")
     out = dataset.batch_view(view, 32, 6)
     return out.select(
-        "batch", "stay_id", F.size("input_ids").alias("length"), listed(F.flatten("input_ids")).alias("input_ids"),
+        "batch", "stay_id", F.size("input_ids").alias("length"), *[listed(F.flatten(c)).alias(c) for c in ("input_ids", "type_ids", "dpe_ids")],
         listed(F.col("label").cast("array<int>")).alias("label"),
     )
 
@@ -500,7 +551,7 @@ def whole_run(spark, d):
     return result.cohort.join(result.packed, "stay_id").select(
         "stay_id", "patient_id", "readmission", "mortality", "long_term_mortality", "los_3day", "los_7day", "final_acuity",
         "imminent_discharge", *[t.name for t in TASKS], "split_42", "split_7", F.size("hi").alias("events"),
-        listed(F.slice(F.col("fl")[0], 1, 512)).alias("ids"), listed(F.col("fl")[1]).alias("types"),
+        listed(F.col("fl")[0]).alias("ids"), listed(F.col("fl")[1]).alias("types"),
         listed(F.col("fl")[2]).alias("dpes"), listed(F.col("time")).alias("time"),
     )
 
@@ -554,6 +605,10 @@ def registered() -> dict[str, Query]:
         "skipped_stays": skipped_stays,
         "write_dataset": write_dataset,
         "stage_reuse": stage_reuse,
+        "read_csv": csv_files,
+        "read_categories": category_file,
+        "read_crosswalk": crosswalk_file,
+        "read_dictionary": dictionary_file,
         "training_view": training_view,
         "batch_view": batch_view,
         "whole_run": whole_run,

@@ -58,13 +58,14 @@ FROM (SELECT path, arg_min(codes, ord) AS codes FROM fx_paths WHERE codes IS NOT
      unnest(range(1, len(string_split(codes, ',')) + 1)) AS u(i)""",
     "fx_path_tags": """
 SELECT path, CAST(arg_max(CAST(code AS INT) // 10 % 18, pos) AS INTEGER) AS tag FROM fx_path_codes GROUP BY path""",
+    "fx_words": r"""
+SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents) GROUP BY token""",
+    "fx_letters": "SELECT DISTINCT unnest(string_split(token, '')) AS c FROM fx_words",
     "fx_vocab": """
 SELECT token, CAST(200 + row_number() OVER (ORDER BY k, token) AS INTEGER) AS id
-FROM (SELECT token, 2 AS k FROM (
-        SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents)
-        WHERE length(token) > 1 GROUP BY token ORDER BY n DESC, token LIMIT 2000)
-      UNION ALL SELECT chr(97 + CAST(i AS INT)), 0 FROM range(26) t(i)
-      UNION ALL SELECT '##' || chr(97 + CAST(i AS INT)), 1 FROM range(26) t(i))
+FROM (SELECT token, 2 AS k FROM fx_words WHERE length(token) > 1 AND n >= 2
+      UNION ALL SELECT c, 0 FROM fx_letters
+      UNION ALL SELECT '##' || c, 1 FROM fx_letters)
 UNION ALL SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 100), ('[CLS]', 101), ('[SEP]', 102), ('.', 119)) f(token, id)
 UNION ALL SELECT CAST(i AS VARCHAR), CAST(121 + i AS INTEGER) FROM range(10) t(i)""",
     "fx_tokens": """
@@ -86,6 +87,8 @@ NEEDS = {
     "fx_stays": ["fx_raw", "fx_adm"],
     "fx_compat": ["fx_stays"],
     "fx_labs": ["fx_ev"],
+    "fx_letters": ["fx_words"],
+    "fx_vocab": ["fx_words", "fx_letters"],
     "fx_excl": ["fx_ev"],
     "fx_gem_last": ["fx_gem"],
     "fx_path_codes": ["fx_paths"],

@@ -52,18 +52,6 @@ def test_cut_history_matches_a_direct_loop(spark, max_tokens, max_events, min_ev
     assert got == {s: k for s, k in expected.items() if k}
 
 
-def test_salted_limit_equals_the_plain_one(spark):
-    stays = some_stays(9, 5)
-    plain = history.latest_events(events(spark, stays), 7, ORDER)
-    spark.conf.set(history.LIMIT_SETTING, "3")
-    try:
-        salted = history.latest_events(events(spark, stays), 7, ORDER)
-        key = ["stay_id", "row_key", "event_no"]
-        assert sorted(map(tuple, salted.select(key).collect())) == sorted(map(tuple, plain.select(key).collect()))
-    finally:
-        spark.conf.unset(history.LIMIT_SETTING)
-
-
 def test_the_partitioning_of_the_input_does_not_matter(spark):
     stays = some_stays(4)
     results = [

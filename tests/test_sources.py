@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardloom.plans.run import open_source, run
 from wardloom.sources import eicu, mimic3, mimic4, tables
@@ -71,7 +72,7 @@ def test_the_last_text_of_a_code_counts(spark, tmp_path):
     assert {r.code: r.text for r in got} == {"1": "c", "2": "b", "3": None}
 
 
-PARAMS = dict(obs=12, pred=24, min_events=2, max_events=4, max_event_tokens=24, max_stay_tokens=64, diagnosis=True, seeds=(42,))
+PARAMS = dict(obs=12, pred=24, min_events=2, max_events=4, max_event_tokens=24, max_stay_tokens=64, diagnosis=True, seeds=(42,), label_sources=True)
 
 
 def mimic4_files(root):
@@ -160,6 +161,25 @@ def test_finished_stages_are_reused(spark, tmp_path, vocab):
     empty = {n: df.limit(0) for n, df in inputs.items()}
     again = run(empty, mimic4.SPEC, params, vocab, reuse=str(tmp_path))
     assert sorted(map(str, again.packed.collect())) == sorted(map(str, first.packed.collect())) != []
+    # other ids under the same name are another run
+    shifted = vocab.withColumn("id", F.col("id") + 1000)
+    other = run(inputs, mimic4.SPEC, params, shifted, reuse=str(tmp_path))
+    assert sorted(map(str, other.packed.collect())) != sorted(map(str, first.packed.collect()))
+    assert run(empty, mimic4.SPEC, params, shifted, reuse=str(tmp_path)).packed.count() == first.packed.count()
+
+
+def test_labels_do_not_travel_with_what_they_are_made_from(spark, tmp_path, vocab):
+    mimic4_files(tmp_path)
+    params = Params(**(PARAMS | dict(diagnosis=False, label_sources=False)))
+    result = run(open_source(spark, str(tmp_path), mimic4.SPEC, params), mimic4.SPEC, params, vocab)
+    assert not {"los", "age", "dischtime_min", "in_icu_mortality", "hos_discharge_location"} & set(result.cohort.columns)
+    assert {"mortality", "final_acuity", "split_42"} <= set(result.cohort.columns)
+
+
+@pytest.mark.parametrize("wrong", [dict(labels=("mortal",)), dict(measurements=("iron",))])
+def test_unknown_names_are_errors(spark, vocab, wrong):
+    with pytest.raises(ValueError, match="unknown"):
+        run({}, mimic4.SPEC, Params(**(PARAMS | wrong)), vocab)
 
 
 def test_mimic3(spark, tmp_path, vocab):

@@ -8,9 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
-from wardloom.functions.vocabulary import Vocabulary
-from wardloom.functions.words import unit_tokens
-from wardloom.operators.tokens import encode_events, word_pieces
+from wardloom.functions.vocabulary import check_vocabulary
+from wardloom.operators.tokens import encode_events, encode_texts, word_pieces
 from wardloom.operators.units import event_units
 from wardloom.spec import TokenIds
 
@@ -20,7 +19,7 @@ IDS = {t: 200 + i for i, t in enumerate(TOKENS)}
 
 @pytest.fixture(scope="module")
 def vocab(spark):
-    return Vocabulary.read(spark.createDataFrame(list(IDS.items()), "token string, id int"))
+    return spark.createDataFrame(list(IDS.items()), "token string, id int")
 
 
 def run(spark, texts, build):
@@ -38,8 +37,6 @@ def rounded(text: str) -> str:
 
 
 def greedy(word: str, unknown: int = 100) -> list[int]:
-    if len(word) > 100:
-        return [unknown]
     out, at = [], 0
     while at < len(word):
         for end in range(len(word), at, -1):
@@ -101,8 +98,15 @@ def test_digit_places(spark):
 
 def test_unit_tokens_match_a_direct_loop(spark, vocab):
     texts = some_texts()
-    got = run(spark, texts, lambda t: unit_tokens(t, vocab, TokenIds()))
-    assert [list(zip(row.ids, row.dpes)) for row in got] == [tokens_of(t) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:5]])], "i int, t string")
+    got = {r.i: r.tokens for r in encode_texts(df, vocab, "t").collect()}
+    assert [list(zip(got[i].ids, got[i].dpes)) for i in range(len(got))] == [tokens_of(t) for t in [*texts, *texts[:5]]]
+
+
+def test_null_texts_have_no_tokens_and_empty_ones_none(spark, vocab):
+    df = spark.createDataFrame([(0, None), (1, ""), (2, " ")], "i int, t string")
+    assert [r.ids for r in word_pieces(df, vocab, "t").orderBy("i").collect()] == [None, [], []]
+    assert [r.tokens and tuple(r.tokens) for r in encode_texts(df, vocab, "t").orderBy("i").collect()] == [None, ([], []), ([], [])]
 
 
 def test_word_pieces_match_a_direct_loop(spark, vocab):
@@ -118,11 +122,19 @@ def test_case_is_kept_on_request(spark, vocab):
     assert word_pieces(df, vocab, "t", lower=False).first().ids == [100, IDS["dose"]]
 
 
-def test_a_vocabulary_beyond_16_bits_is_refused(spark):
-    with pytest.raises(ValueError):
-        Vocabulary.read(spark.range(40000).selectExpr("cast(id as string) as token", "cast(id as int) as id"))
-    with pytest.raises(ValueError):
-        Vocabulary.read(spark.createDataFrame([("a", 32768)], "token string, id int"))
+def test_words_and_vocabularies_have_no_limit(spark, vocab):
+    df = spark.createDataFrame([("x" * 150,), ("dose" * 200,)], "t string")
+    found = {r.t: r.ids for r in word_pieces(df, vocab, "t").collect()}
+    assert found["x" * 150] == [IDS["x"]] + [IDS["##x"]] * 149 and found["dose" * 200] == greedy("dose" * 200)
+    assert {tuple(r.ids) for r in word_pieces(df, vocab, "t", max_word_chars=100).collect()} == {(100,)}
+    large = spark.range(100_000).selectExpr("concat('w', id) as token", "cast(id as int) as id")
+    assert word_pieces(spark.createDataFrame([("w99999 w0",)], "t string"), large, "t").first().ids == [99_999, 0]
+
+
+def test_a_vocabulary_has_every_token_once(spark):
+    for rows in ([("a", 1), ("a", 2)], [("a", 1), (None, 2)], [("a", None)]):
+        with pytest.raises(ValueError):
+            check_vocabulary(spark.createDataFrame(rows, "token string, id int"))
 
 
 COLUMNS = ["a", "value", "x"]

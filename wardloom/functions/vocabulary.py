@@ -1,99 +1,53 @@
-"""A vocabulary as a constant inside the plan, and greedy word pieces on top of it.
-
-Packed token ids are 16 bits wide, so a vocabulary has at most 32,768 entries. That bound makes it a constant: every task looks
-words up where they are, and no text has to be shuffled to meet the vocabulary.
-"""
+"""Greedy word pieces by joins with a vocabulary table: every different word is cut once, however often it occurs."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ENTRIES = 2**15
-MAX_WORD_CHARS = 100
 CONTINUED = "##"
-OPENING = ""  # private-use mark: the key after it is the opening of entries, its value their greatest length
-OPENING_CHARS = 2
-
-
-@dataclass(frozen=True)
-class Vocabulary:
-    slots: str  # JSON list of {key: number}; a key lives in the slot its hash names
-    size: int
-
-    @classmethod
-    def read(cls, entries: DataFrame) -> Vocabulary:
-        """From a (token, id) table. More entries than 16-bit ids can name are an error.
-
-        Besides the ids, the table keeps how long entries with the same first two characters get, which tells early that there is
-        nothing longer to look for.
-        """
-        mark = F.when(F.startswith("token", F.lit(CONTINUED)), CONTINUED).otherwise("")
-        bare = F.substring("token", F.length(mark) + 1, F.length("token"))
-        opening = F.concat(F.lit(OPENING), mark, F.substring(bare, 1, OPENING_CHARS))
-        rows = entries.select("token", F.col("id").cast("int").alias("id"), opening.alias("opening"), F.length(bare).alias("chars"))
-        rows = rows.limit(MAX_ENTRIES + 1).collect()
-        if len(rows) > MAX_ENTRIES or any(not 0 <= r.id < MAX_ENTRIES for r in rows):
-            raise ValueError("token ids must fit 16 bits: at most 32,768 entries, ids from 0 to 32,767")
-        numbers = {r.token: r.id for r in rows}
-        for r in rows:
-            numbers[r.opening] = max(r.chars, numbers.get(r.opening, 0))
-        size = 2 ** len(numbers).bit_length()
-        return cls(json.dumps(cls._slotted(entries.sparkSession, numbers, size), separators=(",", ":")), size)
-
-    @staticmethod
-    def _slotted(spark, numbers: dict[str, int], size: int) -> list[dict[str, int]]:
-        keys = spark.createDataFrame([(k,) for k in numbers], "key string")
-        slots = [{} for _ in range(size)]
-        for r in keys.select("key", F.pmod(F.xxhash64("key"), F.lit(size)).alias("slot")).collect():
-            slots[r.slot][r.key] = numbers[r.key]
-        return slots
-
-    def using(self, build: Callable[[Column], Column]) -> Column:
-        """``build(table)`` with the constant table as a variable, so that it stands in the plan once."""
-        table = F.from_json(F.lit(self.slots), "array<map<string,int>>")
-        return F.transform(F.array(table), build)[0]
-
-    def number_of(self, table: Column, key: Column) -> Column:
-        return F.try_element_at(table[F.pmod(F.xxhash64(key), F.lit(self.size))], key)
-
-    def pieces(self, table: Column, word: Column, unknown: int) -> Column:
-        """Ids of ``word``: the longest entry first, then the longest continuation, and so on. A word that cannot be finished
-        this way, or is longer than 100 characters, is the unknown id."""
-        whole = F.transform(F.array(self.number_of(table, word)), lambda i: F.when(i.isNotNull(), F.array(i)))[0]
-        walked = F.when(F.length(word) <= MAX_WORD_CHARS, self._walk(table, word))
-        return F.coalesce(whole, walked, F.array(F.lit(unknown)))
-
-    def _walk(self, table: Column, word: Column) -> Column:
-        size = F.length(word)
-
-        def longest_from(first: Column) -> Column:
-            """(last, id) of the longest entry that starts at ``first``; looking stops at the first hit."""
-            mark = F.when(first == 1, "").otherwise(CONTINUED)
-            opening = F.concat(F.lit(OPENING), mark, F.substring(word, first, F.lit(OPENING_CHARS)))
-            reach = F.coalesce(self.number_of(table, opening), F.lit(1))
-
-            def look(best, last):
-                token = F.concat(mark, F.substring(word, first, last - first + 1))
-                return F.when(best["id"].isNotNull(), best).otherwise(F.struct(last.alias("last"), self.number_of(table, token).alias("id")))
-
-            ends = F.sequence(F.least(size, first + reach - 1), first, F.lit(-1))
-            nothing = F.struct(F.lit(0).alias("last"), F.lit(None).cast("int").alias("id"))
-            return F.aggregate(ends, nothing, look)
-
-        def advance(walk, first):
-            def take(found):
-                more = F.struct((found["last"] + 1).alias("next"), F.concat(walk["ids"], F.array(found["id"])).alias("ids"))
-                stuck = F.struct(F.lit(0).alias("next"), walk["ids"].alias("ids"))
-                return F.when(found["id"].isNotNull(), more).otherwise(stuck)
 
-            # a one-element array names the search result, so it is computed once
-            step = F.transform(F.array(longest_from(first)), take)[0]
-            return F.when(walk["next"] == first, step).otherwise(walk)
 
-        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"))
-        return F.aggregate(F.sequence(F.lit(1), size), start, advance, lambda w: F.when(w["next"] == size + 1, w["ids"]))
+def check_vocabulary(entries: DataFrame) -> DataFrame:
+    """The (token, id) rows of a vocabulary; a token that is null or stands twice, or a null id, is an error."""
+    rows = entries.select("token", F.col("id").cast("int").alias("id"))
+    found = rows.agg(F.count("*"), F.count("token"), F.count_distinct("token"), F.count("id")).first()
+    if len(set(found)) > 1:
+        raise ValueError("a vocabulary has every token once, and tokens and ids are not null")
+    return rows
+
+
+def _walk(word: Column, steps: Column) -> Column:
+    """Ids along the longest entries from the first character to the last; null if the way ends before."""
+    size = F.length(word)
+    longest = F.map_from_entries(steps)
+
+    def advance(walk, first):
+        step = F.try_element_at(walk["longest"], first)
+        more = F.struct((step["last"] + 1).alias("next"), F.concat(walk["ids"], F.array(step["id"])).alias("ids"), walk["longest"].alias("longest"))
+        return F.when((walk["next"] == first) & step.isNotNull(), more).otherwise(walk)
+
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"), longest.alias("longest"))
+    return F.aggregate(F.sequence(F.lit(1), size), start, advance, lambda w: F.when(w["next"] == size + 1, w["ids"]))
+
+
+def word_table(words: DataFrame, entries: DataFrame, unknown: int, max_word_chars: int | None = None) -> DataFrame:
+    """(word, ids) of the distinct words of ``words`` (word): the longest entry first, then the longest continuation, and so on.
+
+    A word that cannot be finished this way is the unknown id; with ``max_word_chars`` also one that is longer and no entry itself. Spans of words meet the
+    vocabulary in an equality join, and a word's spans are combined in the tasks; neither side reaches the driver.
+    """
+    distinct = words.select("word").where("word IS NOT NULL").distinct()
+    whole = distinct.join(entries.select(F.col("token").alias("word"), "id"), "word", "left")
+    greatest = entries.agg(F.max(F.length("token"))).first()[0] or 0
+    first, last, size = F.col("first"), F.col("last"), F.length("word")
+    open_ = whole.where("id IS NULL" if max_word_chars is None else f"id IS NULL AND length(word) <= {int(max_word_chars)}").select("word")
+    starts = open_.where(size > 0).select("word", F.explode(F.sequence(F.lit(1), size)).alias("first"))
+    spans = starts.select("word", "first", F.explode(F.sequence(first, F.least(size, first + greatest - 1))).alias("last"))
+    mark = F.when(first == 1, "").otherwise(CONTINUED)
+    spans = spans.withColumn("token", F.concat(mark, F.substring(F.col("word"), first, last - first + 1)))
+    best = spans.join(entries, "token").groupBy("word", "first").agg(F.max("last").alias("last"), F.max_by("id", "last").alias("id"))
+    steps = best.groupBy("word").agg(F.collect_list(F.struct("first", F.struct("last", "id"))).alias("steps"))
+    walked = steps.select("word", _walk(F.col("word"), F.col("steps")).alias("walked"))
+    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(F.coalesce("walked", F.array(F.lit(unknown))))
+    return whole.join(walked, "word", "left").select("word", ids.alias("ids"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardloom.functions.numbers import NUMBER_OR_DOTS, number_places, round_decimals
-from wardloom.functions.vocabulary import Vocabulary
 from wardloom.spec import TokenIds
 
 # Characters that are words of their own, white space, and characters that are removed.
@@ -28,15 +27,22 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, REMOVED, ""), F.lit(WORD), F.lit(0))
 
 
-def text_ids(text: Column, vocab: Vocabulary, unknown: int, lower: bool = True) -> Column:
-    """Vocabulary ids of a whole text, without special tokens."""
-    words = plain_words(F.lower(text) if lower else text)
-    return vocab.using(lambda table: F.flatten(F.transform(words, lambda w: vocab.pieces(table, w, unknown))))
+ITEM = "struct<word:string,ids:array<int>,dpes:array<int>>"
 
 
-def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool = True) -> Column:
-    """(ids, dpes) of a unit text: decimals are rounded, then every digit and dot is a token with its place code; the tokens of
-    other words have no place. Two plain arrays: a struct per token would cost more than the token."""
+def _word_item(word: Column) -> Column:
+    none = F.lit(None).cast("array<int>")
+    return F.struct(word.alias("word"), none.alias("ids"), none.alias("dpes"))
+
+
+def text_items(text: Column, lower: bool = True) -> Column:
+    """A whole text as items: its words, in order."""
+    return F.transform(plain_words(F.lower(text) if lower else text), _word_item).cast(f"array<{ITEM}>")
+
+
+def unit_items(text: Column, tokens: TokenIds, lower: bool = True) -> Column:
+    """A unit text as items: decimals are rounded, then every number or run of dots is its digits and dots as tokens with their place
+    codes, and everything else is words, for the vocabulary to name."""
 
     def digit_or_dot(char):
         digit = F.ascii(char) + (tokens.zero - ord("0"))
@@ -44,22 +50,14 @@ def unit_tokens(text: Column, vocab: Vocabulary, tokens: TokenIds, lower: bool =
         return digit if tokens.zero - tokens.dot == ord("0") - ord(".") else F.when(char == ".", tokens.dot).otherwise(digit)
 
     def number(segment):
-        return F.struct(F.transform(F.split(segment, ""), digit_or_dot).alias("ids"), number_places(segment).alias("dpes"))
-
-    def other(table, segment):
-        ids = F.flatten(F.transform(plain_words(segment), lambda w: vocab.pieces(table, w, tokens.unknown)))
-        placed = F.transform(
-            F.array(ids), lambda i: F.struct(i.alias("ids"), F.array_repeat(F.lit(tokens.no_place), F.size(i)).alias("dpes"))
-        )
-        return placed[0]
+        ids = F.transform(F.split(segment, ""), digit_or_dot)
+        return F.array(F.struct(F.lit(None).cast("string").alias("word"), ids.alias("ids"), number_places(segment).alias("dpes")))
 
-    def starts_number(segment):
+    def is_number(segment):
         return (segment >= ".") & (segment < ":") & ~F.startswith(segment, F.lit("/"))
 
-    def encoded(table):
-        segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
-        parts = F.transform(segments, lambda s: F.when(starts_number(s), number(s)).otherwise(other(table, s)))
-        whole = F.transform(F.array(parts), lambda p: F.struct(F.flatten(p["ids"]).alias("ids"), F.flatten(p["dpes"]).alias("dpes")))
-        return whole[0]
-
-    return vocab.using(encoded)
+    segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
+    kind = f"array<{ITEM}>"
+    return F.flatten(
+        F.transform(segments, lambda s: F.when(is_number(s), number(s).cast(kind)).otherwise(F.transform(plain_words(s), _word_item).cast(kind)))
+    )

@@ -41,13 +41,14 @@ def attach_observed(
     events: DataFrame, cohort: DataFrame, time: str, obs: int, keys: Keys = Keys()
 ) -> DataFrame:
     """Absolute-time events inside the observation window of their stay, by stay key if the table has one,
-    else by admission and stay range. One slice per window length keeps a stay's rows in two or three slices."""
+    else by admission and stay range. By stay the rows are dealt by the stay alone, so whatever follows for the stay needs no other exchange;
+    an oversized stay is split at run time. By admission one slice per window length keeps a stay's rows in two or three slices."""
     stays = cohort.select(keys.admission, keys.stay, "intime", "outtime_min")
     if keys.stay in events.columns:
-        # the join below takes its own time range, so outtime plays no part here
-        return _attach_range(
-            events.drop(keys.admission), stays.drop(keys.admission), keys.stay, time, F.lit(obs * 60), None, obs * 3600
-        )
+        # the window is the time range, so outtime plays no part here
+        earliest, latest = second_bounds(0, F.lit(obs * 60))
+        timed = events.drop(keys.admission).withColumn(time, instant(events, time)).join(stays.drop(keys.admission), keys.stay)
+        return timed.where(F.unix_seconds(time).between(F.unix_seconds("intime") + earliest, F.unix_seconds("intime") + latest))
     return _attach_range(events, stays, keys.admission, time, F.col("outtime_min"), obs * 60, obs * 3600)
 
 
@@ -82,7 +83,9 @@ def describe_codes(events: DataFrame, dictionaries: Mapping[str, DataFrame]) ->
     """Replace each code column by its text. A dictionary is (code, text), one row per code; unknown codes become null."""
     out = events
     for col, dictionary in dictionaries.items():
-        # an unknown or null code finds nothing, so no left row is lost and none is doubled
+        # an unknown code finds nothing, so no left row is lost and none is doubled; null codes stay out of the join
         texts = dictionary.select(F.col("code").alias(col), F.col("text").alias("_text"))
-        out = out.join(texts, col, "left").withColumn(col, F.col("_text")).drop("_text")
+        text = dictionary.schema["text"].dataType
+        coded = out.where(F.col(col).isNotNull()).join(texts, col, "left").withColumn(col, F.col("_text")).select(events.columns)
+        out = coded.unionByName(out.where(F.col(col).isNull()).withColumn(col, F.lit(None).cast(text)).select(events.columns))
     return out.select(events.columns)

@@ -63,13 +63,18 @@ def crosswalk_codes(codes: DataFrame, mapping: DataFrame, backoff: bool = False)
 def convert_versions(
     diagnoses: DataFrame, mapping: DataFrame, code: str, version: str, backoff: bool = False
 ) -> DataFrame:
-    """Add ``converted``: version 9 codes stay, version 10 codes go through the crosswalk. The two parts are kept apart, so
-    that old codes do not all travel to the join as one null key."""
+    """Add ``converted``: version 9 codes stay, version 10 codes go through the crosswalk. Without back-off the rows are scanned once and meet the
+    crosswalk, one row per code. Old codes get a key that no crosswalk has, a different one for each code, so they neither match nor meet in one place.
+    """
     is_modern = F.coalesce(F.col(version).cast("string").try_cast("int") == 10, F.lit(False))
-    modern, old = diagnoses.where(is_modern), diagnoses.where(~is_modern)
-    walk = crosswalk_codes(modern.select(F.col(code).alias("code")), mapping, backoff).withColumnRenamed("code", code)
-    walked = modern.join(walk, code, "left").select(*diagnoses.columns, "converted")
-    return walked.unionByName(old.withColumn("converted", F.col(code)))
+    if backoff:
+        walk = crosswalk_codes(diagnoses.where(is_modern).select(F.col(code).alias("code")), mapping, True)
+    else:
+        walk = last_per_code(mapping, "source", "target", "ord").toDF("code", "converted")
+    walk = walk.select(F.col("code").alias("_key"), F.col("converted").alias("_walked"))
+    key = F.when(is_modern, F.col(code)).otherwise(F.concat(F.lit("\u0000"), F.col(code)))
+    joined = diagnoses.withColumn("_modern", is_modern).withColumn("_key", key).join(walk, "_key", "left")
+    return joined.withColumn("converted", F.when(F.col("_modern"), F.col("_walked")).otherwise(F.col(code))).select(*diagnoses.columns, "converted")
 
 
 def label_code_set(

@@ -21,8 +21,9 @@ def recode(text: Column, mapping: Mapping[str, str]) -> Column:
     return out
 
 
-def _as_long(name: str) -> Column:
-    return F.col(name).cast("string").try_cast("long")
+def _as_long(df: DataFrame, name: str) -> Column:
+    """The column as it is if it is long already: filters on it then reach the scan."""
+    return F.col(name) if df.schema[name].dataType.simpleString() == "bigint" else F.col(name).cast("string").try_cast("long")
 
 
 def _age_at(birth: Column, at: Column) -> Column:
@@ -43,26 +44,26 @@ def normalize_stays(
         raise ValueError(f"unknown layout mode {layout.mode!r}")
 
     base = stays.select(
-        _as_long(layout.stay).alias("stay_id"),
-        _as_long(layout.admission).alias("hadm_id"),
-        F.col(layout.patient).cast("string").try_cast("long").alias("patient_id"),
+        _as_long(stays, layout.stay).alias("stay_id"),
+        _as_long(stays, layout.admission).alias("hadm_id"),
+        _as_long(stays, layout.patient).alias("patient_id"),
         F.col(layout.los).try_cast("double").alias("los"),
         instant(stays, layout.intime).alias("intime"),
         instant(stays, layout.outtime).alias("_out"),
         *[F.col(c).alias(n) for c, n in zip(layout.units or (), ("first_unit", "last_unit"))],
     )
     if layout.mode == "birthdate":
-        people = patients.select(_as_long(layout.patient).alias("patient_id"), instant(patients, layout.birth_date).alias("_born"))
+        people = patients.select(_as_long(patients, layout.patient).alias("patient_id"), instant(patients, layout.birth_date).alias("_born"))
         age = _age_at(F.col("_born"), F.col("intime"))
     else:
         people = patients.select(
-            _as_long(layout.patient).alias("patient_id"),
+            _as_long(patients, layout.patient).alias("patient_id"),
             F.col(layout.anchor_year).try_cast("int").alias("_year"),
             F.col(layout.anchor_age).try_cast("int").alias("_age"),
         )
         age = F.year("intime") - F.col("_year") + F.col("_age")
     visits = admissions.select(
-        _as_long(layout.admission).alias("hadm_id"),
+        _as_long(admissions, layout.admission).alias("hadm_id"),
         instant(admissions, layout.dischtime).alias("_left"),
         F.col(layout.location).alias("_place"),
     )
@@ -94,8 +95,8 @@ def _offset_stays(stays: DataFrame, layout: StayLayout) -> DataFrame:
     status, expired = layout.unit_status
     out = F.col(layout.outtime).try_cast("long")
     return stays.where(F.col(layout.age).isNotNull()).select(
-        _as_long(layout.stay).alias("stay_id"),
-        _as_long(layout.admission).alias("hadm_id"),
+        _as_long(stays, layout.stay).alias("stay_id"),
+        _as_long(stays, layout.admission).alias("hadm_id"),
         F.col(layout.patient).cast("string").alias("patient_id"),
         (out / 60 / 24).alias("los"),
         age.cast("int").alias("age"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wardloom.functions.arrays import many_hot, one_hot, pad_right
 from wardloom.plans.numbering import running_total, shuffled_position
+from wardloom.sources.stage import cut_lineage
 from wardloom.spec import Keys
 
 TIMES = ("intime", "outtime_min")
@@ -119,16 +120,14 @@ def _nothing_like(items: Column, element: T.DataType) -> Column:
 def batch_view(view: DataFrame, batch_size: int, classes: int, seed: int = 0, keys: Keys = Keys()) -> DataFrame:
     """Batches of a training view: ``batch``, channels padded to the longest item of the batch, one-hot ``label``.
 
-    The order is random but reproducible. Numbers come from the keys alone and lengths are met on narrow rows; the arrays move
-    once, to their batch number.
+    The order is random but reproducible. Keys and lengths are read once and written; numbers and longest items come from them. The arrays are read
+    once and move to their batch, whose rows are together in one partition.
     """
-    slim = view.select(keys.stay, F.lit(1).alias("_one"), shuffled_position(F.col(keys.stay), seed).alias("_position"))
-    numbers = running_total(slim, "_position", "_one").select(
-        keys.stay, F.floor((F.col("running") - 1) / batch_size).cast("long").alias("batch")
-    )
-    sized = numbers.join(view.select(keys.stay, F.size("input_ids").alias("_size")), keys.stay)
+    slim = view.select(keys.stay, F.size("input_ids").alias("_size"), F.lit(1).alias("_one"), shuffled_position(F.col(keys.stay), seed).alias("_position"))
+    running = running_total(cut_lineage(slim), "_position", "_one")
+    numbers = running.select(keys.stay, "_size", F.floor((F.col("running") - 1) / batch_size).cast("long").alias("batch"))
     longest = F.max("_size").over(Window.partitionBy("batch"))
-    placed = view.join(sized.select(keys.stay, "batch", longest.alias("_longest")), keys.stay)
+    placed = view.join(numbers.select(keys.stay, "batch", longest.alias("_longest")), keys.stay).repartition("batch")
     padded = []
     for name in ("input_ids", "type_ids", "dpe_ids"):
         element = view.schema[name].dataType.elementType

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.functions.times import instant
+from wardloom.sources.rules import typed
 from wardloom.spec import ExclusionRule, Keys
 
 FIRST = "first_excl"
@@ -30,11 +31,13 @@ def first_exclusion(
     parts = []
     for (table, time), group in by_table:
         group = list(group)
+        types = {name.lower(): kind for name, kind in tables[table].dtypes}
+        predicates = [F.expr(typed(r.predicate, types)) for r in group]
         # the items are tested at the scan; only the few rows left meet the stays of a restricted rule
-        hits = tables[table].where(_any([F.expr(r.predicate) for r in group]))
+        hits = tables[table].where(_any(predicates))
         tests = []
         for n, rule in enumerate(group):
-            test = F.expr(rule.predicate)
+            test = predicates[n]
             if rule.only_stays:
                 name, where = rule.only_stays
                 allowed = tables[name].where(where).select(stay).distinct().withColumn(f"_allowed_{n}", F.lit(True))

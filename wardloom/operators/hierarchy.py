@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from wardloom.sources.stage import cut_lineage
 
 SEPARATOR = "|"
-CUT_EVERY = 8
 
 
 def _parts(path: Column) -> Column:
@@ -34,7 +33,7 @@ def vote_nodes(labelled: DataFrame, max_depth: int) -> DataFrame:
 
     A labelled path keeps its tag; any other node takes the most common tag of its direct children. Each level is one
     aggregation that counts votes per (parent, tag) inside the tasks before the shuffle, so a parent with very many
-    children costs no more than one with few.
+    children costs no more than one with few; work grows with the depth, as every level is written.
     """
     own = labelled.select(F.col("path").alias("node"), "tag", _depth(F.col("path")).alias("depth"), F.col("path").alias("first"))
     level, nodes = None, None
@@ -47,9 +46,8 @@ def vote_nodes(labelled: DataFrame, max_depth: int) -> DataFrame:
                 .select("node", "tag", "votes", "first")
             )
             here = here.unionByName(votes)
-        level = _winner(here)
-        if (max_depth - depth) % CUT_EVERY == CUT_EVERY - 1:
-            level = cut_lineage(level)
+        # written, so that neither the next level nor the union of all plans it again
+        level = cut_lineage(_winner(here))
         found = level.select("node", "tag")
         nodes = found if nodes is None else nodes.unionByName(found)
     return nodes

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from wardloom.spec import Keys
 
-LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-SALTS = 64
-
 
 def _latest_first(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc() for c in order]
@@ -24,16 +21,9 @@ def _stay_window(stay: str, order: Sequence[str]):
 def latest_events(events: DataFrame, count: int, order: Sequence[str], keys: Keys = Keys(), out: str = "event_no") -> DataFrame:
     """The last ``count`` events of every stay, numbered from the latest (1).
 
-    Up to Spark's group-limit threshold the filter on the row number already prunes each task to ``count`` rows per stay
-    before the shuffle. Above it the same pruning is done here, on salted parts of the stay.
+    The filter on the row number lets every task keep ``count`` rows per stay before the shuffle (window group limit), as long as ``count`` is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting for longer histories.
     """
-    threshold = int(events.sparkSession.conf.get(LIMIT_SETTING, "1000"))
-    if count > threshold:
-        salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
-        part = Window.partitionBy(keys.stay, "_salt").orderBy(*_latest_first(order))
-        events = (
-            events.withColumn("_salt", salt).withColumn("_nth", F.row_number().over(part)).where(F.col("_nth") <= count).drop("_salt", "_nth")
-        )
     return events.withColumn(out, F.row_number().over(_stay_window(keys.stay, order))).where(F.col(out) <= count)
 
 

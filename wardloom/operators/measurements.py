@@ -27,9 +27,10 @@ def _task_values(labs: DataFrame, lab: LabTable, tasks: Sequence[MeasurementTask
     """One filtered scan for all tasks: rows of any task's items that carry a value."""
     code = F.col(lab.code)
     wanted = sorted({item for t in tasks for item in t.items}, key=str)
-    numeric = all(isinstance(i, int) for i in wanted)
-    code = code.try_cast("long") if numeric else code
-    return labs.where(code.isin(wanted) & F.col(lab.value).isNotNull()).withColumn("_item", code)
+    # compared in the column's own type, so that the list reaches the scan; the few rows left are cast
+    text = labs.schema[lab.code].dataType.simpleString() == "string"
+    found = labs.where(code.isin([str(i) for i in wanted] if text else wanted) & F.col(lab.value).isNotNull())
+    return found.withColumn("_item", code.try_cast("long") if all(isinstance(i, int) for i in wanted) else code)
 
 
 def label_measurement(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardloom.operators.cohort import DEATH
@@ -10,7 +10,6 @@ from wardloom.operators.cohort import DEATH
 IN_UNIT = "IN_ICU_MORTALITY"
 IN_HOSPITAL = "IN_HOSPITAL_MORTALITY"
 NO_DISCHARGE = "No Discharge"
-MAX_CLASSES = 2**15
 
 
 def _true(predicate: Column) -> Column:
@@ -52,29 +51,20 @@ def imminent_discharge(cohort: DataFrame, obs: int, gap: int, pred: int, out: st
     return cohort.withColumn(out, F.when(discharged, place).otherwise(NO_DISCHARGE))
 
 
-def _class_names(df: DataFrame, col: str) -> DataFrame:
-    """One row: the sorted distinct classes. More classes than 16-bit labels can number are an error, found before the
-    list is built."""
-    names = df.select(F.col(col).alias("name")).where("name is not null").distinct().limit(MAX_CLASSES + 1)
-    listed = names.agg(F.sort_array(F.collect_list("name")).alias("names"))
-    too_many = F.raise_error(F.lit(f"{col} has more than {MAX_CLASSES} classes"))
-    return listed.select(F.when(F.size("names") <= MAX_CLASSES, F.col("names")).otherwise(too_many).alias("names"))
-
-
 def class_dictionary(df: DataFrame, col: str) -> DataFrame:
-    """(index, name) of the distinct classes in name order."""
-    return _class_names(df, col).select(F.posexplode("names").alias("index", "name"))
+    """(index, name) of the distinct classes in name order; one row for each class takes part."""
+    names = df.select(F.col(col).alias("name")).where("name is not null").distinct()
+    return names.select((F.row_number().over(Window.orderBy("name")) - 1).alias("index"), "name")
 
 
 def encode_classes(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
-    """Replace a class text by its index (null: -1); also return the dictionary.
-
-    The sorted list of classes is one scalar of the query, so rows are coded in place: a class that holds most of
-    the rows costs nothing extra.
-    """
-    index = F.array_position(_class_names(df, col).scalar(), F.col(col)) - 1
-    coded = df.withColumn(col, F.coalesce(index, F.lit(-1)).cast("int"))
-    return coded, class_dictionary(df, col)
+    """Replace a class text by its index (null: -1); also return the dictionary. The planner broadcasts the dictionary where its size allows
+    it, and splits a class that holds most of the rows at run time otherwise; null classes stay out of the join."""
+    dictionary = class_dictionary(df, col)
+    known = dictionary.select(F.col("name").alias(col), F.col("index").alias("_index"))
+    coded = df.where(F.col(col).isNotNull()).join(known, col).withColumn(col, F.col("_index").cast("int")).select(df.columns)
+    rest = df.where(F.col(col).isNull()).withColumn(col, F.lit(-1)).select(df.columns)
+    return coded.unionByName(rest), dictionary
 
 
 def label_final_acuity(cohort: DataFrame) -> tuple[DataFrame, DataFrame]:

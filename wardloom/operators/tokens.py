@@ -1,59 +1,147 @@
-"""Word pieces of texts, and token arrays of events. Everything happens inside the row: no text is shuffled."""
+"""Word pieces of texts, and token arrays of events. Different texts are encoded once, different words cut once; rows look the result up."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.functions.vocabulary import Vocabulary
-from wardloom.functions.words import text_ids, unit_tokens
+from wardloom.functions.vocabulary import check_vocabulary, word_table
+from wardloom.functions.words import text_items, unit_items
+from wardloom.sources.stage import cut_lineage
 from wardloom.spec import TokenIds
 
 TOKENS = "struct<ids:array<int>,dpes:array<int>>"
 
 
-def word_pieces(
-    texts: DataFrame, vocab: Vocabulary, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "ids"
+def _digest(text: Column) -> Column:
+    """What stands for a text where rows meet: short, however long the text is."""
+    return F.md5(text.cast("binary"))
+
+
+def encode_distinct(
+    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None
 ) -> DataFrame:
-    """Add the vocabulary ids of whole texts."""
-    return texts.withColumn(out, text_ids(F.col(text), vocab, tokens.unknown, lower))
+    """(digest, ids, dpes) of the different texts of ``texts`` (text). ``items`` gives a text's words and numbers in order."""
+    once = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text").dropDuplicates(["digest"])
+    # read twice, for the different words and for the places they stand at
+    placed = cut_lineage(once.select("digest", F.posexplode_outer(items(F.col("text"))).alias("pos", "item")).select("digest", "pos", "item.*"))
+    known = word_table(placed.select("word"), check_vocabulary(vocab), tokens.unknown, max_word_chars)
+    # numbers need no vocabulary, so they do not travel to the words as one null key
+    words = placed.where("word IS NOT NULL").select("digest", "pos", "word").join(known, "word")
+    words = words.select("digest", "pos", "ids", F.array_repeat(F.lit(tokens.no_place), F.size("ids")).alias("dpes"))
+    parts = words.unionByName(placed.where("word IS NULL").select("digest", "pos", "ids", "dpes"))
+    whole = parts.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("p"))
 
+    def chained(channel: str) -> Column:
+        return F.flatten(F.filter(F.col("p")[channel], lambda x: x.isNotNull())).alias(channel)
 
-def encode_texts(
-    texts: DataFrame, vocab: Vocabulary, text: str, tokens: TokenIds = TokenIds(), lower: bool = True, out: str = "tokens"
+    return whole.select("digest", chained("ids"), chained("dpes"))
+
+
+def _with_tokens(texts: DataFrame, encoded: DataFrame, text: str) -> DataFrame:
+    return texts.withColumn("digest", _digest(F.col(text))).join(encoded, "digest", "left").drop("digest")
+
+
+def word_pieces(
+    texts: DataFrame,
+    vocab: DataFrame,
+    text: str,
+    tokens: TokenIds = TokenIds(),
+    lower: bool = True,
+    out: str = "ids",
+    max_word_chars: int | None = None,
 ) -> DataFrame:
-    """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``."""
-    return texts.withColumn(out, unit_tokens(F.col(text), vocab, tokens, lower))
+    """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids."""
+    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower), tokens, max_word_chars)
+    return _with_tokens(texts, found.select("digest", F.col("ids").alias(out)), text)
 
 
-def _heads(spark: SparkSession, heads: Sequence[tuple[str, Sequence[str]]], vocab: Vocabulary, tokens: TokenIds, lower: bool) -> Column:
-    """Per event table its name and its column names as tokens. They are encoded once, and as there are only as many as the
-    source has event columns, the result is a constant of the plan."""
-    rows = [F.struct(F.lit(table).alias("table"), F.array(*map(F.lit, columns)).alias("columns")) for table, columns in heads]
-    encoded = spark.range(1).select(F.inline(F.array(*rows))).select(
-        unit_tokens(F.col("table"), vocab, tokens, lower).alias("table"),
-        F.transform("columns", lambda c: unit_tokens(c, vocab, tokens, lower)).alias("names"),
-    )
-    known = encoded.agg(F.to_json(F.collect_list(F.struct("table", "names")))).first()[0]
-    return F.from_json(F.lit(known), f"array<struct<table:{TOKENS},names:array<{TOKENS}>>>")
+def encode_texts(
+    texts: DataFrame,
+    vocab: DataFrame,
+    text: str,
+    tokens: TokenIds = TokenIds(),
+    lower: bool = True,
+    out: str = "tokens",
+    max_word_chars: int | None = None,
+) -> DataFrame:
+    """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``. A null text has none."""
+    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars)
+    return _with_tokens(texts, found.select("digest", F.struct("ids", "dpes").alias(out)), text)
+
+
+def _names(heads: Sequence[tuple[str, Sequence[str]]], spark: SparkSession) -> DataFrame:
+    names = sorted({name for table, columns in heads for name in (table, *columns)})
+    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("text"))
+
+
+def _heads(heads: Sequence[tuple[str, Sequence[str]]], encoded: DataFrame) -> Column:
+    """Per event table its name and its column names as tokens: as many as the source has event columns, so a constant of the plan."""
+    rows = _names(heads, encoded.sparkSession).withColumn("digest", _digest(F.col("text"))).join(encoded, "digest").select("text", "ids", "dpes").collect()
+    known = {r.text: r for r in rows}
+
+    def constant(name: str) -> Column:
+        parts = [F.array(*[F.lit(i) for i in known[name][c]]).cast("array<int>").alias(c) for c in ("ids", "dpes")]
+        return F.struct(*parts)
+
+    tables = [
+        F.struct(constant(table).alias("table"), F.array(*[constant(c) for c in columns]).cast(f"array<{TOKENS}>").alias("names"))
+        for table, columns in heads
+    ]
+    return F.array(*tables)
+
+
+def _described(units: DataFrame, dictionaries: Mapping[tuple[int, int], DataFrame]) -> DataFrame:
+    """Values of described columns replaced by their texts. ``dictionaries``: (code, text) by (table_no, pos); unknown codes vanish."""
+    out = units
+    for numeric in (True, False):
+        parts = []
+        for (table_no, pos), rows in dictionaries.items():
+            if (rows.schema["code"].dataType.simpleString() != "string") == numeric:
+                code = F.col("code").cast("long").cast("string") if numeric else F.col("code")
+                parts.append(rows.select(F.lit(table_no).alias("table_no"), F.lit(pos).alias("pos"), code.alias("code"), "text"))
+        if parts:
+            known = parts[0]
+            for part in parts[1:]:
+                known = known.unionByName(part)
+            places = [(F.col("table_no") == t) & (F.col("pos") == p) for (t, p), r in dictionaries.items() if (r.schema["code"].dataType.simpleString() != "string") == numeric]
+            here = places[0]
+            for place in places[1:]:
+                here = here | place
+            code = F.col("value").try_cast("long").cast("string") if numeric else F.col("value")
+            found = out.where(here).withColumn("code", code).join(known, ["table_no", "pos", "code"])
+            found = found.select("_event", "table_no", "pos", F.col("text").alias("value")).where("value IS NOT NULL")
+            out = out.where(~here).unionByName(found)
+    return out
 
 
 def encode_events(
     events: DataFrame,
     heads: Sequence[tuple[str, Sequence[str]]],
-    vocab: Vocabulary,
+    vocab: DataFrame,
     max_event_tokens: int,
     tokens: TokenIds = TokenIds(),
     lower: bool = True,
+    dictionaries: Mapping[tuple[int, int], DataFrame] | None = None,
+    max_word_chars: int | None = None,
 ) -> DataFrame:
     """Replace ``units`` by ``ids``, ``types`` and ``dpes``: table name, then (column, value) units while they fit.
 
-    ``events`` has ``units`` from ``event_units`` and ``table_no`` into ``heads`` (table name, column names). The first unit that
-    would pass the limit (two places stay free for the markers) ends the event. Rows stay where they are.
+    ``events`` has ``units`` (pos, value) from ``event_units`` and ``table_no`` into ``heads`` (table name, column names). The first unit
+    that would pass the limit (two places stay free for the markers) ends the event. With ``dictionaries``, by (table_no, pos), codes are
+    replaced by their texts first. Every different value is encoded once; events are written on the way, and only (event, position, value) moves
+    to the values and back.
     """
-    known = _heads(events.sparkSession, heads, vocab, tokens, lower)
+    rows = cut_lineage(events.withColumn("_event", F.monotonically_increasing_id()))
+    units = rows.select("_event", "table_no", F.explode("units").alias("u")).select("_event", "table_no", "u.pos", "u.value")
+    units = _described(units, dictionaries) if dictionaries else units
+    texts = units.select(F.col("value").alias("text")).unionByName(_names(heads, events.sparkSession))
+    encoded = cut_lineage(encode_distinct(texts, vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars))
+    known = _heads(heads, encoded)
+    valued = units.withColumn("digest", _digest(F.col("value"))).join(encoded, "digest")
+    values = valued.groupBy("_event").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("values"))
     room = max_event_tokens - 2
 
     def state(ids, types, dpes, full):
@@ -63,24 +151,19 @@ def encode_events(
         return F.array_repeat(F.lit(type_id), F.size(part["ids"]))
 
     def grow(event, unit):
-        name, value = unit["name"], unit["value"]
-        fits = F.size(event["ids"]) + F.size(name["ids"]) + F.size(value["ids"]) <= room
+        name = F.col("_head.names")[unit["pos"]]
+        fits = F.size(event["ids"]) + F.size(name["ids"]) + F.size(unit["ids"]) <= room
         longer = state(
-            F.concat(event["ids"], name["ids"], value["ids"]),
-            F.concat(event["types"], repeated(tokens.column_type, name), repeated(tokens.value_type, value)),
-            F.concat(event["dpes"], name["dpes"], value["dpes"]),
+            F.concat(event["ids"], name["ids"], unit["ids"]),
+            F.concat(event["types"], repeated(tokens.column_type, name), repeated(tokens.value_type, unit)),
+            F.concat(event["dpes"], name["dpes"], unit["dpes"]),
             False,
         )
         return F.when(~event["full"] & fits, longer).otherwise(state(event["ids"], event["types"], event["dpes"], True))
 
-    def whole(head: Column) -> Column:
-        units = F.transform(
-            "units",
-            lambda u: F.struct(head["names"][u["pos"]].alias("name"), unit_tokens(u["value"], vocab, tokens, lower).alias("value")),
-        )
-        table = head["table"]
-        return F.aggregate(units, state(table["ids"], repeated(tokens.table_type, table), table["dpes"], False), grow)
-
     carried = [c for c in events.columns if c != "units"]
-    encoded = F.transform(F.array(known[F.col("table_no")]), whole)[0]
-    return events.select(*carried, encoded.alias("_event")).select(*carried, "_event.ids", "_event.types", "_event.dpes")
+    joined = rows.drop("units").join(values, "_event", "left").withColumn("_head", known[F.col("table_no")])
+    table = F.col("_head.table")
+    none = F.array().cast("array<struct<pos:int,ids:array<int>,dpes:array<int>>>")
+    whole = F.aggregate(F.coalesce("values", none), state(table["ids"], repeated(tokens.table_type, table), table["dpes"], False), grow)
+    return joined.select(*carried, whole.alias("_tokens")).select(*carried, "_tokens.ids", "_tokens.types", "_tokens.dpes")

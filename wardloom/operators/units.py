@@ -14,10 +14,15 @@ def feature_columns(columns: Sequence[str], skip: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in set(skip)]
 
 
-def event_units(events: DataFrame, columns: Sequence[str], out: str = "units") -> DataFrame:
-    """Add an array of (pos, name, value) for the non-null ``columns``, in the order given."""
-    pairs = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)]
-    return events.withColumn(out, F.filter(F.array(*pairs), lambda u: u.value.isNotNull()))
+def event_units(events: DataFrame, columns: Sequence[str], out: str = "units", names: bool = True) -> DataFrame:
+    """Add an array of (pos, name, value) for the non-null ``columns``, in the order given; without ``names`` of (pos, value), for rows
+    that travel: the position says the name."""
+    pairs = []
+    for i, c in enumerate(columns):
+        name = [F.lit(c).alias("name")] if names else []
+        pairs.append(F.struct(F.lit(i).alias("pos"), *name, F.col(c).cast("string").alias("value")))
+    kind = f"array<struct<pos:int,{'name:string,' if names else ''}value:string>>"
+    return events.withColumn(out, F.filter(F.array(*pairs).cast(kind), lambda u: u.value.isNotNull()))
 
 
 def union_events(tables: Sequence[DataFrame]) -> DataFrame:

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.functions.vocabulary import Vocabulary
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.sources import stage, tables
 from wardloom.spec import DiagnosisSpec, EventTableSpec, Keys, Params, SourceSpec, TokenIds
 
 ORDER = ("time_min", "table_no", "row_key")
-Keep = Callable[[DataFrame, str], DataFrame]
+
+
+# columns that labels are made from; a record that is trained on must not hold them
+LABEL_SOURCES = ("los", "in_icu_mortality", "dischtime_min", "hos_discharge_location", "age")
+LABELS = ("mortality", "long_term_mortality", "los_3day", "los_7day", "readmission", "final_acuity", "imminent_discharge")
+
+
+def check_options(spec: SourceSpec, params: Params) -> None:
+    """Names that do not exist, and what the source cannot give, are errors before anything is read."""
+    known = {t.name for t in spec.labs.tasks} if spec.labs else set()
+    for kind, asked, there in (("label", params.labels, set(LABELS)), ("measurement", params.measurements, known)):
+        if unknown := sorted(set(asked) - there):
+            raise ValueError(f"unknown {kind}: {', '.join(unknown)}; known are {', '.join(sorted(there)) or 'none'}")
+    if params.diagnosis and spec.diagnosis is None:
+        raise ValueError(f"source {spec.name} has no diagnosis table")
 
 
 @dataclass(frozen=True)
@@ -27,6 +40,7 @@ class Result:
 
 def open_source(spark: SparkSession, root: str, spec: SourceSpec, params: Params) -> dict[str, DataFrame]:
     """The tables a run of ``spec`` will touch, as lazy scans."""
+    check_options(spec, params)
     names = {spec.stays, *[t.name for t in spec.events]}
     names |= {n for n in (spec.patients, spec.admissions) if n}
     if params.diagnosis:
@@ -50,17 +64,21 @@ def _needs_exclusion(spec: SourceSpec, params: Params) -> bool:
     return any(t.before_exclusion and t.name in params.measurements for t in spec.labs.tasks) if spec.labs else False
 
 
+def _typed(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """``name`` as ``kind``. A column that has the type stays as it is, so that filters on it reach the scan."""
+    is_it = df.schema[name].dataType.simpleString() == {"long": "bigint"}.get(kind, kind)
+    return df if is_it else df.withColumn(name, F.col(name).cast("string").try_cast(kind))
+
+
 def _common_keys(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Key columns under their common names, as the cohort types them."""
     layout = spec.layout
     for old, new in ((layout.stay, "stay_id"), (layout.admission, "hadm_id")):
         if old in df.columns:
-            df = df.withColumn(old, F.col(old).cast("string").try_cast("long")).withColumnRenamed(old, new)
+            df = _typed(df, old, "long").withColumnRenamed(old, new)
     if layout.patient in df.columns:
         kind = "string" if layout.mode == "capped" else "long"
-        df = df.withColumn(layout.patient, F.col(layout.patient).cast("string").try_cast(kind)).withColumnRenamed(
-            layout.patient, "patient_id"
-        )
+        df = _typed(df, layout.patient, kind).withColumnRenamed(layout.patient, "patient_id")
     return df
 
 
@@ -117,7 +135,7 @@ def label_diagnosis(stays, inputs, spec, params, categories, crosswalk, keys) ->
     dx = spec.diagnosis
     rows = inputs[dx.table]
     if dx.style == "paths" and "row_order" not in rows.columns:
-        rows = rows.withColumn("row_order", F.monotonically_increasing_id())
+        raise ValueError(f"{dx.table} needs row_order: the first code list of a path counts, and rows of a table have no order of their own")
     diagnosed, known = diagnosis_codes(rows, dx, categories, crosswalk, params)
     diagnosed = _common_keys(diagnosed, spec)
     if keys.admission not in diagnosed.columns:
@@ -158,8 +176,9 @@ def _event_limit(params: Params) -> int:
 
 def observed_events(
     inputs: Mapping[str, DataFrame], table: EventTableSpec, spec: SourceSpec, stays: DataFrame, params: Params, keys: Keys
-) -> tuple[DataFrame, list[str]]:
-    """Units of one event table inside the observation window, and its feature columns."""
+) -> tuple[DataFrame, list[str], dict[int, DataFrame]]:
+    """Units of one event table inside the observation window, its feature columns, and the dictionaries of those that hold codes, by
+    position. Codes become texts after the cut to the latest events: far fewer rows are looked up then."""
     rows = _common_keys(inputs[table.name], spec)
     common = {spec.layout.stay: keys.stay, spec.layout.admission: keys.admission, spec.layout.patient: keys.patient}
     excluded = [common.get(c, c) for c in table.exclude]
@@ -178,9 +197,8 @@ def observed_events(
         inside = attach.observation_window(rows, params.obs, "min", table.time)
         latest = history.latest_events(inside, _event_limit(params), ("time_min", "row_key"), keys).drop("event_no")
         seen = latest.join(stays.select(keys.stay), keys.stay, "left_semi")
-    texts = {code: inputs[name] for code, (name, _) in table.descriptions.items()}
-    described = attach.describe_codes(seen, texts) if texts else seen
-    return units.event_units(described, columns).select(keys.stay, "time_min", "row_key", "units"), columns
+    texts = {columns.index(code): inputs[name] for code, (name, _) in table.descriptions.items() if code in columns}
+    return units.event_units(seen, columns, names=False).select(keys.stay, "time_min", "row_key", "units"), columns, texts
 
 
 def run(
@@ -194,10 +212,12 @@ def run(
     lower: bool = True,
     reuse: str | None = None,
 ) -> Result:
-    """Run all steps. ``reuse`` names the input snapshot: with it, finished stages of the same spec and parameters are read
-    instead of computed again. Stays, labelled cohort and tokens are written on the way; the raw events are scanned once
-    and move once, to their stay."""
-    key = stage.fingerprint(reuse, spec, params, token_ids, lower)
+    """Run all steps. ``reuse`` names the input snapshot: with it, finished stages of the same spec, parameters, vocabulary, categories and crosswalk
+    are read instead of computed again. Stays, labelled cohort, the latest events, encoded values and packed stays are written on the way; raw events
+    are scanned once."""
+    check_options(spec, params)
+    content = [stage.content_key(t) for t in (vocab, categories, crosswalk)] if reuse else None
+    key = stage.fingerprint(reuse, spec, params, token_ids, lower, content)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         return stage.stage(df, f"{spec.name}-{name}", key) if reuse else stage.cut_lineage(df)
@@ -209,18 +229,20 @@ def run(
         stays = label_diagnosis(stays, inputs, spec, params, categories, crosswalk, keys)
     if params.measurements:
         stays = label_measurements(stays, inputs, spec, params, keys)
-    stays = keep(stays.drop("first_unit", "last_unit"), "cohort")
+    stays = keep(stays.drop("first_unit", "last_unit", *(() if params.label_sources else LABEL_SOURCES)), "cohort")
 
-    per_table, heads = [], []
-    for table in spec.events:
-        events, columns = observed_events(inputs, table, spec, stays, params, keys)
+    per_table, heads, dictionaries_at = [], [], {}
+    for number, table in enumerate(spec.events):
+        events, columns, texts = observed_events(inputs, table, spec, stays, params, keys)
         per_table.append(events)
         heads.append((table.name.rsplit("/", 1)[-1], columns))
-    # earlier events cannot survive the cut, so they are never encoded
+        dictionaries_at |= {(number, pos): rows for pos, rows in texts.items()}
+    # earlier events cannot survive the cut, so they are never described or encoded
     latest = history.latest_events(units.union_events(per_table), _event_limit(params), ORDER, keys)
-    encoded = tokens.encode_events(latest, heads, Vocabulary.read(vocab), params.max_event_tokens, token_ids, lower)
-    kept = keep(history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys), "tokens")
-    packed = packing.pack_stays(kept, params.max_event_tokens, params.max_stay_tokens, token_ids, keys)
-    active = kept.select(keys.stay).distinct()
+    encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, dictionaries_at)
+    # the cut to the token limit and the packing share one exchange by stay
+    fitted = history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys)
+    packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys), "packed")
+    active = packed.select(keys.stay)
     chosen = dataset.split_patients(dataset.keep_active(stays, active, keys), params.seeds, params.valid_percent, keys)
     return Result(chosen, packed, dictionaries, dataset.skipped_stays(stays, active, keys))

@@ -8,6 +8,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -39,6 +40,15 @@ def fingerprint(*parts) -> str:
     return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
 
 
+def content_key(df: DataFrame | None) -> str | None:
+    """A key for the rows of a table, in any order."""
+    if df is None:
+        return None
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    found = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(row, F.lit(1)))).first()
+    return fingerprint(sorted(df.dtypes), *[str(x) for x in found])
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

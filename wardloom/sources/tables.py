@@ -20,24 +20,17 @@ def find_table(spark: SparkSession, root: str, name: str) -> str:
     raise FileNotFoundError(f"{name} not found under {root} as {', '.join(SUFFIXES)}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan itself has fewer tasks: compressed CSV files and single row groups do not split."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(
-    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None, heavy: bool = False
+    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None, partitions: int | None = None
 ) -> DataFrame:
     """Scan one table. CSV columns are strings unless ``schema`` types some of them; names follow the header.
 
-    A typed CSV column is converted with a tolerant cast, so an unreadable value is null instead of an error. ``heavy`` says
-    that much work per row follows, so a scan with too few tasks is spread first; compressed CSV always is.
+    A typed CSV column is converted with a tolerant cast, so an unreadable value is null instead of an error. ``partitions`` deals the rows out anew:
+    for scans that do not split (compressed CSV, single row groups) before much work per row.
     """
-    path = find_table(spark, root, name)
-    df = _scan(spark, path)
-    if heavy or path.endswith(".gz"):
-        df = spread(df)
+    df = _scan(spark, find_table(spark, root, name))
+    if partitions is not None:
+        df = df.repartition(partitions)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if wanted is None:
         return df
