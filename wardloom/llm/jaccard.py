@@ -42,8 +42,8 @@ class Join:
     words: int = 4
     percent: int = 85
     bucket: int = 250_000
-    block: int = 2_000_000
-    batch: int = 2_000
+    block: int = 1_000_000
+    batch: int = 1_000
     broadcast_rows: int = 2_000_000
 
     def least(self, n):
@@ -59,8 +59,17 @@ class Join:
         return 100 * n >= self.percent * (n + 1)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time: what a task holds does not depend on the size of Spark's batches."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class Shingler:
-    """Shingle hashes of texts; keeps hashes of words between texts."""
+    """Shingle hashes of texts; keeps hashes of words between texts, at most ``keep``."""
+
+    keep = 100_000
 
     def __init__(self, words: int):
         self.words, self.known = words, {}
@@ -71,7 +80,7 @@ class Shingler:
         if len(found) < self.words:
             whole = b"\x00".join([*found, b"%d" % len(found)])
             return np.array([xxhash.xxh3_64_intdigest(whole)] if found else [], dtype=np.uint64)
-        if len(self.known) > 1_000_000:
+        if len(self.known) > self.keep:
             self.known.clear()
         known = self.known
         for word in set(found).difference(known):
@@ -97,7 +106,7 @@ def shingle_classes(docs: DataFrame, doc_id: str, text: str, join: Join) -> Data
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(join.words)
-        for batch in batches:
+        for batch in _slices(batches, join.batch):
             found = [(len(s), *_name(s)) for s in map(shingles, batch.column(1).to_pylist())]
             columns = [pa.array(list(c), pa.int64()) for c in (zip(*found) if found else [[]] * 3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "c1", "c2"])
@@ -161,12 +170,10 @@ def shared_shingles(docs: DataFrame, text: str, join: Join, buckets: int) -> Dat
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, names = Shingler(join.words), ["bucket", "shingles", "holders", "sets", "counts"]
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), join.batch):
-                rows = list(_sent(texts[at : at + join.batch], shingles, join, buckets))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+        for batch in _slices(batches, join.batch):
+            rows = list(_sent(batch.column(0).to_pylist(), shingles, join, buckets))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     schema = "bucket int, shingles binary, holders binary, sets binary, counts binary"
     rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(sent, schema)
@@ -183,7 +190,7 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str, chosen: DataFrame, join:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, names = Shingler(join.words), ["c1", "c2", "n", "shingles"]
-        for batch in batches:
+        for batch in _slices(batches, join.batch):
             found = [shingles(t) for t in batch.column(0).to_pylist()]
             named = [_name(s) for s in found]
             flat = pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))
