@@ -88,6 +88,7 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, _Element | None]] = []
         self.elements: list[_Element] = []
+        self.article = False
         self._words: list[str] = []
         self._top: _Element | None = None
         self._read(source)
@@ -116,6 +117,7 @@ class Page:
             if tag in by:
                 self._end(kind, SCOPE.get(kind, {"table", "td", "th", "button", "object"}))
         self._top = _Element(tag, attributes, self._top)
+        self.article |= self._top.main
 
     def _close(self) -> None:
         element = self._top
@@ -174,16 +176,7 @@ class Page:
     def remaining(self) -> list[tuple[str, _Element | None]]:
         """Blocks that stay by what elements say about themselves."""
         left = [(t, e) for t, e in self.blocks if e is None or not e.skipped]
-        article = [(t, e) for t, e in left if e is not None and e.main]
-        return article if any(e.main for e in self._all()) else left
-
-    def _all(self) -> Iterator[_Element]:
-        seen = set()
-        for e in [*self.elements, *(e for _, e in self.blocks if e is not None)]:
-            while e is not None and id(e) not in seen:
-                seen.add(id(e))
-                yield e
-                e = e.parent
+        return [(t, e) for t, e in left if e is not None and e.main] if self.article else left
 
 
 def _counted(element: _Element | None) -> int:

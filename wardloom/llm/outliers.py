@@ -221,12 +221,13 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
     sizes = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     own = F.when(F.col("n") >= rules.least_rows, F.col("source")).otherwise(F.lit(""))
     groups = written(sizes.select("lang", "source", F.xxhash64("lang", own).alias("grp")), "groups")
-    length = (F.col("word_chars") / n).alias("length")
+    words = F.when(n > 0, n)  # texts without words have no axes
+    length = (F.col("word_chars") / words).alias("length")
     centres = written(_quantiles(passed.join(groups, ["lang", "source"]).select("grp", length), ["grp"], ["length"], 0.5, 1 / 256), "lengths")
-    share = F.least(F.col("n_symbols") / n, F.lit(1.0))
+    share = F.least(F.col("n_symbols") / words, F.lit(1.0))
     axes = (
-        F.log1p(F.log(n)), F.sqrt(n) * (F.col("word_chars") / n - F.col("length")), F.asin(F.sqrt(share)),
-        F.sqrt("n_dup_lines"), F.asin(F.sqrt(F.col("n_repeat_words") / n)),
+        F.log1p(F.log(words)), F.sqrt(words) * (F.col("word_chars") / words - F.col("length")), F.asin(F.sqrt(share)),
+        F.sqrt("n_dup_lines"), F.asin(F.sqrt(F.col("n_repeat_words") / words)),
     )
     around = groups.join(centres, "grp")
     with_axes = [a.alias(AXES[i]) for i, a in enumerate(axes)]

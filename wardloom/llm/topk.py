@@ -65,11 +65,16 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
+def _below(score: np.int64) -> float:
+    """The score as a double, not rounded up."""
+    return float(np.nextafter(float(score), -math.inf)) if abs(int(score)) >= EXACT else float(score)
+
+
 def search_block(query_id: int, query: np.ndarray, near: np.ndarray, ids: np.ndarray, rows: np.ndarray, start: np.ndarray, k: int,
                  step: int) -> tuple[np.ndarray, np.ndarray]:
     """The best ``k`` of the rows that can still be among the best. ``near``: upper bounds; ``start``: scores that others reach already."""
     best_ids, best = ids[:0], np.zeros(0, dtype=np.int64)
-    threshold = float(np.sort(start)[-k]) if len(start) >= k else -math.inf
+    threshold = _below(np.sort(start)[-k]) if len(start) >= k else -math.inf
     open_ = np.flatnonzero((near >= threshold) & (ids != query_id))
     order = open_[np.argsort(-near[open_], kind="stable")]
     at = 0
@@ -77,7 +82,7 @@ def search_block(query_id: int, query: np.ndarray, near: np.ndarray, ids: np.nda
         now = order[at : at + step]
         best_ids, best = _best(np.concatenate([best_ids, ids[now]]), np.concatenate([best, _scores(rows[now], query)]), k)
         if len(best) == k:
-            threshold = max(threshold, float(best[-1]))
+            threshold = max(threshold, _below(best[-1]))
         at, step = at + step, step * 2
     return best_ids, best
 
@@ -142,12 +147,14 @@ def top_k(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", s
             for query_id, v, near in zip(queries["vec_id"], queries["v"], queries["near"]):
                 query = np.asarray(v, dtype=np.float64)
                 bound = np.zeros(len(ids))
-                for a, b in zip(near, from_pivots):
-                    np.maximum(bound, np.abs(b - a), out=bound)
-                bound *= 1 - 1e-9  # what rounding may have added
-                square = float(query @ query)
-                upper = (square + squares - bound**2) / 2
-                upper += 1 + 1e-9 * (square + squares)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    for a, b in zip(near, from_pivots):
+                        np.maximum(bound, np.abs(b - a), out=bound)
+                    bound *= 1 - 1e-9  # what rounding may have added
+                    square = float(query @ query)
+                    upper = (square + squares - bound**2) / 2
+                    upper += 1 + 1e-9 * (square + squares)
+                upper[~np.isfinite(upper)] = math.inf  # squares beyond doubles bound nothing
                 start = _scores(known[known_ids != query_id], query)
                 best_ids, best = search_block(query_id, query, upper, ids, matrix, start, search.k, search.first_step)
                 found += [(query_id, int(i), int(s)) for i, s in zip(best_ids, best)]
