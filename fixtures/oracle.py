@@ -612,7 +612,15 @@ WHOLE = with_views(
     "fx_star_ev",
     "fx_part_text",
     "fx_vocab",
+    "fx_dx",
+    "fx_gem_last",
+    "fx_ccs",
     extra=COHORT
+    | {
+        "conv": CONVERTED,
+        "classes": """SELECT hadm_id * 10 + icd_version % 2 AS hadm_id, list_sort(list(DISTINCT CASE WHEN category > 14 THEN category - 1 ELSE category END)) AS ks
+FROM conv JOIN fx_ccs ON code = converted WHERE category <> 14 GROUP BY ALL""",
+    }
     | MEASURED_STEPS
     | coded_class("final_acuity", ACUITY_TEXT)
     | coded_class("imminent_discharge", DISCHARGE_TEXT)
@@ -622,12 +630,74 @@ WHOLE = with_views(
     select=f"""
 SELECT a.stay_id, a.patient_id, readmission, {dies(PRED)} AS mortality, {dies(LONG_TERM)} AS long_term_mortality,
        CAST(los > 3 AS INTEGER) AS los_3day, CAST(los > 7 AS INTEGER) AS los_7day, final_acuity, imminent_discharge,
+       CASE WHEN ks IS NULL THEN '' ELSE {text_of('ks')} END AS diagnosis,
        {RISING.format(v='m.a')} AS rising, {FALLING.format(v='m.b')} AS falling, {BANDED.format(v='m.c')} AS banded,
        {RISING.format(v='m.d')} AS untreated, split_42, split_7, CAST(events AS INTEGER) AS events,
        {text_of(padded('f.a', RUN_TOKENS))} AS ids, {text_of(padded('f.b', RUN_TOKENS))} AS types,
        {text_of(padded('f.c', RUN_TOKENS))} AS dpes, {text_of('time')} AS time
 FROM active a JOIN seen_stays USING (stay_id) JOIN final_acuity_codes USING (stay_id) JOIN imminent_discharge_codes USING (stay_id)
-JOIN chains f USING (stay_id) JOIN times USING (stay_id) JOIN wide USING (patient_id) LEFT JOIN means m USING (stay_id)""",
+JOIN chains f USING (stay_id) JOIN times USING (stay_id) JOIN wide USING (patient_id) LEFT JOIN means m USING (stay_id)
+LEFT JOIN classes ON classes.hadm_id = a.hadm_id""",
+)
+
+
+WHOLE_OFFSETS = with_views(
+    "fx_compat",
+    "fx_stays",
+    "fx_raw",
+    "fx_path_tags",
+    "fx_vocab",
+    extra={
+        "coh": f"""
+SELECT c.stay_id, c.hadm_id, CAST(c.patient_id AS VARCHAR) AS patient_id, CAST(c.outtime_min AS DOUBLE) / 60 / 24 AS los, c.dischtime_min,
+       c.last_unit = 'error' AS in_icu_mortality, {LOCATION} AS hos_discharge_location
+FROM fx_compat c JOIN fx_stays s USING (stay_id)
+WHERE c.patient_id % 100 >= 18 AND CAST(c.outtime_min AS DOUBLE) / 60 / 24 >= {(OBS + GAP) / 24}""",
+        "offsets": """
+SELECT e.*, CAST(floor((epoch_us(e.ts) - epoch_us(r.intime)) / 60000000.0) AS INTEGER) AS offset_min FROM fx_ev e JOIN fx_raw r USING (stay_id)""",
+        "excluded": "SELECT stay_id, min(offset_min) AS first_excl FROM offsets WHERE event_type = 'error' AND value > 200 GROUP BY stay_id",
+        "dropped": """
+SELECT CAST(patient_id AS VARCHAR) AS patient_id FROM fx_raw GROUP BY patient_id
+HAVING count(*) > 1 AND count(*) FILTER (stay_id IN (SELECT stay_id FROM excluded)) > 0""",
+        "inside": f"""
+SELECT c.stay_id, o.event_type AS itemid, o.value AS valuenum, e.first_excl IS NULL OR e.first_excl > o.offset_min AS clean
+FROM coh c JOIN offsets o USING (stay_id) LEFT JOIN excluded e USING (stay_id) WHERE offset_min BETWEEN {(OBS + GAP) * 60} AND {(OBS + PRED) * 60}""",
+        "means": MEASURED_STEPS["means"],
+        "two": """SELECT node, tag FROM (
+  SELECT split_part(path, '|', 1) || '|' || split_part(path, '|', 2) AS node, tag, count(*) AS n, min(path) AS first
+  FROM fx_path_tags GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, first) = 1""",
+        "tags": """SELECT path, tag FROM fx_path_tags
+UNION ALL SELECT p.path, two.tag FROM (SELECT DISTINCT path FROM fx_paths ANTI JOIN fx_path_tags USING (path)) p
+JOIN two ON two.node = split_part(p.path, '|', 1) || '|' || split_part(p.path, '|', 2)""",
+        "classes": """
+SELECT c.hadm_id, list_sort(list(DISTINCT CASE WHEN tag > 14 THEN tag - 1 ELSE tag END)) AS ks
+FROM fx_paths p JOIN coh c ON c.stay_id = (p.ord % 100) * 100 + p.ord % 10 JOIN tags USING (path) WHERE tag <> 14 GROUP BY c.hadm_id""",
+    }
+    | coded_class("final_acuity", ACUITY_TEXT)
+    | coded_class("imminent_discharge", DISCHARGE_TEXT)
+    | {
+        "seen_stays": """SELECT stay_id, CASE WHEN row_number() OVER (PARTITION BY hadm_id ORDER BY stay_id DESC) = 1 THEN 0 ELSE 1 END AS readmission
+FROM coh""",
+    }
+    | RUN_STEPS
+    | {
+        "observed": f"""
+SELECT stay_id, offset_min AS time_min, 0 AS table_no, event_id AS row_key, offset_min, event_type AS a, value AS b, props AS c
+FROM offsets JOIN coh USING (stay_id) WHERE offset_min BETWEEN 0 AND {OBS * 60}""",
+        "texts": unit_texts(0, "events", {"at": "offset_min", "event_type": "a", "value": "b", "props": "c"}),
+    },
+    recursive=True,
+    select=f"""
+SELECT a.stay_id, a.patient_id, readmission, {dies(PRED)} AS mortality, {dies(LONG_TERM)} AS long_term_mortality,
+       CAST(los > 3 AS INTEGER) AS los_3day, CAST(los > 7 AS INTEGER) AS los_7day, final_acuity, imminent_discharge,
+       CASE WHEN ks IS NULL THEN '' ELSE {text_of('ks')} END AS diagnosis,
+       {RISING.format(v='m.a')} AS rising, {FALLING.format(v='m.b')} AS falling, {BANDED.format(v='m.c')} AS banded,
+       CASE WHEN dropped.patient_id IS NULL THEN {RISING.format(v='m.d')} END AS untreated, split_42, split_7, CAST(events AS INTEGER) AS events,
+       {text_of(padded('f.a', RUN_TOKENS))} AS ids, {text_of(padded('f.c', RUN_TOKENS))} AS dpes, {text_of('time')} AS time
+FROM active a JOIN seen_stays USING (stay_id) JOIN final_acuity_codes USING (stay_id) JOIN imminent_discharge_codes USING (stay_id)
+JOIN chains f USING (stay_id) JOIN times USING (stay_id) JOIN wide ON wide.patient_id = a.patient_id LEFT JOIN means m USING (stay_id)
+LEFT JOIN classes ON classes.hadm_id = a.hadm_id LEFT JOIN dropped ON dropped.patient_id = a.patient_id""",
 )
 
 
@@ -689,4 +759,5 @@ def registered() -> dict[str, str]:
         "training_view": TRAINING,
         "batch_view": BATCHES,
         "whole_run": WHOLE,
+        "whole_run_offsets": WHOLE_OFFSETS,
     }

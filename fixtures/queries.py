@@ -17,6 +17,7 @@ from wardloom.sources.tables import read_categories, read_crosswalk, read_dictio
 from wardloom.spec import (
     Band,
     Bins,
+    DiagnosisSpec,
     EventTableSpec,
     ExclusionRule,
     ExclusionSpec,
@@ -510,6 +511,7 @@ SPEC = SourceSpec(
         EventTableSpec("events", "ts", "abs", ("event_id", "patient_id"), {}, ("event_id",)),
         EventTableSpec("orders", "charttime", "abs", ("line_id",), {"itemid": ("parts", "text")}, ("line_id",)),
     ),
+    diagnosis=DiagnosisSpec("dx", "versioned", "icd_code", "empty", "hadm_id", "icd_version"),
     labs=LAB,
     exclusion=ExclusionSpec((TREATED,), "patient"),
 )
@@ -522,6 +524,7 @@ PARAMS = Params(
     max_event_tokens=32,
     max_stay_tokens=512,
     seeds=SEEDS,
+    diagnosis=True,
     measurements=tuple(t.name for t in TASKS),
 )
 
@@ -541,8 +544,10 @@ def _fixture_run(spark, d) -> Result:
         "labs": v.labs(spark, d),
         "orders": lines.withColumn("hadm_id", F.col("hadm_id") * 10 + slot),
         "parts": v.part_dictionary(spark, d),
+        # old codes at one admission of the patient with the customer's number, new ones at another
+        "dx": v.dx(spark, d).withColumn("hadm_id", F.col("hadm_id") * 10 + F.col("icd_version") % 2),
     }
-    return run(inputs, SPEC, PARAMS, v.vocab(spark, d))
+    return run(inputs, SPEC, PARAMS, v.vocab(spark, d), v.ccs(spark, d), v.gem(spark, d))
 
 
 def whole_run(spark, d):
@@ -550,12 +555,41 @@ def whole_run(spark, d):
     result = _fixture_run(spark, d)
     return result.cohort.join(result.packed, "stay_id").select(
         "stay_id", "patient_id", "readmission", "mortality", "long_term_mortality", "los_3day", "los_7day", "final_acuity",
-        "imminent_discharge", *[t.name for t in TASKS], "split_42", "split_7", F.size("hi").alias("events"),
+        "imminent_discharge", listed(F.col("diagnosis")).alias("diagnosis"), *[t.name for t in TASKS], "split_42", "split_7", F.size("hi").alias("events"),
         listed(F.col("fl")[0]).alias("ids"), listed(F.col("fl")[1]).alias("types"),
         listed(F.col("fl")[2]).alias("dpes"), listed(F.col("time")).alias("time"),
     )
 
 
+OFFSETS = SourceSpec(
+    name="fixture_offsets",
+    stays="stays",
+    layout=CAPPED,
+    events=(EventTableSpec("events", "at", "min", ("event_id", "patient_id"), {}, ("event_id",)),),
+    diagnosis=DiagnosisSpec("paths", "paths", "codes", "empty", "stay_id", path="path"),
+    labs=LabTable("events", code="event_type", value="value", time="at", unit="min", key="stay", tasks=TASKS),
+    exclusion=ExclusionSpec((ExclusionRule("events", "event_type = 'error' and value > 200", "at"),), "stay", "min", drop_multi_stay=True),
+)
+
+
+def whole_run_offsets(spark, d):
+    """A source whose times are minutes from the start of the stay, with diagnosis paths, exclusion by stay and the multi-stay rule."""
+    starts = v.raw_stays(spark, d).select("stay_id", "intime")
+    at = F.floor((F.unix_micros("ts") - F.unix_micros("intime")) / F.lit(60000000.0)).cast("int").alias("at")
+    rows = v.ev(spark, d).join(starts, "stay_id").select("event_id", "stay_id", "hadm_id", "patient_id", at, "event_type", "value", "props")
+    place = (F.col("ord") % 100) * 100 + F.col("ord") % 10
+    paths = v.paths(spark, d).select(place.alias("stay_id"), "path", "codes", F.col("ord").alias("row_order"))
+    codes_ = codes.explode_code_list(v.paths(spark, d), "path", "codes", "ord").select("code").distinct()
+    categories = codes_.withColumn("category", F.floor(F.col("code").cast("int") / 10 % 18).cast("int"))
+    inputs = {"stays": _capped_stays(spark, d), "events": rows, "paths": paths}
+    result = run(inputs, OFFSETS, PARAMS, v.vocab(spark, d), categories, v.gem(spark, d))
+    return result.cohort.join(result.packed, "stay_id").select(
+        "stay_id", "patient_id", "readmission", "mortality", "long_term_mortality", "los_3day", "los_7day", "final_acuity",
+        "imminent_discharge", listed(F.col("diagnosis")).alias("diagnosis"), *[t.name for t in TASKS], "split_42", "split_7", F.size("hi").alias("events"),
+        listed(F.col("fl")[0]).alias("ids"), listed(F.col("fl")[2]).alias("dpes"), listed(F.col("time")).alias("time"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "read_table": scan,
@@ -612,4 +646,5 @@ def registered() -> dict[str, Query]:
         "training_view": training_view,
         "batch_view": batch_view,
         "whole_run": whole_run,
+        "whole_run_offsets": whole_run_offsets,
     }
