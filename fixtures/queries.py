@@ -525,6 +525,7 @@ PARAMS = Params(
     max_stay_tokens=512,
     seeds=SEEDS,
     diagnosis=True,
+    packed_type="int",
     measurements=tuple(t.name for t in TASKS),
 )
 

@@ -19,16 +19,16 @@ def _marks(t: TokenIds) -> list[tuple[str, int, int]]:
     ]
 
 
-def _event(max_len: int, t: TokenIds) -> Column:
-    """One event as three padded channels."""
-    rows = [pad_right(wrapped(F.col(c), a, b), max_len, t.pad) for c, a, b in _marks(t)]
-    return F.array(*rows).cast("array<array<smallint>>")
+def _events(history: Column, max_len: int, t: TokenIds, kind: str) -> Column:
+    """Every event as three padded channels."""
+    padded = F.transform(history, lambda e: F.array(*[pad_right(wrapped(e[c], a, b), max_len, t.pad) for c, a, b in _marks(t)]))
+    return padded.cast(f"array<array<array<{kind}>>>")
 
 
-def _flat(history: Column, max_len: int, t: TokenIds) -> Column:
+def _flat(history: Column, max_len: int, t: TokenIds, kind: str) -> Column:
     # a field of an array of structs is the array of that field
     rows = [pad_right(chained(history[c], a, b), max_len, t.pad) for c, a, b in _marks(t)]
-    return F.array(*rows).cast("array<array<smallint>>")
+    return F.array(*rows).cast(f"array<array<{kind}>>")
 
 
 def _history(*columns) -> Column:
@@ -36,29 +36,31 @@ def _history(*columns) -> Column:
     return F.sort_array(F.collect_list(F.struct((-F.col("event_no")).alias("_order"), *columns)))
 
 
-def pack_hierarchical(events: DataFrame, max_event_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys()) -> DataFrame:
+# ids of up to 32,767 fit the default type; for larger vocabularies pass kind="int"
+def pack_hierarchical(
+    events: DataFrame, max_event_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys(), kind: str = "smallint"
+) -> DataFrame:
     """(stay, hi, time): per event and channel the marked, padded tokens. Input: events after ``cut_history``."""
-    rows = events.groupBy(keys.stay).agg(_history("time_min", _event(max_event_tokens, tokens).alias("event")).alias("h"))
-    return rows.select(keys.stay, F.col("h.event").alias("hi"), F.col("h.time_min").alias("time"))
+    rows = events.groupBy(keys.stay).agg(_history("time_min", *CHANNELS).alias("h"))
+    return rows.select(keys.stay, _events(F.col("h"), max_event_tokens, tokens, kind).alias("hi"), F.col("h.time_min").alias("time"))
 
 
-def pack_flat(events: DataFrame, max_stay_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys()) -> DataFrame:
+def pack_flat(
+    events: DataFrame, max_stay_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys(), kind: str = "smallint"
+) -> DataFrame:
     """(stay, fl): one start marker, then every event and its end marker, padded, per channel."""
     rows = events.groupBy(keys.stay).agg(_history(*CHANNELS).alias("h"))
-    return rows.select(keys.stay, _flat(F.col("h"), max_stay_tokens, tokens).alias("fl"))
+    return rows.select(keys.stay, _flat(F.col("h"), max_stay_tokens, tokens, kind).alias("fl"))
 
 
 def pack_stays(
-    events: DataFrame, max_event_tokens: int, max_stay_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys()
+    events: DataFrame, max_event_tokens: int, max_stay_tokens: int, tokens: TokenIds = TokenIds(), keys: Keys = Keys(), kind: str = "smallint"
 ) -> DataFrame:
     """(stay, hi, fl, time): both forms from one grouping."""
     rows = events.groupBy(keys.stay).agg(_history("time_min", *CHANNELS).alias("h"))
-    events_of = F.transform("h", lambda e: F.array(
-        *[pad_right(wrapped(e[c], a, b), max_event_tokens, tokens.pad) for c, a, b in _marks(tokens)]
-    ))
     return rows.select(
         keys.stay,
-        events_of.cast("array<array<array<smallint>>>").alias("hi"),
-        _flat(F.col("h"), max_stay_tokens, tokens).alias("fl"),
+        _events(F.col("h"), max_event_tokens, tokens, kind).alias("hi"),
+        _flat(F.col("h"), max_stay_tokens, tokens, kind).alias("fl"),
         F.col("h.time_min").alias("time"),
     )

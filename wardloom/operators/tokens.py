@@ -17,27 +17,27 @@ TOKENS = "struct<ids:array<int>,dpes:array<int>>"
 
 def _digest(text: Column) -> Column:
     """What stands for a text where rows meet: short, however long the text is."""
-    return F.md5(text.cast("binary"))
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def encode_distinct(
-    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None
+    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None, places: bool = True
 ) -> DataFrame:
-    """(digest, ids, dpes) of the different texts of ``texts`` (text). ``items`` gives a text's words and numbers in order."""
+    """(digest, ids, dpes) of the different texts of ``texts`` (text); without ``places`` no dpes. ``items`` gives a text's words and
+    numbers in order."""
+    channels = ["ids", "dpes"] if places else ["ids"]
     once = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text").dropDuplicates(["digest"])
     # read twice, for the different words and for the places they stand at
-    placed = cut_lineage(once.select("digest", F.posexplode_outer(items(F.col("text"))).alias("pos", "item")).select("digest", "pos", "item.*"))
+    listed = F.posexplode_outer(items(F.col("text"))).alias("pos", "item")
+    placed = cut_lineage(once.select("digest", listed).select("digest", "pos", "item.word", *[f"item.{c}" for c in channels]))
     known = word_table(placed.select("word"), check_vocabulary(vocab), tokens.unknown, max_word_chars)
+    if places:
+        known = known.withColumn("dpes", F.array_repeat(F.lit(tokens.no_place), F.size("ids")))
     # numbers need no vocabulary, so they do not travel to the words as one null key
-    words = placed.where("word IS NOT NULL").select("digest", "pos", "word").join(known, "word")
-    words = words.select("digest", "pos", "ids", F.array_repeat(F.lit(tokens.no_place), F.size("ids")).alias("dpes"))
-    parts = words.unionByName(placed.where("word IS NULL").select("digest", "pos", "ids", "dpes"))
-    whole = parts.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("p"))
-
-    def chained(channel: str) -> Column:
-        return F.flatten(F.filter(F.col("p")[channel], lambda x: x.isNotNull())).alias(channel)
-
-    return whole.select("digest", chained("ids"), chained("dpes"))
+    words = placed.where("word IS NOT NULL").select("digest", "pos", "word").join(known, "word").select("digest", "pos", *channels)
+    parts = words.unionByName(placed.where("word IS NULL").select("digest", "pos", *channels))
+    whole = parts.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("pos", *channels))).alias("p"))
+    return whole.select("digest", *[F.flatten(F.filter(F.col("p")[c], lambda x: x.isNotNull())).alias(c) for c in channels])
 
 
 def _with_tokens(texts: DataFrame, encoded: DataFrame, text: str) -> DataFrame:
@@ -54,7 +54,7 @@ def word_pieces(
     max_word_chars: int | None = None,
 ) -> DataFrame:
     """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids."""
-    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower), tokens, max_word_chars)
+    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower), tokens, max_word_chars, places=False)
     return _with_tokens(texts, found.select("digest", F.col("ids").alias(out)), text)
 
 

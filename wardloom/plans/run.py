@@ -242,7 +242,7 @@ def run(
     encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, dictionaries_at)
     # the cut to the token limit and the packing share one exchange by stay
     fitted = history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys)
-    packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys), "packed")
+    packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys, params.packed_type), "packed")
     active = packed.select(keys.stay)
     chosen = dataset.split_patients(dataset.keep_active(stays, active, keys), params.seeds, params.valid_percent, keys)
     return Result(chosen, packed, dictionaries, dataset.skipped_stays(stays, active, keys))

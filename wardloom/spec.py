@@ -46,6 +46,7 @@ class Params:
     measurements: tuple[str, ...] = ()
     code_backoff: bool = False
     trim_codes: bool = True
+    packed_type: str = "smallint"  # "int" for vocabularies with ids beyond 32,767
     label_sources: bool = False  # keep the columns that labels are made from in the finished cohort
 
     def __post_init__(self):
