@@ -216,7 +216,7 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
     n = F.col("n_words")
     failed = (n < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * n)
     stats = stats.select(F.col("row.carried").alias("row"), "row.lang", "row.source", *STATS, failed.alias("base_failed"))
-    stats = written(stats, "statistics")
+    stats = written(stats, "statistics", compression="zstd")  # with whatever the rows carry
     passed = stats.where(~F.col("base_failed")).select("lang", "source", *STATS)
     sizes = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     own = F.when(F.col("n") >= rules.least_rows, F.col("source")).otherwise(F.lit(""))
@@ -229,7 +229,8 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
         F.log1p(F.log(words)), F.sqrt(words) * (F.col("word_chars") / words - F.col("length")), F.asin(F.sqrt(share)),
         F.sqrt("n_dup_lines"), F.asin(F.sqrt(F.col("n_repeat_words") / words)),
     )
-    around = groups.join(centres, "grp")
+    # written, so that the planner knows how small it is and the texts that rows may carry stay where they are
+    around = written(groups.join(centres, "grp"), "around")
     with_axes = [a.alias(AXES[i]) for i, a in enumerate(axes)]
     vectors = passed.join(around, ["lang", "source"]).select("grp", F.xxhash64(*STATS).alias("pick"), *with_axes)
     estimates = mcd_estimates(vectors, rules)
