@@ -119,7 +119,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     an empty table gives an empty result.
     """
     key = without(docs.columns, ["uid"])[0]
-    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "documents")
+    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "documents", compression="zstd")
     found = later_copies(rows, key, doc_id, text, runs)
     joined = rows.select(F.col(key).alias("uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(found, "uid", "left")
     body = F.col("row").getField(text)
