@@ -28,10 +28,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import sent_to_tasks, without, written
+from wardloom.llm.common import filled, sent_to_tasks, without, written
 from wardloom.llm.components import components
 
 
@@ -338,14 +338,19 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """The rows of ``docs`` but for near copies: of every component the row of the smallest id stays; texts without shingles all stay."""
-    key = without(docs.columns, ["uid"])[0]
-    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "documents")
-    found = similar_components(rows, key, text, join).select(F.col("doc_id").alias(key), "n_shingles", F.col("component_id").alias("_component"))
-    ids = rows.select(key, F.col(f"`{doc_id}`").alias("_id")).join(found, key)
-    first = F.min(F.struct(F.col("_id").isNull(), "_id", key)).alias("first")
-    stay = ids.groupBy("_component").agg(first).select(F.col(f"first.{key}").alias(key))
-    return rows.join(stay, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` but for near copies: of every component the row of the smallest id stays. Texts without shingles have no near
+    copies; rows alike in id and text count once."""
+    key, place = without(docs.columns, ["key", "place"])
+    body, id_ = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
+    known = F.to_json(F.struct(id_.cast("string").alias("id")))
+    digest = F.md5(F.concat(known, F.when(body.isNull(), "-").otherwise("+"), filled(body)).cast("binary"))
+    # ordered by id, null ids last; rows of one id with different texts differ by digest, rows alike in both are one until the end
+    rows = docs.withColumn(key, F.struct(id_.isNull().alias("none"), id_.alias("id"), digest.alias("digest")))
+    found = similar_components(rows, key, text, join)
+    stay = found.where(F.col("doc_id.digest") == F.col("component_id.digest")).select(F.col("doc_id.digest").alias(place)).distinct()
+    kept = rows.withColumn(place, F.col(f"{key}.digest")).join(written(stay, "stay"), place, "left_semi")
+    alike = Window.partitionBy(place).orderBy(F.lit(1))
+    return kept.withColumn(key, F.row_number().over(alike)).where(F.col(key) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 sent_to_tasks(__name__)
