@@ -52,6 +52,17 @@ def test_template_of_a_host_goes(spark):
     assert all(found[200 + i] == f"said often\n{i}" for i in range(30))  # paragraphs of an article are no template
 
 
+def test_content_of_copied_pages_stays(spark):
+    body = "<h1>t</h1><p>one</p><ul><li>x</ul><section><p>two</p></section><div><div><p>four</p></div></div><table><tr><td><div>a</div></table>"
+    rows = [page(i, f"<body><div>menu {i}</div><div><article>{body}</article></div></body>") for i in range(12)]  # the list, section and wrappers of an article
+    rows += [page(100 + i, f"<body>{body}</body>") for i in range(12)]  # a page without an article
+    rows += [page(200 + i, f"<article>{body}<p>{i}</p></article>") for i in range(12)]  # near copies
+    found = {r.row.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    whole = "t\none\nx\ntwo\nfour\na"
+    assert all(found[i] == found[100 + i] == whole for i in range(12))
+    assert all(found[200 + i] == f"{whole}\n{i}" for i in range(12))
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, "x", "y"), (1, None, "<p>a", "x", "y"), (1, None, "<p>a", "x", "y"), (2, "http://h/", "", "x", "y")]
     found = htmltext.extract(spark.createDataFrame(rows, SCHEMA), carry=("page_id", "text", "host")).collect()

@@ -1,10 +1,11 @@
 """Main text of web pages, with the site's template removed.
 
 Every page is parsed once into text blocks and elements. An element's subtree has a hash of its tags, classes and texts; Spark counts on
-how many pages of a host each subtree occurs, and subtrees that recur on many of them are the site's template and are deleted. What an
+how many different pages of a host each subtree occurs, and subtrees that recur on many of them are the site's template and are deleted.
+Pages of a host with the same remaining text are copies of one page and count once, so a page is not its own template. What an
 element says about itself decides first: menus, headers, footers, side bars, adverts, forms, scripts and reader comments go by tag, role and class;
-where a page has an article, only what is in it stays. Paragraphs, headings and list items of an article are its content, however often
-a host repeats them, and are never taken for template; containers in it are.
+where a page has an article, only what is in it stays. Paragraphs, headings, list items and cells of an article are its content, however often
+a host repeats them: neither they nor what is in them nor what holds them is ever taken for template; other containers in an article are.
 
 A page whose remaining blocks lie in no countable element is finished after parsing; only the others wait for the counts.
 """
@@ -60,14 +61,14 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 
 @dataclass(frozen=True)
 class Template:
-    """A subtree is template on at least ``pages`` pages and this ``share`` of the host's pages."""
+    """A subtree is template on at least ``pages`` different pages and this ``share`` of the host's different pages."""
 
     pages: int = 10
     share: float = 0.02
 
 
 class _Element:
-    __slots__ = ("tag", "skipped", "main", "counted", "hash", "parent", "number")
+    __slots__ = ("tag", "skipped", "main", "counted", "within", "filled", "holds", "hash", "parent", "number")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         named = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
@@ -78,7 +79,9 @@ class _Element:
         self.skipped = skipped or (parent is not None and parent.skipped)
         self.main = not self.skipped and (tag in MAIN or (parent is not None and parent.main))
         inside = parent is not None and parent.main
-        self.counted = tag in BLOCK and not whole and not (inside and tag in CONTENT)
+        self.within = inside and not whole and (parent.within or parent.tag in CONTENT)  # in content of an article
+        self.counted = tag in BLOCK and not whole and not self.within and not (inside and tag in CONTENT)
+        self.filled = self.holds = False  # has text that stays; has content of an article, or one, with such text
         self.hash = xxhash.xxh3_64(f"<{tag} {named.get('class', '')} {named.get('id', '')}>".encode("utf-8", "surrogatepass"))
 
 
@@ -103,6 +106,7 @@ class Page:
             self.blocks.append((text, self._top))
             if self._top is not None:
                 self._top.hash.update(text.encode("utf-8", "surrogatepass"))
+                self._top.filled = True
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
@@ -126,7 +130,10 @@ class Page:
         self._top = element.parent
         if element.parent is not None:
             element.parent.hash.update(element.hash.digest())
-        if element.counted:
+            if element.filled and not element.skipped:
+                element.parent.filled = True
+                element.parent.holds |= element.holds or (element.main and (element.tag in CONTENT or element.tag in MAIN))
+        if element.counted and not element.holds:
             element.number = len(self.elements)
             self.elements.append(element)
 
@@ -190,19 +197,26 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-PARSED = "text string, texts array<string>, inside array<int>, hashes array<long>, around array<int>"
+PARSED = "text string, texts array<string>, inside array<int>, hashes array<long>, around array<int>, content long"
 
 
-def parse_page(source: str) -> tuple[str | None, list[str], list[int], list[int], list[int]]:
-    """(text, texts, inside, hashes, around): the text if no count can change it, else null and the blocks with the number of the
-    element each is in; the hash of each counted element and the number of the counted element around it."""
+def read_page(source: str) -> tuple[str | None, list[str], list[int], list[int], list[int], int]:
+    """(text, texts, inside, hashes, around, content): the text if no count can change it, else null and the blocks with the number of the
+    element each is in; the hash of each counted element and the number of the counted element around it; the hash of all remaining text."""
     page = Page(source)
     left = page.remaining()
     inside = [_counted(e) for _, e in left]
     hashes = [_signed(e.hash.intdigest()) for e in page.elements]
+    whole = "\n".join(t for t, _ in left)
+    content = _signed(xxhash.xxh3_64_intdigest(whole.encode("utf-8", "surrogatepass")))
     if max(inside, default=-1) < 0:
-        return "\n".join(t for t, _ in left), [], [], hashes, []
-    return None, [t for t, _ in left], inside, hashes, [_counted(e.parent) for e in page.elements]
+        return whole, [], [], hashes, [], content
+    return None, [t for t, _ in left], inside, hashes, [_counted(e.parent) for e in page.elements], content
+
+
+def parse_page(source: str) -> tuple[str | None, list[str], list[int], list[int], list[int]]:
+    """``read_page`` without the hash of the text."""
+    return read_page(source)[:5]
 
 
 def without_template(texts: Sequence[str], inside: Sequence[int], hashes: Sequence[int], around: Sequence[int], template: set[int]) -> str:
@@ -225,17 +239,19 @@ def extract(pages: DataFrame, html_column: str = "html", url: str = "url", carry
     )
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-        names = ["row", "host", "text", "texts", "inside", "hashes", "around"]
+        kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+        names = ["row", "host", "text", "texts", "inside", "hashes", "around", "content"]
         for batch in batches:
-            found = [parse_page(x or "") for x in batch.column(2).to_pylist()]
-            columns = [pa.array(list(c), kind) for c, kind in zip(zip(*found) if found else [[]] * 5, kinds)]
+            found = [read_page(x or "") for x in batch.column(2).to_pylist()]
+            columns = [pa.array(list(c), kind) for c, kind in zip(zip(*found) if found else [[]] * 6, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
     schema = f"row {named.schema['row'].dataType.simpleString()}, host string, {PARSED}"
     rows = written(named.mapInArrow(parsed, schema).withColumn("number", F.monotonically_increasing_id()), "pages")
-    seen = rows.select("host", F.explode(F.array_distinct("hashes")).alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # each page's content once: copies are no evidence of a template
+    seen = rows.select("host", "content", F.explode(F.array_distinct("hashes")).alias("hash")).distinct()
+    seen = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    hosts = rows.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     often = seen.where(F.col("n") >= template.pages).join(hosts, "host").where(F.col("n") >= template.share * F.col("pages"))
     often = written(often.select("host", "hash"), "template")
     waiting = rows.where("text IS NULL")
