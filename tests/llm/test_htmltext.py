@@ -63,6 +63,26 @@ def test_content_of_copied_pages_stays(spark):
     assert all(found[200 + i] == f"{whole}\n{i}" for i in range(12))
 
 
+def test_names_of_layout_skip_no_article():
+    inner = "<h1>t</h1><p>one</p>"
+    for source, expected in [
+        (f'<div class="content-sidebar-wrap"><main>{inner}</main></div>', "t\none"), (f'<body class="no-sidebar"><article>{inner}</article></body>', "t\none"),
+        (f'<div class="has-header with-footer">{inner}</div>', "t\none"), (f'<article class="post comments-open">{inner}</article>', "t\none"),
+        (f'<div id="sidebar"><div><article>{inner}</article></div></div><div class="sidebar">s</div>', "t\none"), (f'<body class="comments">{inner}</body>', "t\none"),
+        (f'<main><div id="comments"><article class="comment">{inner}</article></div></main>', "t\none"),  # all the page has
+        (f'<main>{inner}</main><ol class="comment-list"><li><article class="comment">mine</article></ol>', "t\none"),
+        (f'<article>{inner}<div class="share-box">s</div><div class="cookie-banner">s</div><div class="ad x">s</div><div id="comments">c</div></article>', "t\none"),
+        ('<div class="sidebar">s<aside><article>a</article></aside></div><p>b</p>', "b"), ('<div class="notice"><p>n</p></div>', "n"),
+    ]:
+        assert text(source) == expected, source
+
+
+def test_doubtful_names_are_counted(spark):
+    rows = [page(i, f'<article><p>{i}</p><div class="related-posts"><ul><li>x</ul></div><div class="no-sidebar"><p>said often</p></div></article>') for i in range(12)]
+    found = {r.row.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(found[i] == f"{i}\nsaid often" for i in range(12))
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, "x", "y"), (1, None, "<p>a", "x", "y"), (1, None, "<p>a", "x", "y"), (2, "http://h/", "", "x", "y")]
     found = htmltext.extract(spark.createDataFrame(rows, SCHEMA), carry=("page_id", "text", "host")).collect()

@@ -4,8 +4,9 @@ Every page is parsed once into text blocks and elements. An element's subtree ha
 how many different pages of a host each subtree occurs, and subtrees that recur on many of them are the site's template and are deleted.
 Pages of a host with the same remaining text are copies of one page and count once, so a page is not its own template. What an
 element says about itself decides first: menus, headers, footers, side bars, adverts, forms, scripts and reader comments go by tag, role and class;
-where a page has an article, only what is in it stays. Paragraphs, headings, list items and cells of an article are its content, however often
-a host repeats them: neither they nor what is in them nor what holds them is ever taken for template; other containers in an article are.
+where a page has an article, only what is in it stays. A name counts if a whole class or id says nothing else (``share-box``, not ``no-sidebar``), and
+skips no element that holds an article or is one, but for reader comments beside another article's text. Names that say less are left to the counts. Paragraphs, headings, list items and cells of an article are its content, however often
+a host repeats them: neither they nor what is in them nor what holds them is ever taken for template, unless it has such a name; other containers in an article are.
 
 A page whose remaining blocks lie in no countable element is finished after parsing; only the others wait for the counts.
 """
@@ -38,9 +39,13 @@ SKIPPED = frozenset("head nav header footer aside form button select menu dialog
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 COMMENTS = frozenset("comment comments disqus respond replies reply".split())
 SKIPPED_NAMES = COMMENTS | frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs consent cookie cookies footer header masthead menu modal nav navbar navigation "
-    "newsletter notice pager pagination popup promo promotion recommended related share sharing sidebar social sponsor sponsored subscribe toolbar".split()
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs consent cookie cookies footer masthead nav navbar navigation "
+    "newsletter pager pagination promo share sharing sidebar social sponsor sponsored subscribe toolbar".split()
 )
+# what such a name may end with, names of template as well as of content, and what makes a name one of the layout
+KINDS = frozenset("area bar box buttons links list widget".split())
+DOUBTFUL_NAMES = SKIPPED_NAMES | frozenset("header menu modal notice popup promotion recommended related".split())
+LAYOUT = frozenset("closed content has layout main no open with without wrap wrapper".split())
 # an open element of the first kind ends where one of the second begins
 ENDS = {
     "p": BLOCK - {"option", "optgroup", "legend", "head", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"},
@@ -67,22 +72,40 @@ class Template:
     share: float = 0.02
 
 
+def _named(names: str) -> tuple[bool, bool, bool]:
+    """(skipped, comments, doubtful): what the whole classes and ids among ``names`` say."""
+    skipped = comments = doubtful = False
+    for name in names.lower().split():
+        parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
+        own = parts[:-1] if len(parts) > 1 and parts[-1] in KINDS else parts
+        if own and SKIPPED_NAMES.issuperset(own):
+            skipped, comments = True, comments or own[0] in COMMENTS
+        doubtful |= not DOUBTFUL_NAMES.isdisjoint(parts) and LAYOUT.isdisjoint(parts)
+    return skipped, comments, doubtful
+
+
 class _Element:
-    __slots__ = ("tag", "skipped", "main", "counted", "within", "filled", "holds", "hash", "parent", "number")
+    __slots__ = ("tag", "cut", "named", "comments", "doubtful", "around", "skipped", "main", "counted", "within", "filled", "holds", "hash", "parent", "number")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         named = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
-        words = set(re.split(r"[^a-z0-9]+", f"{named.get('class', '')} {named.get('id', '')}".lower())) if named else set()
         self.tag, self.parent, self.number = tag, parent, -1
+        self.named, self.comments, self.doubtful = _named(f"{named.get('class', '')} {named.get('id', '')}") if named else (False, False, False)
+        self.cut = tag in SKIPPED or named.get("role", "").lower() in SKIPPED_ROLES
+        self.around = False  # is an article or holds one
+        self.filled = self.holds = False  # has text; has content of an article, or one, with text that stays
+        self.hash = xxhash.xxh3_64(f"<{tag} {named.get('class', '')} {named.get('id', '')}>".encode("utf-8", "surrogatepass"))
+
+    def judge(self, all_comments: bool) -> None:
+        """After the element around: whether it is skipped, in an article, and counted. ``all_comments``: also those that hold articles are skipped."""
+        tag, parent = self.tag, self.parent
         whole = tag in ("html", "body", "main", "article")
-        skipped = tag in SKIPPED or named.get("role", "").lower() in SKIPPED_ROLES or bool(words & (COMMENTS if whole else SKIPPED_NAMES))
-        self.skipped = skipped or (parent is not None and parent.skipped)
+        named = self.named and tag not in ("html", "body") and (not self.around or (all_comments and self.comments))
+        self.skipped = self.cut or named or (parent is not None and parent.skipped)
         self.main = not self.skipped and (tag in MAIN or (parent is not None and parent.main))
         inside = parent is not None and parent.main
         self.within = inside and not whole and (parent.within or parent.tag in CONTENT)  # in content of an article
-        self.counted = tag in BLOCK and not whole and not self.within and not (inside and tag in CONTENT)
-        self.filled = self.holds = False  # has text that stays; has content of an article, or one, with such text
-        self.hash = xxhash.xxh3_64(f"<{tag} {named.get('class', '')} {named.get('id', '')}>".encode("utf-8", "surrogatepass"))
+        self.counted = tag in BLOCK and not whole and (not self.within or self.doubtful) and not (inside and tag in CONTENT)
 
 
 class Page:
@@ -94,10 +117,31 @@ class Page:
         self.article = False
         self._words: list[str] = []
         self._top: _Element | None = None
+        self._opened: list[_Element] = []
         self._read(source)
         while self._top is not None:
             self._close()
         self._flush()
+        self._judge(True)
+        held = any(e.comments and e.around for e in self._opened)
+        if held and not any(e is not None and e.main for _, e in self.blocks):  # no other article's text: what is named comments is the page's own
+            self._judge(False)
+        self._number()
+
+    def _judge(self, all_comments: bool) -> None:
+        for element in self._opened:
+            element.judge(all_comments)
+        self.article = any(e.main for e in self._opened)
+
+    def _number(self) -> None:
+        for element in reversed(self._opened):  # what is in an element comes before it
+            parent = element.parent
+            if parent is not None and element.filled and not element.skipped:
+                parent.filled = True
+                parent.holds |= element.holds or (element.main and (element.tag in CONTENT or element.tag in MAIN))
+            if element.counted and (not element.holds or (element.doubtful and not element.around)):
+                element.number = len(self.elements)
+                self.elements.append(element)
 
     def _flush(self) -> None:
         text = " ".join("".join(self._words).split())
@@ -120,8 +164,11 @@ class Page:
         for kind, by in ENDS.items():
             if tag in by:
                 self._end(kind, SCOPE.get(kind, {"table", "td", "th", "button", "object"}))
-        self._top = _Element(tag, attributes, self._top)
-        self.article |= self._top.main
+        self._top = at = _Element(tag, attributes, self._top)
+        self._opened.append(at)
+        if tag in MAIN:
+            while at is not None and not at.cut and not at.around:
+                at.around, at = True, at.parent
 
     def _close(self) -> None:
         element = self._top
@@ -130,12 +177,6 @@ class Page:
         self._top = element.parent
         if element.parent is not None:
             element.parent.hash.update(element.hash.digest())
-            if element.filled and not element.skipped:
-                element.parent.filled = True
-                element.parent.holds |= element.holds or (element.main and (element.tag in CONTENT or element.tag in MAIN))
-        if element.counted and not element.holds:
-            element.number = len(self.elements)
-            self.elements.append(element)
 
     def _end(self, tag: str, scope: set[str] | frozenset[str] = frozenset()) -> None:
         at = self._top
@@ -222,7 +263,7 @@ def parse_page(source: str) -> tuple[str | None, list[str], list[int], list[int]
 def without_template(texts: Sequence[str], inside: Sequence[int], hashes: Sequence[int], around: Sequence[int], template: set[int]) -> str:
     """The blocks that lie in no element of the template."""
     gone = [False] * len(hashes)
-    for i in reversed(range(len(hashes))):  # elements are numbered as they end, so those around come later
+    for i in reversed(range(len(hashes))):  # elements are numbered from the inside, so those around come later
         gone[i] = hashes[i] in template or (around[i] >= 0 and gone[around[i]])
     return "\n".join(t for t, i in zip(texts, inside) if i < 0 or not gone[i])
 
