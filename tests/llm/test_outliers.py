@@ -58,6 +58,16 @@ def test_verdicts_keep_clean_texts_and_reject_outliers(spark):
     assert kept.columns == docs.columns and kept.count() == 402 and kept.where("n_words = 'x' AND kept = 'y'").count() == 402
 
 
+def test_small_sources_are_judged_by_their_language(spark):
+    rng = random.Random(6)
+    sources = ["large"] * 300 + ["one"] + ["mostly"] * 45 + ["alone"]
+    junk = [300, *range(301, 331)]  # one text in a source of its own, and 30 of 45
+    rows = [(i, clean(rng, rng.randrange(60, 500)), "es", s) for i, s in enumerate(sources)]
+    rows = [(i, t.replace(" ", "### ") if i in junk else t, lang, s) for i, t, lang, s in rows]
+    judged = outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.row.doc_id for r in judged if not r.kept} == set(junk) and len(judged) == len(rows)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert outliers.judge(docs).collect() == []

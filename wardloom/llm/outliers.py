@@ -14,7 +14,8 @@ estimate again. The best start is reweighted once. A text is rejected if its squ
 
 Everything is aggregation per group with map-side combination, so a group that holds a third of all rows is no hot spot. Order
 statistics are read from counted grids, not from sorted rows, and so do not depend on how rows are dealt to tasks.
-Groups with fewer than ``least_rows`` texts borrow the estimate of their language.
+Groups with fewer than ``least_rows`` texts borrow the estimate of their language, which is made from all texts of the language, those of its
+large groups as well; it is made only where a language has such a group.
 """
 
 from __future__ import annotations
@@ -219,20 +220,24 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
     stats = written(stats, "statistics", compression="zstd")  # with whatever the rows carry
     passed = stats.where(~F.col("base_failed")).select("lang", "source", *STATS)
     sizes = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    own = F.when(F.col("n") >= rules.least_rows, F.col("source")).otherwise(F.lit(""))
-    groups = written(sizes.select("lang", "source", F.xxhash64("lang", own).alias("grp")), "groups")
+    large, whole = F.col("n") >= rules.least_rows, F.xxhash64("lang", F.lit(""))  # sources are JSON and never empty
+    groups = written(sizes.select("lang", "source", large.alias("large"), F.when(large, F.xxhash64("lang", "source")).otherwise(whole).alias("grp")), "groups")
+    borrowing = groups.where("NOT large").select("lang").distinct()
+    # whose texts an estimate is made from: a large group's own, and a language's where a small group borrows it
+    members = groups.where("large").select("lang", "source", "grp").unionByName(groups.join(borrowing, "lang").select("lang", "source", whole.alias("grp")))
+    members = written(members, "members")
     words = F.when(n > 0, n)  # texts without words have no axes
     length = (F.col("word_chars") / words).alias("length")
-    centres = written(_quantiles(passed.join(groups, ["lang", "source"]).select("grp", length), ["grp"], ["length"], 0.5, 1 / 256), "lengths")
+    centres = written(_quantiles(passed.join(members, ["lang", "source"]).select("grp", length), ["grp"], ["length"], 0.5, 1 / 256), "lengths")
     share = F.least(F.col("n_symbols") / words, F.lit(1.0))
     axes = (
         F.log1p(F.log(words)), F.sqrt(words) * (F.col("word_chars") / words - F.col("length")), F.asin(F.sqrt(share)),
         F.sqrt("n_dup_lines"), F.asin(F.sqrt(F.col("n_repeat_words") / words)),
     )
     # written, so that the planner knows how small it is and the texts that rows may carry stay where they are
-    around = written(groups.join(centres, "grp"), "around")
+    around, made_from = (written(x.join(centres, "grp").select("lang", "source", "grp", "length"), "around") for x in (groups, members))
     with_axes = [a.alias(AXES[i]) for i, a in enumerate(axes)]
-    vectors = passed.join(around, ["lang", "source"]).select("grp", F.xxhash64(*STATS).alias("pick"), *with_axes)
+    vectors = passed.join(made_from, ["lang", "source"]).select("grp", F.xxhash64(*STATS).alias("pick"), *with_axes)
     estimates = mcd_estimates(vectors, rules)
     placed = stats.join(around, ["lang", "source"], "left").select("row", *STATS, "base_failed", "grp", *with_axes).join(estimates, "grp", "left")
     distance = F.when(~F.col("base_failed"), _distance()).alias("distance")
