@@ -73,3 +73,20 @@ def test_model_takes_labels_of_its_folds_only(spark):
     other = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
     one, two = (toxicity.train(docs, x, toxicity.Fit(least_evidence=1.0)) for x in (labels, other))
     assert np.array_equal(one[0], two[0]) and np.array_equal(one[1], two[1]) and one[2] == two[2]
+
+
+def test_few_toxic_labels_score_their_share(spark):
+    docs, labels = made(spark, 36)
+    few = labels.selectExpr("doc_id", "CAST(doc_id IN (0, 3, 6) AS INT) AS toxic")
+    features, weights, intercept = toxicity.train(docs, few)
+    known = [i for i in range(36) if zlib.crc32(str(i).encode()) % 5]
+    share = max(sum(i in (0, 3, 6) for i in known) / len(known), 1e-3)
+    scored = toxicity.score_texts(docs, (features, weights, intercept)).collect()
+    assert len(features) == 0 and all(r.score == pytest.approx(share) for r in scored)
+
+
+def test_swapped_identity_terms_score_alike_by_default(spark):
+    docs, labels = made(spark)
+    table = spark.createDataFrame([(0, "a muslim came"), (1, "a christian came"), (2, "an idiot came")], "doc_id long, text string")
+    found = {r.row.doc_id: r.score for r in toxicity.score_texts(table, toxicity.train(docs, labels)).collect()}
+    assert abs(found[0] - found[1]) < 0.05 and max(found[0], found[1]) < 0.5 < found[2]

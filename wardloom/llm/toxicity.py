@@ -108,9 +108,11 @@ def fit_weights(rows: Sequence[tuple[np.ndarray, np.ndarray]], terms: Sequence[S
             often += [holders / n] * len(change)
     weights, slopes = np.zeros(size), np.full(size, 1e-8)
     rate = min(max(labels.mean() if n else 0.0, 1e-3), 1 - 1e-3)
-    intercept, steep = 0.0 if n else float(np.log(rate / (1 - rate))), 1e-8
+    if not n or not size:  # nothing to learn from: the share of toxic labels
+        return weights, float(np.log(rate / (1 - rate)))
+    intercept, steep = 0.0, 1e-8
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))  # both classes weigh alike
-    for _ in range(fit.rounds if n else 0):
+    for _ in range(fit.rounds):
         margin = intercept + np.bincount(owner, weights[flat] * counts, minlength=n)
         error = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - labels) * balance
         slope = np.bincount(flat, error[owner] * counts, minlength=size) + fit.ridge * weights
@@ -169,7 +171,7 @@ def chosen_features(sample: DataFrame, fit: Fit) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), **columns: str) -> tuple[np.ndarray, np.ndarray, float]:
-    """(features, weights, intercept). Without labelled rows the score is that of the least rate everywhere."""
+    """(features, weights, intercept). Without a chosen feature the score is the share of toxic labels everywhere, without labelled rows the least rate."""
     sample = training_texts(docs, labels, fit, **columns)
     features = chosen_features(sample, fit)
     terms = {w for group in IDENTITY_TERMS for w in group}
