@@ -20,9 +20,20 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def encoder(file: str) -> Callable[[str], np.ndarray]:
+def token_bytes(file: str) -> list[bytes]:
+    """The bytes of every id of a byte-level ``tokenizer.json``; none for ids that are not in its vocabulary."""
+    letters, vocab = _byte_letters(), json.loads(file)["model"]["vocab"]
+    found = [b""] * (max(vocab.values()) + 1)
+    for piece, i in vocab.items():
+        found[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
+    return found
+
+
+def encoder(file: str, plain: bool = False) -> Callable[[str], np.ndarray]:
     """From the text of a ``tokenizer.json`` to ids without special tokens added, as ``tokenizers`` gives them.
 
+    With ``plain`` the strings of special tokens inside a text are ordinary text.
+
     If the file is plain byte-level BPE whose ids are the merges' order, ``tiktoken`` computes the same ids several times faster; texts that hold
     the string of an added token, and all texts for any other file, go through ``tokenizers``.
     """
@@ -30,6 +41,7 @@ def encoder(file: str) -> Callable[[str], np.ndarray]:
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_str(file)
+    whole.encode_special_tokens = plain
     described = json.loads(file)
     model, before = described["model"], described.get("pre_tokenizer") or {}
     added = [t["content"] for t in described.get("added_tokens", ())]
@@ -54,7 +66,7 @@ def encoder(file: str) -> Callable[[str], np.ndarray]:
     fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def quickly(text: str) -> np.ndarray:
-        if any(a in text for a in added):
+        if not plain and any(a in text for a in added):
             return slowly(text)
         return np.array(fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
 

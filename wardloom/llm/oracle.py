@@ -1,6 +1,7 @@
 """SQL checks of the text operators, where SQL can express them; the others are tested against brute force.
 
-op1 (a fitted classifier), op2 (determinants found in steps), op3 (rounds of best fit), op5 (dependent rounding) and op10 (HTML) have none.
+op1 (a fitted classifier), op2 (determinants found in steps), op3 (rounds of best fit), op5 (dependent rounding), op10 (HTML), op11 (tokenizers) and
+op13 (approximate) have none.
 """
 
 from __future__ import annotations
@@ -115,6 +116,28 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP12 = rf"""
+WITH w AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS ws
+    FROM documents WHERE doc_id IS NOT NULL),
+lengths AS (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n FROM w WHERE len(ws) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM w) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, whole),
+q AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark WHERE item_id IS NOT NULL) GROUP BY ALL),
+m AS (SELECT r, doc_id, 75 + (25 * n * n_docs) // n_terms AS m FROM lengths, whole),
+scored AS (
+    SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM q JOIN weights USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY item_id, r),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def registered() -> dict[str, str]:
     return {
         "op4_size_aware_jaccard": OP4,
@@ -122,4 +145,5 @@ def registered() -> dict[str, str]:
         "op7_bloom_cascade": _op7(),
         "op8_line_suffix_array": OP8,
         "op9_pivot_topk": OP9,
+        "op12_ranked_lexical": OP12,
     }

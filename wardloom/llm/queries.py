@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import chat, htmltext, jaccard, linededup, mixing, outliers, packing, topk, toxicity, urlfilter
+from wardloom.llm import alignment, chat, collision, htmltext, jaccard, lexical, linededup, mixing, outliers, packing, topk, toxicity, urlfilter
+from wardloom.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,11 +41,11 @@ def op2_robust_outliers(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("row.doc_id", *outliers.STATS, "base_failed", "distance", "kept")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """The tokenizer file of the registered queries; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op3_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -101,6 +102,28 @@ def op10_template_removal(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """How the tokens of a byte-level and of a piece tokenizer lie over each other in every document."""
+    pieces = tokenizer_path("piece_bpe_32k.model")
+    with open(pieces, "rb") as file:
+        size = len(alignment.piece_bytes(file.read()))
+    aligned = alignment.align(table(spark, d, "documents"), tokenizer_path(), pieces)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    kept = written(aligned.select("row", "key", *alignment.COUNTS, digest, "pairs", "times"), "aligned", compression="zstd")
+    found = alignment.with_link_counts(kept, alignment.pair_counts(kept, size))
+    return found.select("row.doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
+def op12_ranked_lexical(spark: SparkSession, d: str) -> DataFrame:
+    """The twenty best documents for every item of the benchmark."""
+    return lexical.rank(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op13_collision_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Ten near rows for every hundredth vector."""
+    return collision.nearest_neighbours(table(spark, d, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
@@ -113,4 +136,7 @@ def registered() -> dict[str, Query]:
         "op8_line_suffix_array": op8_line_suffix_array,
         "op9_pivot_topk": op9_pivot_topk,
         "op10_template_removal": op10_template_removal,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_ranked_lexical": op12_ranked_lexical,
+        "op13_collision_neighbours": op13_collision_neighbours,
     }
