@@ -495,6 +495,16 @@ SELECT a.stay_id, hi, {text_of('list_concat(f.a, f.b, f.c)')} AS fl,
        name, split_42, split_7
 FROM active a JOIN flat f USING (stay_id) JOIN hi_lists USING (stay_id) JOIN texts USING (stay_id) JOIN wide USING (patient_id)""",
 )
+COHORT_FILE = with_views(
+    "fx_tokens",
+    extra=ACTIVE_STEPS | split_steps("active"),
+    select=f"""
+SELECT stay_id, active.patient_id, los,
+       CAST(coalesce(hos_discharge_location = 'Death' AND dischtime_min > {(OBS + GAP) * 60}
+                     AND dischtime_min <= {(OBS + PRED) * 60}, false) AS INTEGER) AS mortality,
+       split_42, split_7, split_42 || ',' || split_7 AS splits
+FROM active JOIN wide USING (patient_id)""",
+)
 STAGED = with_views(
     "fx_compat",
     extra=COHORT,
@@ -751,6 +761,7 @@ def registered() -> dict[str, str]:
         "keep_active": ACTIVE,
         "skipped_stays": SKIPPED,
         "write_dataset": WRITTEN,
+        "read_cohort": COHORT_FILE,
         "stage_reuse": STAGED,
         "read_csv": CSV_FILES,
         "read_categories": CATEGORIES,

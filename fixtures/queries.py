@@ -450,6 +450,7 @@ def _written(spark, d) -> str:
     packed = packing.pack_stays(_cut(spark, d), EVENT_TOKENS, MAX_TOKENS)
     labelled, classes = outcomes.label_final_acuity(outcomes.label_death_within(_cohort(spark, d), v.OBS, v.GAP, v.PRED))
     chosen = dataset.split_patients(dataset.keep_active(labelled, packed), SEEDS, VALID)
+    chosen = chosen.withColumn("splits", F.array(*[f"split_{s}" for s in SEEDS]))
     dataset.write_dataset(packed, chosen, dest, {"final_acuity": classes}, split=f"split_{SEEDS[0]}")
     return dest
 
@@ -466,6 +467,12 @@ def write_dataset(spark, d):
     )
 
 
+def read_cohort(spark, d):
+    """The cohort from its CSV: a list from its JSON, numbers and nulls in their types."""
+    back = dataset.read_cohort(spark, _written(spark, d))
+    return back.select("stay_id", "patient_id", "los", "mortality", "split_42", "split_7", listed(F.col("splits")).alias("splits"))
+
+
 def stage_reuse(spark, d):
     """The second call reads what the first one wrote; another content under the same name is computed anew."""
     whole, name = _cohort(spark, d), uuid.uuid4().hex
@@ -639,6 +646,7 @@ def registered() -> dict[str, Query]:
         "keep_active": keep_active,
         "skipped_stays": skipped_stays,
         "write_dataset": write_dataset,
+        "read_cohort": read_cohort,
         "stage_reuse": stage_reuse,
         "read_csv": csv_files,
         "read_categories": category_file,

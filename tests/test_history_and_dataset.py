@@ -143,7 +143,7 @@ def test_write_and_read_back(spark, tmp_path):
     assert not {"intime", "outtime_min"} & set(back.columns)
     assert back.count() == counts.active
     assert [tuple(r) for r in dataset.read_classes(spark, dest, "target").collect()] == [(0, "a"), (1, "b"), (2, "c")]
-    table = spark.read.option("header", True).csv(f"{dest}/cohort")
+    table = spark.read.option("header", True).csv(f"{dataset.published(spark, dest)[0]}/cohort")
     assert table.count() == counts.active and table.first().diagnosis in ("[0]", "[1]")
     view = dataset.training_view(back, "train", 42, "target", "fl")
     assert view.count() == chosen.where("split_42 = 'train'").count()

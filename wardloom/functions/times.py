@@ -21,7 +21,7 @@ def whole_minutes(later: Column, earlier: Column) -> Column:
 
 def nearest_minute(at: Column, start: Column) -> Column:
     """Minutes between two timestamps, rounded half away from zero on whole seconds."""
-    return F.round((F.unix_seconds(at) - F.unix_seconds(start)) / F.lit(60)).cast("int")
+    return F.round((F.unix_seconds(at) - F.unix_seconds(start)) / F.lit(60)).try_cast("int")
 
 
 def second_bounds(first_minute: int, last_minute) -> tuple:
@@ -30,4 +30,6 @@ def second_bounds(first_minute: int, last_minute) -> tuple:
     Half a minute rounds away from zero, so -30 s is minute -1 but 60 m - 30 s is minute m.
     """
     lower = -29 if first_minute == 0 else first_minute * 60 - 30
-    return lower, last_minute * 60 + 29
+    # a wrong time can lie centuries away, which is more seconds than an int holds
+    last = last_minute.cast("long") if isinstance(last_minute, Column) else last_minute
+    return lower, last * 60 + 29

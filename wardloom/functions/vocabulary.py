@@ -1,10 +1,17 @@
-"""Greedy word pieces by joins with a vocabulary table: every different word is cut once, however often it occurs."""
+"""Greedy word pieces by joins with a vocabulary table: every different word is cut once, however often it occurs.
+
+Every letter of a word may begin a piece. A start is a frontier: it asks for spans of 1 letter, of 2 and 3, of 4 to 7 and so on, and goes on to the
+next group only while the shortest of its spans begins some entry of the vocabulary, as the prefixes of entries of that length tell. A start so makes
+at most twice as many spans as the longest entry it agrees with has letters, and carries no more of its word than the longest entry could use.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardloom.sources.stage import cut_lineage
+
 CONTINUED = "##"
 
 
@@ -17,37 +24,60 @@ def check_vocabulary(entries: DataFrame) -> DataFrame:
     return rows
 
 
-def _walk(word: Column, steps: Column) -> Column:
-    """Ids along the longest entries from the first character to the last; null if the way ends before."""
-    size = F.length(word)
-    longest = F.map_from_entries(steps)
+def _walk(size: Column, steps: Column) -> Column:
+    """Ids along the longest entries from the first letter to the last; null if the way ends before. ``steps`` are in the order of their starts."""
+
+    def advance(walk, step):
+        more = F.struct((step["last"] + 1).alias("next"), F.concat(walk["ids"], F.array(step["id"])).alias("ids"))
+        return F.when(walk["next"] == step["first"], more).otherwise(walk)
+
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"))
+    return F.aggregate(steps, start, advance, lambda w: F.when(w["next"] == size + 1, w["ids"]))
+
+
+def _marked(first: Column, part: Column) -> Column:
+    return F.when(first == 1, part).otherwise(F.concat(F.lit(CONTINUED), part))
 
-    def advance(walk, first):
-        step = F.try_element_at(walk["longest"], first)
-        more = F.struct((step["last"] + 1).alias("next"), F.concat(walk["ids"], F.array(step["id"])).alias("ids"), walk["longest"].alias("longest"))
-        return F.when((walk["next"] == first) & step.isNotNull(), more).otherwise(walk)
 
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"), longest.alias("longest"))
-    return F.aggregate(F.sequence(F.lit(1), size), start, advance, lambda w: F.when(w["next"] == size + 1, w["ids"]))
+def spans(open_words: DataFrame, entries: DataFrame) -> DataFrame:
+    """``key, first, last, token``: the spans of (key, word) that may be entries. ``last`` is the place of the last letter, from 1."""
+    marks = len(CONTINUED)
+    continues = F.startswith("token", F.lit(CONTINUED)) & (F.length("token") > marks)
+    # an entry that begins with the mark continues a word, and may also stand at the start of one that is spelled so
+    sides = entries.select("token", F.explode(F.when(continues, F.array(F.lit(0), F.lit(marks))).otherwise(F.array(F.lit(0)))).alias("mark"))
+    longest = sides.agg(F.max(F.length("token") - F.col("mark"))).first()[0] or 0
+    first, tail = F.col("first"), F.col("tail")
+    size = F.length("word")
+    starts = open_words.where((size > 0) & F.lit(longest > 0)).select("key", "word", F.explode(F.sequence(F.lit(1), size)).alias("first"))
+    level = starts.select("key", "first", F.substring(F.col("word"), first, F.lit(longest)).alias("tail"))
+    found, length = None, 1
+    while True:
+        here = F.sequence(F.lit(length), F.least(F.length(tail), F.lit(2 * length - 1)))
+        asked = level.select("key", "first", "tail", F.explode(here).alias("n"))
+        token = _marked(first, F.substring(tail, F.lit(1), F.col("n")))
+        asked = asked.select("key", "first", (first + F.col("n") - 1).alias("last"), token.alias("token"))
+        found = asked if found is None else found.unionByName(asked)
+        length *= 2
+        if length > longest:
+            return found
+        prefixes = sides.where(F.length("token") - F.col("mark") >= length).select(F.substring(F.col("token"), F.lit(1), F.col("mark") + length).alias("token")).distinct()
+        going = level.where(F.length(tail) >= length).withColumn("token", _marked(first, F.substring(tail, F.lit(1), F.lit(length))))
+        level = cut_lineage(going.join(prefixes, "token", "left_semi").drop("token"))
 
 
 def word_table(words: DataFrame, entries: DataFrame, unknown: int, max_word_chars: int | None = None) -> DataFrame:
-    """(word, ids) of the distinct words of ``words`` (word): the longest entry first, then the longest continuation, and so on.
+    """(word, ids, n) of the distinct words of ``words`` (word), each with its number of rows: the longest entry first, then the longest continuation,
+    and so on.
 
     A word that cannot be finished this way is the unknown id; with ``max_word_chars`` also one that is longer and no entry itself. Spans of words meet the
     vocabulary in an equality join, and a word's spans are combined in the tasks; neither side reaches the driver.
     """
-    distinct = words.select("word").where("word IS NOT NULL").distinct()
-    whole = distinct.join(entries.select(F.col("token").alias("word"), "id"), "word", "left")
-    greatest = entries.agg(F.max(F.length("token"))).first()[0] or 0
-    first, last, size = F.col("first"), F.col("last"), F.length("word")
+    distinct = words.select("word").where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    whole = cut_lineage(distinct.join(entries.select(F.col("token").alias("word"), "id"), "word", "left"))
     open_ = whole.where("id IS NULL" if max_word_chars is None else f"id IS NULL AND length(word) <= {int(max_word_chars)}").select("word")
-    starts = open_.where(size > 0).select("word", F.explode(F.sequence(F.lit(1), size)).alias("first"))
-    spans = starts.select("word", "first", F.explode(F.sequence(first, F.least(size, first + greatest - 1))).alias("last"))
-    mark = F.when(first == 1, "").otherwise(CONTINUED)
-    spans = spans.withColumn("token", F.concat(mark, F.substring(F.col("word"), first, last - first + 1)))
-    best = spans.join(entries, "token").groupBy("word", "first").agg(F.max("last").alias("last"), F.max_by("id", "last").alias("id"))
-    steps = best.groupBy("word").agg(F.collect_list(F.struct("first", F.struct("last", "id"))).alias("steps"))
-    walked = steps.select("word", _walk(F.col("word"), F.col("steps")).alias("walked"))
+    keyed = open_.select(F.unhex(F.md5(F.col("word").cast("binary"))).alias("key"), "word")
+    best = spans(keyed, entries).join(entries, "token").groupBy("key", "first").agg(F.max("last").alias("last"), F.max_by("id", "last").alias("id"))
+    steps = best.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("first", "last", "id"))).alias("steps"))
+    walked = keyed.join(steps, "key").select("word", _walk(F.length("word"), F.col("steps")).alias("walked"))
     ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(F.coalesce("walked", F.array(F.lit(unknown))))
-    return whole.join(walked, "word", "left").select("word", ids.alias("ids"))
+    return whole.join(walked, "word", "left").select("word", ids.alias("ids"), "n")

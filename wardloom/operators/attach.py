@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.functions.times import instant, nearest_minute, second_bounds
+from wardloom.plans.hot import join_hot
 from wardloom.plans.ranges import join_points_to_spans
 from wardloom.spec import Keys
 
@@ -80,12 +81,13 @@ def observation_window(events: DataFrame, obs: int, unit: str, time: str, exclud
 
 
 def describe_codes(events: DataFrame, dictionaries: Mapping[str, DataFrame]) -> DataFrame:
-    """Replace each code column by its text. A dictionary is (code, text), one row per code; unknown codes become null."""
+    """Replace each code column by its text. A dictionary is (code, text), one row per code; unknown codes become null. A code that owns most
+    rows is split, for which the events are scanned once before."""
     out = events
     for col, dictionary in dictionaries.items():
         # an unknown code finds nothing, so no left row is lost and none is doubled; null codes stay out of the join
         texts = dictionary.select(F.col("code").alias(col), F.col("text").alias("_text"))
         text = dictionary.schema["text"].dataType
-        coded = out.where(F.col(col).isNotNull()).join(texts, col, "left").withColumn(col, F.col("_text")).select(events.columns)
+        coded = join_hot(out.where(F.col(col).isNotNull()), texts, [col], "left").withColumn(col, F.col("_text")).select(events.columns)
         out = coded.unionByName(out.where(F.col(col).isNull()).withColumn(col, F.lit(None).cast(text)).select(events.columns))
     return out.select(events.columns)

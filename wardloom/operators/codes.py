@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardloom.plans.hot import join_hot
 from wardloom.spec import Keys
 
 
@@ -73,7 +74,8 @@ def convert_versions(
         walk = last_per_code(mapping, "source", "target", "ord").toDF("code", "converted")
     walk = walk.select(F.col("code").alias("_key"), F.col("converted").alias("_walked"))
     key = F.when(is_modern, F.col(code)).otherwise(F.concat(F.lit("\u0000"), F.col(code)))
-    joined = diagnoses.withColumn("_modern", is_modern).withColumn("_key", key).join(walk, "_key", "left")
+    keyed = diagnoses.withColumn("_modern", is_modern).withColumn("_key", key)
+    joined = join_hot(keyed, walk, ["_key"], "left")
     return joined.withColumn("converted", F.when(F.col("_modern"), F.col("_walked")).otherwise(F.col(code))).select(*diagnoses.columns, "converted")
 
 
@@ -95,8 +97,7 @@ def label_code_set(
         raise ValueError(f"unknown missing rule {missing!r}")
     category = F.col("category")
     classes = (
-        diagnoses.select(keys.admission, "code")
-        .join(categories.select("code", "category"), "code")
+        join_hot(diagnoses.select(keys.admission, "code"), categories.select("code", "category"), ["code"])
         .where(category.isNotNull() & (category >= 0) & (category != rare_class))
         .groupBy(keys.admission)
         .agg(F.sort_array(F.collect_set(F.when(category > rare_class, category - 1).otherwise(category).cast("int"))).alias(out))

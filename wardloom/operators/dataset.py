@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,10 +12,12 @@ from pyspark.sql import types as T
 
 from wardloom.functions.arrays import many_hot, one_hot, pad_right
 from wardloom.plans.numbering import running_total, shuffled_position
-from wardloom.sources.stage import cut_lineage
+from wardloom.sources.stage import cut_lineage, exists
 from wardloom.spec import Keys
 
 TIMES = ("intime", "outtime_min")
+MANIFEST = "manifest"
+EMPTY = "\u0001"  # what a quoted empty text is read as, before it is told apart from null
 
 
 def split_patients(cohort: DataFrame, seeds: Sequence[int], valid_percent: float, keys: Keys = Keys()) -> DataFrame:
@@ -60,29 +64,70 @@ def write_dataset(
 ) -> None:
     """Packed stays with their labels as Parquet, the labelled cohort as CSV, class dictionaries as TSV.
 
-    With ``split`` the Parquet is partitioned by that split column, so a reader of one split reads only its files.
+    Everything goes to a new version's folder; a row in the manifest, appended last, makes it the one that readers open. A run that breaks off before
+    leaves the version before untouched and in use. Without ``split`` the Parquet is laid out by all split columns, so that file statistics let a reader of
+    any seed's split skip the rest; with it, it is partitioned by that column.
     """
+    spark = packed.sparkSession
+    version = uuid.uuid4().hex
+    home = f"{dest}/version={version}"
     labels = cohort.drop(*TIMES)
     times = [f.name for f in labels.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     records = packed.join(labels.drop(*times), keys.stay)
-    writer = records.write.mode("overwrite").option("maxRecordsPerFile", 20_000)
-    (writer.partitionBy(split) if split else writer).parquet(f"{dest}/packed")
+    splits = sorted(c for c in records.columns if c.startswith("split_"))
+    if split is None and splits:  # a split may own most rows, so ranges go on within it
+        records = records.repartitionByRange(*splits, keys.stay).sortWithinPartitions(*splits, keys.stay)
+    writer = records.write.option("maxRecordsPerFile", 20_000)
+    (writer.partitionBy(split) if split else writer).parquet(f"{home}/packed")
 
     flat = [
         F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name) for f in cohort.schema.fields
     ]
-    cohort.select(*flat).write.mode("overwrite").option("header", True).csv(f"{dest}/cohort")
+    cohort.select(*flat).write.option("header", True).csv(f"{home}/cohort")
     for name, dictionary in (dictionaries or {}).items():
         ordered = dictionary.select("index", "name").coalesce(1).sortWithinPartitions("index")
-        ordered.write.mode("overwrite").option("sep", "\t").csv(f"{dest}/{name}_classes")
+        ordered.write.option("sep", "\t").csv(f"{home}/{name}_classes")
+    row = spark.range(1).select(F.lit(_versions(spark, dest) + 1).cast("long").alias("number"), F.lit(version).alias("version"), F.lit(cohort.schema.json()).alias("cohort"))
+    row.coalesce(1).write.mode("append").json(f"{dest}/{MANIFEST}")
+
+
+def _manifest(spark: SparkSession, dest: str) -> DataFrame:
+    return spark.read.schema("number long, version string, cohort string").json(f"{dest}/{MANIFEST}")
+
+
+def _versions(spark: SparkSession, dest: str) -> int:
+    return (_manifest(spark, dest).agg(F.max("number")).first()[0] or 0) if exists(spark, f"{dest}/{MANIFEST}/_SUCCESS") else 0
+
+
+def published(spark: SparkSession, dest: str) -> tuple[str, str]:
+    """Folder and cohort schema of the last version that was written to its end."""
+    found = _manifest(spark, dest).orderBy(F.col("number").desc(), F.col("version").desc()).first()
+    if found is None:
+        raise ValueError(f"no finished version in {dest}")
+    return f"{dest}/version={found['version']}", found["cohort"]
 
 
 def read_dataset(spark: SparkSession, dest: str) -> DataFrame:
-    return spark.read.parquet(f"{dest}/packed")
+    return spark.read.parquet(f"{published(spark, dest)[0]}/packed")
+
+
+def read_cohort(spark: SparkSession, dest: str) -> DataFrame:
+    """The cohort as it was written: lists are read from their JSON, null and empty text are told apart by the quotes."""
+    home, schema = published(spark, dest)
+    kinds = T.StructType.fromJson(json.loads(schema)).fields
+    text = T.StructType([T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.ArrayType) else f for f in kinds])
+    rows = spark.read.schema(text).option("header", True).option("emptyValue", EMPTY).csv(f"{home}/cohort")
+
+    def restored(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.ArrayType):
+            return F.from_json(f.name, f.dataType).alias(f.name)
+        return F.when(F.col(f.name) == EMPTY, "").otherwise(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+
+    return rows.select(*[restored(f) for f in kinds])
 
 
 def read_classes(spark: SparkSession, dest: str, target: str) -> DataFrame:
-    return spark.read.schema("index int, name string").option("sep", "\t").csv(f"{dest}/{target}_classes")
+    return spark.read.schema("index int, name string").option("sep", "\t").csv(f"{published(spark, dest)[0]}/{target}_classes")
 
 
 def class_count(target: str, dictionary: DataFrame | None = None, categories: int = 17) -> int:

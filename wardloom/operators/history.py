@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardloom.plans.hot import row_hash
 from wardloom.spec import Keys
 
 
@@ -21,10 +22,16 @@ def _stay_window(stay: str, order: Sequence[str]):
 def latest_events(events: DataFrame, count: int, order: Sequence[str], keys: Keys = Keys(), out: str = "event_no") -> DataFrame:
     """The last ``count`` events of every stay, numbered from the latest (1).
 
-    The filter on the row number lets every task keep ``count`` rows per stay before the shuffle (window group limit), as long as ``count`` is within
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting for longer histories.
+    A stay is dealt to as many parts as a shuffle has partitions, by a hash of its rows, and each part keeps its last ``count``; of these, at most
+    parts x ``count`` rows a stay, the last are taken. So no task sorts a stay that owns a third of all rows, whatever ``count`` is. Within
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` tasks also drop what cannot be among the last before either shuffle.
     """
-    return events.withColumn(out, F.row_number().over(_stay_window(keys.stay, order))).where(F.col(out) <= count)
+    part, nth = "_part", "_nth"
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = events.withColumn(part, F.pmod(row_hash(events), F.lit(parts)))
+    own = Window.partitionBy(keys.stay, part).orderBy(*_latest_first(order))
+    near = dealt.withColumn(nth, F.row_number().over(own)).where(F.col(nth) <= count).drop(part, nth)
+    return near.withColumn(out, F.row_number().over(_stay_window(keys.stay, order))).where(F.col(out) <= count)
 
 
 def event_limit(max_tokens: int, max_events: int | None) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.vocabulary import check_vocabulary, word_table
 from wardloom.functions.words import text_items, unit_items
+from wardloom.plans.hot import join_counted, join_hot
 from wardloom.sources.stage import cut_lineage
 from wardloom.spec import TokenIds
 
@@ -23,25 +24,26 @@ def _digest(text: Column) -> Column:
 def encode_distinct(
     texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None, places: bool = True
 ) -> DataFrame:
-    """(digest, ids, dpes) of the different texts of ``texts`` (text); without ``places`` no dpes. ``items`` gives a text's words and
-    numbers in order."""
+    """(digest, ids, dpes, n) of the different texts of ``texts`` (text), each with its number of rows; without ``places`` no dpes. ``items`` gives
+    a text's words and numbers in order. Frequent words find their ids without moving."""
     channels = ["ids", "dpes"] if places else ["ids"]
-    once = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text").dropDuplicates(["digest"])
+    digested = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text")
+    once = digested.groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
     # read twice, for the different words and for the places they stand at
     listed = F.posexplode_outer(items(F.col("text"))).alias("pos", "item")
-    placed = cut_lineage(once.select("digest", listed).select("digest", "pos", "item.word", *[f"item.{c}" for c in channels]))
-    known = word_table(placed.select("word"), check_vocabulary(vocab), tokens.unknown, max_word_chars)
+    placed = cut_lineage(once.select("digest", "n", listed).select("digest", "n", "pos", "item.word", *[f"item.{c}" for c in channels]))
+    known = cut_lineage(word_table(placed.select("word"), check_vocabulary(vocab), tokens.unknown, max_word_chars)).withColumnRenamed("n", "times")
     if places:
         known = known.withColumn("dpes", F.array_repeat(F.lit(tokens.no_place), F.size("ids")))
     # numbers need no vocabulary, so they do not travel to the words as one null key
-    words = placed.where("word IS NOT NULL").select("digest", "pos", "word").join(known, "word").select("digest", "pos", *channels)
-    parts = words.unionByName(placed.where("word IS NULL").select("digest", "pos", *channels))
-    whole = parts.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("pos", *channels))).alias("p"))
-    return whole.select("digest", *[F.flatten(F.filter(F.col("p")[c], lambda x: x.isNotNull())).alias(c) for c in channels])
+    words = join_counted(placed.where("word IS NOT NULL").select("digest", "n", "pos", "word"), known, "word", "times").select("digest", "n", "pos", *channels)
+    parts = words.unionByName(placed.where("word IS NULL").select("digest", "n", "pos", *channels))
+    whole = parts.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("pos", *channels))).alias("p"), F.max("n").alias("n"))
+    return whole.select("digest", *[F.flatten(F.filter(F.col("p")[c], lambda x: x.isNotNull())).alias(c) for c in channels], "n")
 
 
 def _with_tokens(texts: DataFrame, encoded: DataFrame, text: str) -> DataFrame:
-    return texts.withColumn("digest", _digest(F.col(text))).join(encoded, "digest", "left").drop("digest")
+    return join_counted(texts.withColumn("digest", _digest(F.col(text))), cut_lineage(encoded), "digest", "n", "left").drop("digest")
 
 
 def word_pieces(
@@ -55,7 +57,7 @@ def word_pieces(
 ) -> DataFrame:
     """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids."""
     found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower), tokens, max_word_chars, places=False)
-    return _with_tokens(texts, found.select("digest", F.col("ids").alias(out)), text)
+    return _with_tokens(texts, found.select("digest", F.col("ids").alias(out), "n"), text)
 
 
 def encode_texts(
@@ -69,7 +71,7 @@ def encode_texts(
 ) -> DataFrame:
     """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``. A null text has none."""
     found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars)
-    return _with_tokens(texts, found.select("digest", F.struct("ids", "dpes").alias(out)), text)
+    return _with_tokens(texts, found.select("digest", F.struct("ids", "dpes").alias(out), "n"), text)
 
 
 def _names(heads: Sequence[tuple[str, Sequence[str]]], spark: SparkSession) -> DataFrame:
@@ -111,7 +113,7 @@ def _described(units: DataFrame, dictionaries: Mapping[tuple[int, int], DataFram
             for place in places[1:]:
                 here = here | place
             code = F.col("value").try_cast("long").cast("string") if numeric else F.col("value")
-            found = out.where(here).withColumn("code", code).join(known, ["table_no", "pos", "code"])
+            found = join_hot(out.where(here).withColumn("code", code), known, ["table_no", "pos", "code"])
             found = found.select("_event", "table_no", "pos", F.col("text").alias("value")).where("value IS NOT NULL")
             out = out.where(~here).unionByName(found)
     return out
@@ -136,11 +138,11 @@ def encode_events(
     """
     rows = cut_lineage(events.withColumn("_event", F.monotonically_increasing_id()))
     units = rows.select("_event", "table_no", F.explode("units").alias("u")).select("_event", "table_no", "u.pos", "u.value")
-    units = _described(units, dictionaries) if dictionaries else units
+    units = cut_lineage(_described(units, dictionaries)) if dictionaries else units
     texts = units.select(F.col("value").alias("text")).unionByName(_names(heads, events.sparkSession))
     encoded = cut_lineage(encode_distinct(texts, vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars))
     known = _heads(heads, encoded)
-    valued = units.withColumn("digest", _digest(F.col("value"))).join(encoded, "digest")
+    valued = join_counted(units.withColumn("digest", _digest(F.col("value"))), encoded, "digest", "n")
     values = valued.groupBy("_event").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("values"))
     room = max_event_tokens - 2
 

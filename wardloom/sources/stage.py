@@ -49,15 +49,15 @@ def content_key(df: DataFrame | None) -> str | None:
     return fingerprint(sorted(df.dtypes), *[str(x) for x in found])
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def exists(spark: SparkSession, path: str) -> bool:
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()).exists(named)
 
 
 def stage(df: DataFrame, name: str, key: str, root: str | None = None) -> DataFrame:
     """Read stage ``name`` if it was completely written under the same key, else write it first."""
     spark = df.sparkSession
     path = f"{root or shared_folder(spark)}/{name}-{key}"
-    if not _complete(spark, path):
+    if not exists(spark, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
