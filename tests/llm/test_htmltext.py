@@ -30,6 +30,18 @@ def test_cut_and_broken_pages():
         assert text(page) == expected, page[:60]
 
 
+def test_odd_quotes_end_nothing():
+    for page, expected in [
+        ('<article><p>one</p><a href="x"">link</a><p>two</p></article>', "one\nlink\ntwo"), ('<article><p>one</p><img alt=5" src=x><p>two</p></article>', "one\ntwo"),
+        ("<article><p don't>one</p><p>two</p></article>", "one\ntwo"), ("<article><p title='a>b'>one<p title=\"a>b\">two", "one\ntwo"),
+        ("<article><p =x>one<p a==b>two<p a = 'x>y'>three<p a= >four<p/>five", "one\ntwo\nthree\nfour\nfive"), ("<article><p a='b'c=\"d\"e>one</p a=\">\">two", "one\ntwo"),
+        ("<article><p title=it's>one<p>two", "one\ntwo"), ('<article><p>one<a href="x>never', "one"), ("<article><p>one<a href='x\">never", "one"), ("<article><p>one<b", "one"),
+        ('<article><p title="class=ad">one<p data-class="ad">two<p class="x" class="ad">three<p CLASS=ad>four', "one\ntwo\nthree"),
+        ("<article><p\u00a0x>one", "one"), ("<article><p>a<br / >c", "a c"),
+    ]:
+        assert text(page) == expected, page
+
+
 def test_any_tag_soup_is_read():
     rng = random.Random(9)
     parts = ["<p>", "</p>", "<div class=x>", "</div>", "<table>", "<tr>", "<td>", "</table>", "<li>", "<ul>", "</ul>", "<", ">", "&", "&lt;", '"', "<!--", "-->", "a", "<b>", "</b>", "<br/>", "<article>", "</article>", "<body>", "</html>"]

@@ -80,6 +80,16 @@ def test_any_boundary_between_small_and_large_is_right(spark, small, monkeypatch
     assert collections.Counter(map(tuple, jaccard.similar_components(docs).collect())) == least_ids(rows)
 
 
+@pytest.mark.parametrize("percent, small", [(50, None), (50, 10**6), (67, 0), (80, None)])
+def test_any_threshold_is_right(spark, percent, small, monkeypatch):
+    """At low thresholds one common shingle may be enough, which no pair of shingles would find."""
+    rows = made() + [(900, "a b c d"), (901, "a b c d e"), (902, "q b c d e"), (903, "g h i j k l"), (904, "g h i j k l m n")]
+    if small is not None:
+        monkeypatch.setattr(jaccard, "boundary", lambda prefixes: small)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collections.Counter(map(tuple, jaccard.similar_components(docs, join=jaccard.Join(percent=percent)).collect())) == least_ids(rows, percent)
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(5, "a b c d e f g"), (2, "A b c d e f g"), (None, "a b c d e f g"), (7, ""), (8, None), (9, "other words that are not alike at all"), (9, "other words that are not alike at all")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, uid string")

@@ -56,12 +56,17 @@ ENDS = {
 # how far up an end is looked for
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "thead": {"table"}, "tbody": {"table"}}
 
+# an attribute is a name, which may hold quotes, and perhaps a value: a quote opens one only right after the sign, and only its like closes it. So an odd
+# quote ends nothing, and a tag goes on to the end of the page only if a value that was opened is never closed, or no bracket follows
+BLANK = r"[ \t\n\f\r]"
+NAME = r"(?:=[^ \t\n\f\r/>=]*+|[^ \t\n\f\r/>=]++)"
+VALUE = rf"{BLANK}*+={BLANK}*+(?:\"[^\"]*+\"|'[^']*+'|[^ \t\n\f\r\"'>][^ \t\n\f\r>]*+|(?=>))"
 MARK = re.compile(
     r"<!--(?:>|->|.*?--!?>|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+(?:>|\Z)|</[^a-zA-Z][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?=/?[a-zA-Z])",
+    rf"|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:[ \t\n\f\r/]++|{NAME}(?:{VALUE}|(?!{BLANK}*+=)))*+)>|<(?=/?[a-zA-Z])",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(rf"({NAME})(?:{BLANK}*+={BLANK}*+(?:\"([^\"]*+)\"|'([^']*+)'|([^ \t\n\f\r\"'>][^ \t\n\f\r>]*+)|))?")
 
 
 @dataclass(frozen=True)
@@ -88,7 +93,9 @@ class _Element:
     __slots__ = ("tag", "cut", "named", "comments", "doubtful", "around", "skipped", "main", "counted", "within", "filled", "holds", "hash", "parent", "number")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
-        named = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
+        named: dict[str, str] = {}
+        for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
+            named.setdefault(name.lower(), a or b or c)  # the first of a name counts
         self.tag, self.parent, self.number = tag, parent, -1
         self.named, self.comments, self.doubtful = _named(f"{named.get('class', '')} {named.get('id', '')}") if named else (False, False, False)
         self.cut = tag in SKIPPED or named.get("role", "").lower() in SKIPPED_ROLES
@@ -273,7 +280,7 @@ def extract(pages: DataFrame, html_column: str = "html", url: str = "url", carry
     """``row`` (the carried columns) and ``text`` for every page.
 
     Null html is empty and has no text; pages without a host form one host; equal rows are pages of their own; an empty table
-    gives an empty result.
+    gives an empty result. Pages are read whole, however long; columns are told apart by position, so their names never clash.
     """
     named = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), url_parts(F.col(f"`{url}`"))[0].alias("host"), F.col(f"`{html_column}`").alias("html")

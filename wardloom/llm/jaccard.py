@@ -9,8 +9,8 @@ first ``a + l`` ones.
    them has no partner; most sets end here. A shingle is sent once by each task's batch, however many texts have it.
 3. For the rest shingles are counted over whole sets. A set with more than ``a`` shingles of its own has no partner; the others are ordered from rare to frequent.
 4. Small sets give all pairs of their first ``a + 2`` shingles as keys: partners share a pair. Large sets scan the inverted lists of their first
-   ``a + 1`` shingles; small sets stand in those lists if they are large enough to be a partner of a large one. The boundary is where the cost is least: number of pairs on
-   one side, lengths of the lists on the other, summed over the sets that there are.
+   ``a + 1`` shingles; small sets stand in those lists if they are large enough to be a partner of a large one, or so small that one common shingle may make a partner. The boundary is where the cost is least: rows
+   made of pairs on one side, postings on the other (step 5 spends one row on each), summed over the sets that there are.
 5. Sets that share a key are connected by stars, not pairs; what is connected is a block, and no two partners are in different blocks. A
    set is sent to its block once. Inside, sets are compared exactly, but for those that are connected already. A block of too many
    shingles is cut into parts, and every two parts meet in a group of their own.
@@ -135,12 +135,14 @@ def _sent(texts: list, shingles: Shingler, join: Join, buckets: int) -> Iterator
     place = (found % np.uint64(buckets)).astype(np.int64)
     short = (found // np.uint64(buckets) >> np.uint64(8)).astype(np.uint32)  # may agree by chance: then a set is kept in vain
     order = np.argsort(place, kind="stable")
-    edges = np.searchsorted(place[order], np.arange(buckets + 1))
-    for bucket in range(buckets):
-        own = order[edges[bucket] : edges[bucket + 1]]
-        mine = np.arange(len(parts)) % buckets == bucket
-        if len(own) or mine.any():
-            yield bucket, short[own].tobytes(), holder[own].tobytes(), names[mine].tobytes(), counts[mine].astype(np.int64).tobytes()
+    home = place[np.searchsorted(found, np.array([p[0] for p in parts], dtype=np.uint64))]  # a set's counts go with its first shingle
+    by_home = np.argsort(home, kind="stable")
+    occupied, starts = np.unique(place[order], return_index=True)
+    ends = np.append(starts[1:], len(order))
+    firsts, lasts = (np.searchsorted(home[by_home], occupied, side) for side in ("left", "right"))
+    for bucket, start, end, first_, last_ in zip(occupied.tolist(), starts, ends, firsts, lasts):
+        own, mine = order[start:end], by_home[first_:last_]
+        yield bucket, short[own].tobytes(), holder[own].tobytes(), names[mine].tobytes(), counts[mine].astype(np.int64).tobytes()
 
 
 def _shared_counts(bucket: pd.DataFrame) -> pd.DataFrame:
@@ -220,7 +222,7 @@ def boundary(prefixes: DataFrame) -> int:
     """The greatest size of a small set, by least cost over the sets that there are, in steps of an eighth of an octave."""
     step = F.floor(8 * F.log2("n")).cast("int").alias("step")
     pairs = (F.size("shared") * (F.size("shared") - 1) / 2).alias("pairs")
-    scans = F.aggregate(F.slice("shared", 1, F.col("room") + 1), F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("scans")
+    scans = F.least(F.size("shared"), F.col("room") + 1).alias("scans")
     costs = prefixes.select(step, pairs, scans).groupBy("step").agg(F.sum("pairs").alias("pairs"), F.sum("scans").alias("scans"))
     rows = sorted((r.step, r.pairs, float(r.scans)) for r in costs.collect())  # an entry for each eighth of an octave
     best, cost = 0, sum(r[2] for r in rows)
@@ -243,7 +245,8 @@ def keys(prefixes: DataFrame, most_small: int, join: Join) -> DataFrame:
     )
     lists = F.transform(F.slice("shared", 1, F.col("room") + 1), lambda x: F.xxhash64(F.lit(1), x["s"]))
     none = F.array().cast("array<long>")
-    in_lists = F.col("n") >= -(-join.percent * (most_small + 1) // 100)
+    # partners of fewer than two common shingles have no pair in common
+    in_lists = (F.col("n") >= -(-join.percent * (most_small + 1) // 100)) | (F.expr(f"(n * {join.percent} + 99) div 100") < 2)
     every = F.concat(F.when(small, pairs).otherwise(none), F.when(in_lists, lists).otherwise(none))
     return prefixes.select("id", F.explode(F.array_distinct(every)).alias("key"))
 
@@ -264,7 +267,7 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.
     starts = np.r_[0, np.cumsum(lengths)]
     lists, ends = np.empty(starts[-1], dtype=np.int64), starts[:-1].copy()
     root, seen, mark = np.arange(len(ids)), np.zeros(len(ids), dtype=bool), np.zeros(len(found), dtype=bool)
-    links = []
+    links, members = [], {i: [i] for i in range(len(ids))}
     for i in range(len(ids)):
         for t in prefixes[i]:
             if ends[t] > starts[t]:
@@ -283,7 +286,9 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.
         for j in others[100 * both >= join.percent * (sizes[i] + sizes[others] - both)]:
             if root[j] != root[i]:
                 links.append((int(ids[i]), int(ids[j])))
-                root[root == root[j]] = root[i]
+                few, many = sorted((int(root[i]), int(root[j])), key=lambda r: len(members[r]))
+                root[members[few]] = many  # the smaller side takes the other's name, so a set changes it seldom
+                members[many] += members.pop(few)
     return links
 
 
