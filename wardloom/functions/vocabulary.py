@@ -16,8 +16,8 @@ CONTINUED = "##"
 
 
 def check_vocabulary(entries: DataFrame) -> DataFrame:
-    """The (token, id) rows of a vocabulary; a token that is null or stands twice, or a null id, is an error."""
-    rows = entries.select("token", F.col("id").cast("int").alias("id"))
+    """The (token, id) rows of a vocabulary, written, as they are read several times; a token that is null or stands twice, or a null id, is an error."""
+    rows = cut_lineage(entries.select("token", F.col("id").cast("int").alias("id")))
     found = rows.agg(F.count("*"), F.count("token"), F.count_distinct("token"), F.count("id")).first()
     if len(set(found)) > 1:
         raise ValueError("a vocabulary has every token once, and tokens and ids are not null")
@@ -63,6 +63,8 @@ def spans(open_words: DataFrame, entries: DataFrame) -> DataFrame:
         prefixes = sides.where(F.length("token") - F.col("mark") >= length).select(F.substring(F.col("token"), F.lit(1), F.col("mark") + length).alias("token")).distinct()
         going = level.where(F.length(tail) >= length).withColumn("token", _marked(first, F.substring(tail, F.lit(1), F.lit(length))))
         level = cut_lineage(going.join(prefixes, "token", "left_semi").drop("token"))
+        if level.isEmpty():
+            return found
 
 
 def word_table(words: DataFrame, entries: DataFrame, unknown: int, max_word_chars: int | None = None) -> DataFrame:

@@ -115,6 +115,8 @@ def join_counted(rows: DataFrame, lookup: DataFrame, on: str, count: str, how: s
     often = lookup.where(F.col(count) >= least).drop(count).withColumn(hit, F.lit(True))
     if least == 1:
         return rows.join(F.broadcast(often), on, how).drop(hit)
+    if often.isEmpty():  # very many keys have as many rows as any, so none has a large part of them
+        return rows.join(lookup.drop(count), on, how)
     marked = rows.join(F.broadcast(often), on, "left")
     seldom = rows.join(F.broadcast(often.select(on)), on, "left_anti").where(F.col(on).isNotNull())
     found = marked.where(F.col(hit) if how == "inner" else F.coalesce(F.col(hit), F.col(on).isNull())).drop(hit)
