@@ -512,6 +512,16 @@ STAGED = with_views(
 SELECT stay_id, hadm_id, los, 'first' AS call FROM coh UNION ALL SELECT stay_id, hadm_id, los, 'again' FROM coh
 UNION ALL SELECT stay_id, hadm_id, los, 'changed' FROM coh WHERE los >= 2.5""",
 )
+BUCKETED = with_views(
+    "fx_compat",
+    extra=COHORT,
+    select="""
+SELECT stay_id, hadm_id, los, 'before' AS state FROM coh WHERE stay_id % 100 <> 0 UNION ALL SELECT stay_id, hadm_id, los, 'after' FROM coh""",
+)
+CHECKED_FILE = """
+SELECT CASE WHEN good THEN c_custkey END AS c_custkey, CASE WHEN good THEN c_name || ', again' END AS c_name, CASE WHEN good THEN c_acctbal END AS c_acctbal,
+       CASE WHEN c_custkey % 7 = 0 THEN c_custkey || ',"' || c_name || ', again",1,more' WHEN NOT good THEN CAST(c_custkey AS VARCHAR) END AS line
+FROM (SELECT *, c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AS good FROM customer)"""
 CSV_FILES = """
 SELECT c_custkey, c_name, c_acctbal, 'plain' AS kind FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal, 'gz' FROM customer"""
 CATEGORIES = with_views("fx_ccs", select="SELECT code, CAST(category AS INTEGER) AS category FROM fx_ccs")
@@ -763,7 +773,9 @@ def registered() -> dict[str, str]:
         "write_dataset": WRITTEN,
         "read_cohort": COHORT_FILE,
         "stage_reuse": STAGED,
+        "stage_by_bucket": BUCKETED,
         "read_csv": CSV_FILES,
+        "read_checked": CHECKED_FILE,
         "read_categories": CATEGORIES,
         "read_crosswalk": CROSSWALK_FILE,
         "read_dictionary": DICTIONARY,

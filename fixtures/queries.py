@@ -12,6 +12,8 @@ from fixtures import views as v
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.plans.run import Result, run
+from wardloom.sources import stage as stages
+from wardloom.sources import tables
 from wardloom.sources.stage import content_key, fingerprint, shared_folder, stage
 from wardloom.sources.tables import read_categories, read_crosswalk, read_dictionary, read_table
 from wardloom.spec import (
@@ -66,6 +68,21 @@ def csv_files(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+def read_checked(spark, d):
+    """The customer table as CSV in which some lines have a field too many and some end early: both results side by side."""
+    path = f"{_folder(spark)}"
+    row = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    key, name = F.col("c_custkey").cast("string"), F.concat(F.lit('"'), F.col("c_name"), F.lit(', again"'))
+    broken = F.when(F.col("c_custkey") % 7 == 0, F.concat_ws(",", key, name, F.lit("1"), F.lit("more"))).when(F.col("c_custkey") % 11 == 0, key)
+    line = F.coalesce(broken, F.concat_ws(",", key, name, F.col("c_acctbal").cast("string")))
+    head = spark.range(1).select(F.lit("c_custkey,c_name,c_acctbal").alias("value"), F.lit(0).cast("long").alias("at"))
+    lines = head.unionByName(row.select(line.alias("value"), (F.col("c_custkey") + 1).cast("long").alias("at")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{path}/customer.csv")
+    found = tables.read_checked(spark, path, "customer", "c_custkey bigint, c_acctbal double")
+    kept = found.rows.select("c_custkey", "c_name", "c_acctbal", F.lit(None).cast("string").alias("line"))
+    return kept.unionByName(found.broken.select(*[F.lit(None).cast(t).alias(c) for c, t in kept.dtypes[:3]], "line"))
+
+
 def category_file(spark, d):
     """Categories whose names and values stand in single quotes, the numbers from one on."""
     path = f"{_folder(spark)}/ccs.csv"
@@ -489,6 +506,18 @@ def stage_reuse(spark, d):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def stage_by_bucket(spark, d):
+    """A stage over all but every hundredth stay, then over all stays: the second call computes the changed buckets only."""
+    whole, name = _cohort(spark, d).select("stay_id", "hadm_id", "los"), uuid.uuid4().hex
+
+    def kept(rows: DataFrame, call: str) -> DataFrame:
+        made = stages.stage_by_bucket(rows, ["stay_id"], lambda r: r.withColumn("call", F.lit(call)), "cohort", name)
+        return made.select("stay_id", "hadm_id", "los")
+
+    before = kept(whole.where("stay_id % 100 <> 0"), "first").withColumn("state", F.lit("before"))
+    return before.unionByName(kept(whole, "second").withColumn("state", F.lit("after")))
+
+
 def training_view(spark, d):
     data = dataset.read_dataset(spark, _written(spark, d))
     out = dataset.training_view(data, "train", 42, "final_acuity", "hi")
@@ -648,7 +677,9 @@ def registered() -> dict[str, Query]:
         "write_dataset": write_dataset,
         "read_cohort": read_cohort,
         "stage_reuse": stage_reuse,
+        "stage_by_bucket": stage_by_bucket,
         "read_csv": csv_files,
+        "read_checked": read_checked,
         "read_categories": category_file,
         "read_crosswalk": crosswalk_file,
         "read_dictionary": dictionary_file,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wardloom.functions import vocabulary
 from wardloom.operators import attach, codes, dataset, history, tokens
 from wardloom.plans import hot, ranges
+from wardloom.sources import stage, tables
 
 
 @pytest.fixture
@@ -236,3 +237,56 @@ def test_files_are_laid_out_by_every_split(spark, tmp_path):
     files = {r.f for r in rows}
     for seed in ("split_42", "split_7"):
         assert len({r.f for r in rows if r[seed] == "test"}) < len(files)
+
+
+# --- stages and broken lines --------------------------------------------------------------------------------------
+
+
+def test_only_changed_buckets_are_computed(spark, tmp_path):
+    computed = []
+
+    def compute(rows):
+        computed.append(sorted(r.k for r in rows.collect()))
+        return rows.where("k <> 3").withColumn("twice", F.col("v") * 2)
+
+    def kept(rows, key="x"):
+        table = stage.stage_by_bucket(rows, ["k"], compute, "s", key, 64, str(tmp_path))
+        return sorted(map(tuple, table.collect()))
+
+    rows = spark.range(200).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    wanted = [(i, i, 2 * i) for i in range(200) if i != 3]
+    assert kept(rows) == wanted and len(computed[-1]) == 200
+    assert kept(rows.repartition(7)) == wanted and computed[-1] == []
+    more = rows.unionByName(spark.createDataFrame([(500, 1), (3, 9)], "k long, v long"))
+    assert kept(more) == sorted([*wanted, (500, 1, 2)])
+    assert {3, 500} <= set(computed[-1]) and len(computed[-1]) < 30
+    less = rows.where("k <> 5")
+    assert kept(less) == [w for w in wanted if w[0] != 5] and len(computed[-1]) < 30
+    assert len(stage.sweep_parts(spark, "s", "x", 64, str(tmp_path))) >= 2 and stage.sweep_parts(spark, "s", "x", 64, str(tmp_path)) == []
+    assert kept(less) == [w for w in wanted if w[0] != 5] and computed[-1] == []
+    assert kept(rows.where("k = 3")) == [] and kept(rows.limit(0)) == []
+    assert kept(rows, "other") == wanted
+
+
+def test_a_broken_stage_keeps_its_old_state(spark, tmp_path):
+    rows = spark.range(20).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    stage.stage_by_bucket(rows, ["k"], lambda r: r, "s", "x", 8, str(tmp_path))
+    bad = F.when(F.col("k") == 5, F.raise_error(F.lit("no"))).otherwise(F.lit(2))
+    with pytest.raises(Exception):
+        stage.stage_by_bucket(rows.withColumn("v", F.lit(2)), ["k"], lambda r: r.withColumn("v", bad), "s", "x", 8, str(tmp_path))
+    assert {r.v for r in stage.stage_by_bucket(rows, ["k"], lambda r: r, "s", "x", 8, str(tmp_path)).collect()} == {1}
+
+
+def test_lines_with_other_numbers_of_fields_are_set_aside(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "t.csv").write_text('a,b,_line\n1,x,p\n2,y\n3,"z, ""q""",r,more\n4,"u, v",s\nbad,w,t\n')
+    (root / "n.csv").write_text("a,b\n")
+    found = tables.read_checked(spark, str(root), "t", "a int")
+    assert {tuple(r) for r in found.rows.collect()} == {(4, "u, v", "s"), (1, "x", "p"), (None, "w", "t")}
+    assert {r.line for r in found.broken.collect()} == {"2,y", '3,"z, ""q""",r,more'}
+    assert all(r.file.endswith("t.csv") for r in found.broken.collect())
+    none = tables.read_checked(spark, str(root), "n")
+    assert none.rows.count() == 0 and none.broken.count() == 0
+    counts = tables.set_aside({"t": found.broken, "n": none.broken}, str(tmp_path / "aside"))
+    assert [tuple(r) for r in counts.collect()] == [("t", 2)]

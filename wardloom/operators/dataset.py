@@ -54,6 +54,11 @@ def skipped_stays(cohort: DataFrame, packed: DataFrame, keys: Keys = Keys()) ->
     )
 
 
+def skipped_counts(spark: SparkSession, stays: int, active: int) -> DataFrame:
+    """The row of ``skipped_stays`` from what is known already."""
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in (("stays", stays), ("active", active), ("skipped", stays - active))])
+
+
 def write_dataset(
     packed: DataFrame,
     cohort: DataFrame,

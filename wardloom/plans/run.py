@@ -38,8 +38,9 @@ class Result:
     skipped: DataFrame  # one row of counts
 
 
-def open_source(spark: SparkSession, root: str, spec: SourceSpec, params: Params) -> dict[str, DataFrame]:
-    """The tables a run of ``spec`` will touch, as lazy scans."""
+def open_source(spark: SparkSession, root: str, spec: SourceSpec, params: Params, quarantine: str | None = None) -> dict[str, DataFrame]:
+    """The tables a run of ``spec`` will touch, as lazy scans. With ``quarantine`` lines with too many or too few fields are written there
+    and left out; the folder must be new."""
     check_options(spec, params)
     names = {spec.stays, *[t.name for t in spec.events]}
     names |= {n for n in (spec.patients, spec.admissions) if n}
@@ -49,7 +50,12 @@ def open_source(spark: SparkSession, root: str, spec: SourceSpec, params: Params
         names.add(spec.labs.name)
     if _needs_exclusion(spec, params):
         names |= {r.table for r in spec.exclusion.rules}
-    opened = {n: tables.read_table(spark, root, n) for n in sorted(names)}
+    if quarantine:
+        checked = {n: tables.read_checked(spark, root, n) for n in sorted(names)}
+        tables.set_aside({n: c.broken for n, c in checked.items()}, quarantine)
+        opened = {n: c.rows for n, c in checked.items()}
+    else:
+        opened = {n: tables.read_table(spark, root, n) for n in sorted(names)}
     if params.diagnosis and spec.diagnosis.style == "paths":
         # the first code list of a path counts, so these rows carry their place in the file
         path = tables.find_table(spark, root, spec.diagnosis.table)
@@ -219,8 +225,10 @@ def run(
     content = [stage.content_key(t) for t in (vocab, categories, crosswalk)] if reuse else None
     key = stage.fingerprint(reuse, spec, params, token_ids, lower, content)
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return stage.stage(df, f"{spec.name}-{name}", key) if reuse else stage.cut_lineage(df)
+    def keep(df: DataFrame, name: str, counted: stage.RowCount | None = None) -> DataFrame:
+        if reuse:
+            return stage.stage(df, f"{spec.name}-{name}", key, counted=counted)
+        return stage.cut_lineage(counted.watch(df) if counted else df)
 
     stays, keys = build_cohort(inputs, spec, params)
     # every label reads the cohort again, so it is written once
@@ -229,7 +237,8 @@ def run(
         stays = label_diagnosis(stays, inputs, spec, params, categories, crosswalk, keys)
     if params.measurements:
         stays = label_measurements(stays, inputs, spec, params, keys)
-    stays = keep(stays.drop("first_unit", "last_unit", *(() if params.label_sources else LABEL_SOURCES)), "cohort")
+    all_stays, all_packed = stage.RowCount(), stage.RowCount()
+    stays = keep(stays.drop("first_unit", "last_unit", *(() if params.label_sources else LABEL_SOURCES)), "cohort", all_stays)
 
     per_table, heads, dictionaries_at = [], [], {}
     for number, table in enumerate(spec.events):
@@ -242,7 +251,9 @@ def run(
     encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, dictionaries_at)
     # the cut to the token limit and the packing share one exchange by stay
     fitted = history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys)
-    packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys, params.packed_type), "packed")
+    packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys, params.packed_type), "packed", all_packed)
     active = packed.select(keys.stay)
     chosen = dataset.split_patients(dataset.keep_active(stays, active, keys), params.seeds, params.valid_percent, keys)
-    return Result(chosen, packed, dictionaries, dataset.skipped_stays(stays, active, keys))
+    # every packed stay is one row and of the cohort, so the two writes have counted what was skipped
+    counts = dataset.skipped_counts(stays.sparkSession, all_stays.of(stays), all_packed.of(packed))
+    return Result(chosen, packed, dictionaries, counts)

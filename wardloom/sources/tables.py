@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +47,46 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
+class Checked(NamedTuple):
+    rows: DataFrame
+    broken: DataFrame  # (line, file)
+
+
+def read_checked(spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None) -> Checked:
+    """``read_table`` with the lines set apart that have more or fewer fields than the header, which a plain scan would cut or fill up.
+
+    Parquet has no such lines. Each of the two results is one scan of the file.
+    """
+    path = find_table(spark, root, name)
+    if path.endswith(".parquet"):
+        return Checked(read_table(spark, root, name, schema), spark.createDataFrame([], "line string, file string"))
+    names = _scan(spark, path).columns
+    line = "_line"
+    while line in names:
+        line = f"_{line}"
+    kinds = T.StructType([T.StructField(c, T.StringType()) for c in [*names, line]])
+    # fields are counted only where all of them are read
+    options = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": line, "columnPruning": False, "enforceSchema": True}
+    scanned = spark.read.schema(kinds).options(**options).csv(path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    types = {f.name: f.dataType for f in wanted} if wanted else {}
+    typed = [F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in names]
+    # Spark reads no file for the column of broken lines alone, so the conditions look at a field as well
+    read = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    broken = scanned.where(F.col(line).isNotNull() & read).select(F.col(line).alias("line"), F.col("_metadata.file_path").alias("file"))
+    return Checked(scanned.where(F.col(line).isNull() & read).select(*typed), broken)
+
+
+def set_aside(broken: Mapping[str, DataFrame], dest: str) -> DataFrame:
+    """Write broken lines by table; returns ``table, lines``, a row for each table that has any."""
+    parts = [lines.withColumn("table", F.lit(name)) for name, lines in sorted(broken.items())]
+    parts[0].sparkSession.createDataFrame([], "line string, file string, table string").write.mode("append").parquet(dest)
+    for part in parts:
+        part.write.mode("append").parquet(dest)
+    found = parts[0].sparkSession.read.schema("line string, file string, table string").parquet(dest)
+    return found.groupBy("table").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def in_file_order(spark: SparkSession, path: str) -> DataFrame:
     """Rows with ``ord``, which grows in file order: path, block, then position in the block."""
     df = _scan(spark, path)
