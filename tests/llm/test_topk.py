@@ -63,3 +63,8 @@ def test_scores_beyond_doubles_are_exact(spark):
 
 def test_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_each_component_is_floored_for_itself(spark):
+    rows = spark.createDataFrame([(0, [1e20, -0.3]), (1, [0.1, -0.3])], "vec_id long, embedding array<double>")
+    assert {r.vec_id: tuple(r.v) for r in topk.valid_vectors(rows, "vec_id", "embedding", 256).collect()} == {0: (256e20, -77.0), 1: (25.0, -77.0)}

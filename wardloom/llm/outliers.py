@@ -242,7 +242,7 @@ def judge(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "text
     placed = stats.join(around, ["lang", "source"], "left").select("row", *STATS, "base_failed", "grp", *with_axes).join(estimates, "grp", "left")
     distance = F.when(~F.col("base_failed"), _distance()).alias("distance")
     judged = placed.select("row", *STATS, "base_failed", distance)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= rules.cutoff))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= rules.cutoff, F.lit(False)))
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -91,10 +91,9 @@ def valid_vectors(table: DataFrame, vec_id: str, vector: str, scale: int) -> Dat
     """(vec_id, dim, v): integers of the rows that take part, each (id, vector) once."""
     v, i = F.col(f"`{vector}`"), F.col(f"`{vec_id}`").cast("long")
     fine = v.isNotNull() & i.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    ints = F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
     # floor() of a double is a long, which holds up to 2^63: larger components stay doubles, they have no fraction anyway
-    large = F.transform(v, lambda x: F.lit(float(scale)) * x.cast("double"))
-    ints = F.when(F.forall(v, lambda x: F.abs(x.cast("double")) < float(1 << 53) / scale), ints).otherwise(large)
+    wide = lambda x: F.lit(float(scale)) * x.cast("double")
+    ints = F.transform(v, lambda x: F.when(F.abs(x.cast("double")) < float(1 << 53) / scale, F.floor(wide(x)).cast("double")).otherwise(wide(x)))
     return table.where(fine).select(i.alias("vec_id"), F.size(v).alias("dim"), ints.alias("v")).where("dim > 0").dropDuplicates()
 
 
