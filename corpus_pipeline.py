@@ -5,7 +5,7 @@ the last return the columns of ``documents``:
 
 1. ``quality_rules``: documents that fail the base rules or the robust distance go.
 2. ``line_dedup``: later copies of line runs of 50 words or more are deleted from the texts; documents of which nothing is left go.
-3. ``near_duplicates``: of every group of documents linked by a similarity of 0.85 of their four-word shingles, the one with the smallest id stays.
+3. ``near_duplicates``: of every group of documents linked by a similarity of 0.8 of their five-word shingles, the one with the smallest id stays.
 4. ``source_mix``: documents are repeated or left out until each source has its target of words.
 5. ``packing``: pieces of at most 2048 tokens and their places in sequences.
 
@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, join=jaccard.Join(words=5, percent=80))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
