@@ -543,6 +543,21 @@ TRAINING = with_views(
 SELECT a.stay_id, {text_of('input_ids')} AS input_ids, {text_of('type_ids')} AS type_ids, {text_of('dpe_ids')} AS dpe_ids, label
 FROM active a JOIN lists USING (stay_id) JOIN classed USING (stay_id) JOIN wide USING (patient_id) WHERE split_42 = 'train'""",
 )
+TRAINING_FLAT = with_views(
+    "fx_tokens",
+    extra=ACTIVE_STEPS | split_steps("active"),
+    select=f"""
+SELECT a.stay_id, {text_of('f.a')} AS input_ids, {text_of('f.b')} AS type_ids, {text_of('f.c')} AS dpe_ids,
+       CAST(coalesce(hos_discharge_location = 'Death' AND dischtime_min > {(OBS + GAP) * 60}
+                     AND dischtime_min <= {(OBS + PRED) * 60}, false) AS INTEGER) AS label
+FROM active a JOIN flat f USING (stay_id) JOIN wide USING (patient_id) WHERE split_7 = 'valid'""",
+)
+CLASS_COUNTS = with_views(
+    "fx_compat",
+    extra=COHORT | {"texts": ACUITY_TEXT},
+    select="""
+SELECT 'final_acuity' AS target, CAST(count(DISTINCT name) AS INTEGER) AS classes FROM texts UNION ALL SELECT 'mortality', 2 UNION ALL SELECT 'diagnosis', 17""",
+)
 BATCHES = with_views(
     "fx_tokens",
     extra=ACTIVE_STEPS
@@ -780,6 +795,8 @@ def registered() -> dict[str, str]:
         "read_crosswalk": CROSSWALK_FILE,
         "read_dictionary": DICTIONARY,
         "training_view": TRAINING,
+        "training_view_flat": TRAINING_FLAT,
+        "class_counts": CLASS_COUNTS,
         "batch_view": BATCHES,
         "whole_run": WHOLE,
         "whole_run_offsets": WHOLE_OFFSETS,

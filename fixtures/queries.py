@@ -524,6 +524,19 @@ def training_view(spark, d):
     return out.select("stay_id", *[listed(F.flatten(c)).alias(c) for c in ("input_ids", "type_ids", "dpe_ids")], "label")
 
 
+def training_view_flat(spark, d):
+    """The flat form of another split and seed, with a label of two classes."""
+    out = dataset.training_view(dataset.read_dataset(spark, _written(spark, d)), "valid", 7, "mortality", "fl")
+    return out.select("stay_id", *[listed(F.col(c)).alias(c) for c in ("input_ids", "type_ids", "dpe_ids")], "label")
+
+
+def class_counts(spark, d):
+    """Number of classes of a target with a dictionary, of one without, and of the code list."""
+    names = {"final_acuity": outcomes.label_final_acuity(_cohort(spark, d))[1], "mortality": None, "diagnosis": None}
+    counts = [F.struct(F.lit(t).alias("target"), F.lit(dataset.class_count(t, n)).alias("classes")) for t, n in names.items()]
+    return spark.range(1).select(F.inline(F.array(*counts)))
+
+
 def batch_view(spark, d):
     packed = packing.pack_stays(_cut(spark, d), EVENT_TOKENS, MAX_TOKENS)
     labelled = outcomes.label_final_acuity(_cohort(spark, d))[0].select("stay_id", "final_acuity").withColumn("split_42", F.lit("train"))
@@ -684,6 +697,8 @@ def registered() -> dict[str, Query]:
         "read_crosswalk": crosswalk_file,
         "read_dictionary": dictionary_file,
         "training_view": training_view,
+        "training_view_flat": training_view_flat,
+        "class_counts": class_counts,
         "batch_view": batch_view,
         "whole_run": whole_run,
         "whole_run_offsets": whole_run_offsets,

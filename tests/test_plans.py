@@ -9,7 +9,7 @@ from wardloom.operators import attach, hierarchy, tokens
 from wardloom.sources import stage
 
 # queries that write on the way are covered by the operators they use
-WRITE = {"write_dataset", "read_cohort", "stage_by_bucket", "read_checked", "training_view", "whole_run", "whole_run_offsets", "stage_reuse", "read_csv", "read_categories", "read_crosswalk", "read_dictionary"}
+WRITE = {"write_dataset", "training_view_flat", "read_cohort", "stage_by_bucket", "read_checked", "training_view", "whole_run", "whole_run_offsets", "stage_reuse", "read_csv", "read_categories", "read_crosswalk", "read_dictionary"}
 LAZY = sorted(set(queries.registered()) - WRITE)
 
 
