@@ -776,6 +776,7 @@ def registered() -> dict[str, str]:
         "space_digits": SPACE,
         "digit_places": PLACES,
         "word_pieces": WORD_PIECES,
+        "fold_accents": "SELECT doc_id, strip_accents(lower(text)) AS text FROM documents",
         "encode_texts": ENCODED_TEXTS,
         "encode_events": ENCODED_EVENTS,
         "cut_history": CUT,

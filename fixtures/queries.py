@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
+from wardloom.functions.words import normal
 from wardloom.operators import attach, codes, cohort, dataset, exclusions, hierarchy, history, measurements, outcomes, packing, tokens, units
 from wardloom.plans.run import Result, run
 from wardloom.sources import stage as stages
@@ -403,6 +404,11 @@ def word_pieces(spark, d):
     return out.select("doc_id", listed(F.col("ids")).alias("ids"))
 
 
+def folded(spark, d):
+    texts = read_table(spark, d, "documents", partitions=v.cores(spark))
+    return texts.select("doc_id", normal(F.col("text"), accents=False).alias("text"))
+
+
 def encode_texts(spark, d):
     texts = v.text(spark, d).select("text").distinct()
     out = tokens.encode_texts(texts, v.vocab(spark, d), "text")
@@ -678,6 +684,7 @@ def registered() -> dict[str, Query]:
         "space_digits": spaced,
         "digit_places": places,
         "word_pieces": word_pieces,
+        "fold_accents": folded,
         "encode_texts": encode_texts,
         "encode_events": encode_events,
         "cut_history": cut_history,

@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -174,3 +175,14 @@ def test_event_units_skip_nulls_in_column_order(spark):
     df = spark.createDataFrame([(1, None, 2.5)], "b int, a string, c double")
     units = event_units(df, ["c", "a", "b"]).first().units
     assert [(u.pos, u.name, u.value) for u in units] == [(0, "c", "2.5"), (2, "b", "1")]
+
+
+def test_accents_are_folded_on_request(spark, vocab):
+    from wardloom.functions.words import fold_accents
+
+    texts = ["Crème brûlée", "e\u0301a\u0308", "ñandú Ångström", "ǘ ệ", "日本 が", "Ωμέγα й", "", "plain"]
+    plain = [unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")) for t in texts]
+    assert run(spark, texts, fold_accents) == plain
+    df = spark.createDataFrame([("dosé",)], "t string")
+    assert word_pieces(df, vocab, "t", accents=False).first().ids == [IDS["dose"]]
+    assert word_pieces(df, vocab, "t").first().ids == greedy("dosé")

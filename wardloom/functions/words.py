@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +25,29 @@ WORD = rf"(?:[0-9a-zA-Z]++|[^{SINGLE}{SPACE}])++|[{SINGLE}]"
 SEGMENT = rf"{NUMBER_OR_DOTS}|[^0-9.]+"
 
 
+@cache
+def _accented() -> tuple[str, str]:
+    """Letters that are a letter and marks in one character, and the letters alone: from the character data, not a list."""
+    pairs = []
+    for code in range(0xA0, 0x10000):
+        parts = unicodedata.normalize("NFD", chr(code))
+        base = [c for c in parts if unicodedata.category(c) != "Mn"]
+        if len(parts) > 1 and len(base) == 1:
+            pairs.append((chr(code), base[0]))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def fold_accents(text: Column) -> Column:
+    """``text`` with accented letters as plain ones, however the accent is written."""
+    return F.regexp_replace(F.translate(text, *_accented()), r"\p{Mn}+", "")
+
+
+def normal(text: Column, lower: bool = True, accents: bool = True) -> Column:
+    """The text as words are made of it: in lower case and without accents, if so asked."""
+    cased = F.lower(text) if lower else text
+    return cased if accents else fold_accents(cased)
+
+
 def plain_words(text: Column) -> Column:
     """Words of ``text``; punctuation marks and ideographs stand alone."""
     return F.regexp_extract_all(F.regexp_replace(text, REMOVED, ""), F.lit(WORD), F.lit(0))
@@ -35,12 +61,12 @@ def _word_item(word: Column) -> Column:
     return F.struct(word.alias("word"), none.alias("ids"), none.alias("dpes"))
 
 
-def text_items(text: Column, lower: bool = True) -> Column:
+def text_items(text: Column, lower: bool = True, accents: bool = True) -> Column:
     """A whole text as items: its words, in order."""
-    return F.transform(plain_words(F.lower(text) if lower else text), _word_item).cast(f"array<{ITEM}>")
+    return F.transform(plain_words(normal(text, lower, accents)), _word_item).cast(f"array<{ITEM}>")
 
 
-def unit_items(text: Column, tokens: TokenIds, lower: bool = True) -> Column:
+def unit_items(text: Column, tokens: TokenIds, lower: bool = True, accents: bool = True) -> Column:
     """A unit text as items: decimals are rounded, then every number or run of dots is its digits and dots as tokens with their place
     codes, and everything else is words, for the vocabulary to name."""
 
@@ -56,7 +82,7 @@ def unit_items(text: Column, tokens: TokenIds, lower: bool = True) -> Column:
     def is_number(segment):
         return (segment >= ".") & (segment < ":") & ~F.startswith(segment, F.lit("/"))
 
-    segments = F.regexp_extract_all(round_decimals(F.lower(text) if lower else text), F.lit(SEGMENT), F.lit(0))
+    segments = F.regexp_extract_all(round_decimals(normal(text, lower, accents)), F.lit(SEGMENT), F.lit(0))
     kind = f"array<{ITEM}>"
     return F.flatten(
         F.transform(segments, lambda s: F.when(is_number(s), number(s).cast(kind)).otherwise(F.transform(plain_words(s), _word_item).cast(kind)))

@@ -54,9 +54,10 @@ def word_pieces(
     lower: bool = True,
     out: str = "ids",
     max_word_chars: int | None = None,
+    accents: bool = True,
 ) -> DataFrame:
     """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids."""
-    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower), tokens, max_word_chars, places=False)
+    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower, accents), tokens, max_word_chars, places=False)
     return _with_tokens(texts, found.select("digest", F.col("ids").alias(out), "n"), text)
 
 
@@ -68,9 +69,10 @@ def encode_texts(
     lower: bool = True,
     out: str = "tokens",
     max_word_chars: int | None = None,
+    accents: bool = True,
 ) -> DataFrame:
     """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``. A null text has none."""
-    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars)
+    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: unit_items(t, tokens, lower, accents), tokens, max_word_chars)
     return _with_tokens(texts, found.select("digest", F.struct("ids", "dpes").alias(out), "n"), text)
 
 
@@ -128,6 +130,7 @@ def encode_events(
     lower: bool = True,
     dictionaries: Mapping[tuple[int, int], DataFrame] | None = None,
     max_word_chars: int | None = None,
+    accents: bool = True,
 ) -> DataFrame:
     """Replace ``units`` by ``ids``, ``types`` and ``dpes``: table name, then (column, value) units while they fit.
 
@@ -140,7 +143,7 @@ def encode_events(
     units = rows.select("_event", "table_no", F.explode("units").alias("u")).select("_event", "table_no", "u.pos", "u.value")
     units = cut_lineage(_described(units, dictionaries)) if dictionaries else units
     texts = units.select(F.col("value").alias("text")).unionByName(_names(heads, events.sparkSession))
-    encoded = cut_lineage(encode_distinct(texts, vocab, lambda t: unit_items(t, tokens, lower), tokens, max_word_chars))
+    encoded = cut_lineage(encode_distinct(texts, vocab, lambda t: unit_items(t, tokens, lower, accents), tokens, max_word_chars))
     known = _heads(heads, encoded)
     valued = join_counted(units.withColumn("digest", _digest(F.col("value"))), encoded, "digest", "n")
     values = valued.groupBy("_event").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("values"))

@@ -217,13 +217,14 @@ def run(
     token_ids: TokenIds = TokenIds(),
     lower: bool = True,
     reuse: str | None = None,
+    accents: bool = True,
 ) -> Result:
     """Run all steps. ``reuse`` names the input snapshot: with it, finished stages of the same spec, parameters, vocabulary, categories and crosswalk
     are read instead of computed again. Stays, labelled cohort, the latest events, encoded values and packed stays are written on the way; raw events
     are scanned once."""
     check_options(spec, params)
     content = [stage.content_key(t) for t in (vocab, categories, crosswalk)] if reuse else None
-    key = stage.fingerprint(reuse, spec, params, token_ids, lower, content)
+    key = stage.fingerprint(reuse, spec, params, token_ids, lower, accents, content)
 
     def keep(df: DataFrame, name: str, counted: stage.RowCount | None = None) -> DataFrame:
         if reuse:
@@ -248,7 +249,7 @@ def run(
         dictionaries_at |= {(number, pos): rows for pos, rows in texts.items()}
     # earlier events cannot survive the cut, so they are never described or encoded
     latest = history.latest_events(units.union_events(per_table), _event_limit(params), ORDER, keys)
-    encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, dictionaries_at)
+    encoded = tokens.encode_events(latest, heads, vocab, params.max_event_tokens, token_ids, lower, dictionaries_at, accents=accents)
     # the cut to the token limit and the packing share one exchange by stay
     fitted = history.fit_tokens(encoded, params.max_stay_tokens, params.min_events, ORDER, keys=keys)
     packed = keep(packing.pack_stays(fitted, params.max_event_tokens, params.max_stay_tokens, token_ids, keys, params.packed_type), "packed", all_packed)
