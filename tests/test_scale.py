@@ -57,12 +57,6 @@ def test_only_hot_keys_are_split(spark):
     assert len(found) == 1 and min(found.values()) >= 0.4 * hot.FINENESS * 8
 
 
-def test_a_sketch_can_be_filled_by_a_write(spark, tmp_path):
-    rows, seen = hot.observed(skewed(spark), "code")
-    rows.write.parquet(str(tmp_path / "rows"))
-    assert hot.observed_keys(rows, seen) == hot.hot_keys(skewed(spark), "code")
-
-
 def test_equal_rows_of_a_hot_key_are_joined_once_each(spark):
     rows = spark.createDataFrame([("a", i % 2) for i in range(1000)], "k string, v int")
     assert hot.join_hot(rows, spark.createDataFrame([("a", 9)], "k string, w int"), ["k"]).count() == 1000

@@ -65,7 +65,8 @@ def convert_versions(
     diagnoses: DataFrame, mapping: DataFrame, code: str, version: str, backoff: bool = False
 ) -> DataFrame:
     """Add ``converted``: version 9 codes stay, version 10 codes go through the crosswalk. Without back-off the rows are scanned once and meet the
-    crosswalk, one row per code. Old codes get a key that no crosswalk has, a different one for each code, so they neither match nor meet in one place.
+    crosswalk, one row per code. Old codes get a key that no crosswalk has, a different one for each code, so they neither match nor meet in one place; missing codes
+    share such a key, which is split like any other that many rows have.
     """
     is_modern = F.coalesce(F.col(version).cast("string").try_cast("int") == 10, F.lit(False))
     if backoff:
@@ -73,7 +74,8 @@ def convert_versions(
     else:
         walk = last_per_code(mapping, "source", "target", "ord").toDF("code", "converted")
     walk = walk.select(F.col("code").alias("_key"), F.col("converted").alias("_walked"))
-    key = F.when(is_modern, F.col(code)).otherwise(F.concat(F.lit("\u0000"), F.col(code)))
+    other = F.lit("\u0000")
+    key = F.coalesce(F.when(is_modern, F.col(code)).otherwise(F.concat(other, F.col(code))), other)
     keyed = diagnoses.withColumn("_modern", is_modern).withColumn("_key", key)
     joined = join_hot(keyed, walk, ["_key"], "left")
     return joined.withColumn("converted", F.when(F.col("_modern"), F.col("_walked")).otherwise(F.col(code))).select(*diagnoses.columns, "converted")

@@ -1,7 +1,7 @@
 """Equality joins in which one key may own a large part of the rows.
 
-Keys that own many rows are found by a bounded sketch in one scan of the rows, or while the rows are written anyway. Their rows are dealt to as many
-pieces as their share calls for, by a hash of the whole row, so that a task that runs again deals them alike. The lookup side repeats its rows for
+Keys that own many rows are found by a bounded sketch in one scan of the rows. Their rows are dealt to as many pieces as their share calls for, by
+a hash of the whole row, so that a task that runs again deals them alike. The lookup side repeats its rows for
 these few keys only; all other keys are one piece. Nothing here depends on a broadcast or on splitting at run time.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +26,6 @@ def key_hash(*keys: Column | str) -> Column:
     return F.xxhash64(*keys)
 
 
-def _sketch(h: Column) -> list[Column]:
-    # the sketch takes a column, so the hash is computed below it
-    return [F.expr(f"approx_top_k({HASH}, {KEPT}, {TRACKED})").alias("top"), F.count(h).alias("n")]
-
-
 def _pieces(top: Sequence, n: int, partitions: int) -> dict[int, int]:
     found = {r["item"]: math.ceil(FINENESS * partitions * r["count"] / n) for r in top or () if r["item"] is not None}
     return {h: pieces for h, pieces in found.items() if pieces > FINENESS // 2}
@@ -43,21 +38,10 @@ def _partitions(df: DataFrame) -> int:
 def hot_keys(rows: DataFrame, *keys: Column | str) -> dict[int, int]:
     """Keys whose rows fill a good part of a shuffle partition, from one scan. Null keys find nothing in a join and are not counted."""
     hashed = rows.where(_known(keys)).select(key_hash(*keys).alias(HASH))
-    found = hashed.agg(*_sketch(F.col(HASH))).first()
+    found = hashed.agg(F.expr(f"approx_top_k({HASH}, {KEPT}, {TRACKED})").alias("top"), F.count(HASH).alias("n")).first()
     return _pieces(found["top"], found["n"], _partitions(rows)) if found["n"] else {}
 
 
-def observed(rows: DataFrame, *keys: Column | str) -> tuple[DataFrame, Observation]:
-    """``rows`` with the hash of their key, null for null keys, and the sketch that whoever writes them fills."""
-    seen = Observation()
-    return rows.withColumn(HASH, F.when(_known(keys), key_hash(*keys))).observe(seen, *_sketch(F.col(HASH))), seen
-
-
-def observed_keys(rows: DataFrame, seen: Observation) -> dict[int, int]:
-    found = seen.get
-    return _pieces(found["top"], found["n"], _partitions(rows)) if found.get("n") else {}
-
-
 def _known(keys: Sequence[Column | str]) -> Column:
     known = F.lit(True)
     for key in keys:
