@@ -25,6 +25,7 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null, empty and short texts fail the base rules and go; equal rows get the same verdict, each for itself; an empty table stays empty."""
     return outliers.keep_good(docs)
 
 
@@ -36,10 +37,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows alike in id and text one stays, of a group the smallest id, null ids last; texts without words have no near copies and stay; an empty
+    table stays empty. Where a text is shared by a chain of links, the whole chain is one group."""
     return jaccard.one_of_each(docs, join=jaccard.Join(words=5, percent=80))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without words weigh nothing and are taken by chance at their source's rate; equal rows are documents of their own; null sources are one source, the last; an empty table stays empty."""
     return mixing.mix_documents(docs)
 
 
