@@ -58,8 +58,42 @@ def test_empty_table(spark):
     assert linededup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_names_agree_with_the_lines_they_name(spark):
-    lines = spark.createDataFrame([(0, 0, 0, p, h, 1, p + 1) for p, h in enumerate([5, 6, 5, 6, 5, 7])], "uid long, doc_id long, seg long, pos int, h long, w int, ends long")
-    names = {r.pos: r.names for r in linededup.doubled_names(lines, 3).collect()}
-    assert names[0][:2] == names[2][:2] and names[0][2] != names[2][2] and names[1][1] == names[3][1] and names[5][1] is None
-    assert lines.agg(F.count("pos")).first()[0] == 6
+def test_ranks_are_the_order_of_suffixes(spark):
+    rng = random.Random(4)
+    rows = []
+    for uid in range(30):
+        size = rng.randrange(1, 20)
+        rows += [(uid, uid, 0, p, rng.choice([5, 6, 6, 7]), rng.choice([0, 0, 1]), 1, p + 1) for p in range(size)]
+    lines = spark.createDataFrame(rows, "uid long, doc_id long, seg long, pos int, h long, twin long, w int, ends long")
+    at = collections.defaultdict(dict)
+    for uid, _, _, p, h, twin, _, _ in rows:
+        at[uid][p] = (h, twin)
+    found = collections.defaultdict(dict)
+    for r in linededup.suffix_ranks(lines, 4).collect():
+        found[r.k][r.uid, r.pos] = r.rank
+    for k in range(4):
+        prefixes = {(u, p): tuple(at[u][q] for q in range(p, p + (1 << k))) for u in at for p in at[u] if p + (1 << k) - 1 in at[u]}
+        counts = collections.Counter(prefixes.values())
+        expected = {place: prefix for place, prefix in prefixes.items() if counts[prefix] > 1}
+        assert found[k].keys() == expected.keys()
+        order = {prefix: i for i, prefix in enumerate(sorted(set(expected.values())))}
+        ranks = {rank: i for i, rank in enumerate(sorted(set(found[k].values())))}
+        assert all(ranks[found[k][place]] == order[prefix] for place, prefix in expected.items())
+
+
+def test_different_lines_of_one_hash_stay_apart(spark):
+    rng = random.Random(5)
+    lines = ["a b", "b a", "a a", "b b", "  ", "   ", "c\tc", "c c"]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = deleted(texts, 4)
+    for hashed in (F.char_length, lambda line: F.lit(1)):
+        found = {r.row.doc_id: r for r in linededup.dedup_lines(docs, runs=linededup.Runs(4, hashed)).collect()}
+        assert [{p for c in found[i].copies for p in range(c.first, c.last + 1)} for i in range(len(texts))] == expected
+
+
+def test_lines_without_words_are_not_looked_up(spark):
+    docs = spark.createDataFrame([(i, "\n\nsome words here\n\n") for i in range(4)], "doc_id long, text string")
+    lines = linededup.written(linededup.line_table(docs, "doc_id", "doc_id", "text"), "lines")
+    kept = linededup.repeated_lines(lines)
+    assert kept.count() == 20 and kept.where("w = 0").count() == 16 and kept.where("twin <> 0").isEmpty()
