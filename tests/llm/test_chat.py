@@ -58,6 +58,26 @@ def test_windows_keep_to_the_budget(spark):
     assert all("[INST] system" in w.formatted for w in windows) and all(w.repeated >= 2 for w in windows[2:])
 
 
+def test_history_shrinks_beside_long_system_turns(spark):
+    rng = random.Random(9)
+    rows = [(-1, 0, "system", "w " * 900, "x", "y"), (-1, 1, "user", "w " * 100, "x", "y"), (-1, 2, "assistant", "w " * 100, "x", "y")]
+    for conv in range(60):
+        rows.append((conv, 0, "system", "w " * rng.choice([5, 300, 600, 900, 1_015, 1_500]), "x", "y"))
+        rows += [(conv, i, "assistant" if i % 2 == 0 else "user", "w " * rng.choice([3, 60, 120, 240, 700, 1_100]), "x", "y") for i in range(1, 9)]
+    windows = chat.format_windows(spark.createDataFrame(rows, SCHEMA))
+    over = 0
+    for w in windows.collect():
+        sizes = [len(piece.split("[/INST]")[1].split()) + 4 for piece in w.formatted.split("</s>")[:-1]]
+        if sum(sizes) > 1024:
+            over += 1
+            # the system turn and one other, or one turn alone
+            assert len(sizes) == 1 or len(sizes) == 2 and w.repeated == 1 and "[INST] system" in w.formatted
+    assert over > 0
+    first = sorted(windows.where("conv_id = -1").select("window", "repeated").collect())
+    assert [(r.window, r.repeated) for r in first] == [(0, 0), (1, 1), (2, 1)]
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(windows).collect()} == expected(rows)
+
+
 def test_escapes_hide_control_strings_and_are_undone(spark):
     rng = random.Random(8)
     texts = ["".join(rng.choice(PIECES) for _ in range(12)) for _ in range(300)]

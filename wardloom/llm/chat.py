@@ -2,7 +2,8 @@
 
 A conversation is cut, between turns, into spans whose tokens fit the budget. Each window shows the conversation's system turn, a
 limited number of turns before the span, and the span; only assistant texts of the span are under the loss mask, so every assistant
-text is trained on exactly once however often it is shown.
+text is trained on exactly once however often it is shown. Beside a long system turn, or a span that is one long turn, history shrinks, down to nothing: a
+window exceeds the budget only where the system turn and a single turn together do.
 
 Template of a turn: ``<s>[INST] role [/INST]text</s>``. Control strings inside roles and texts get a backslash after their first
 character, and those that already have backslashes there get one more, so that reading back is exact.
@@ -72,17 +73,17 @@ def _blocks(turns: DataFrame, names: Sequence[str], budget: Budget, tokens: Call
     return blocks.select("conv_id", "block", placed.alias("turns"))
 
 
-def _latest(turns: Column, budget: Budget) -> Column:
-    """The longest end of ``turns`` within the limits of history."""
+def _latest(turns: Column, budget: Budget, limit: Column) -> Column:
+    """The longest end of ``turns`` of at most ``limit`` tokens."""
     back = F.reverse(F.slice(turns, -F.least(F.size(turns), F.lit(budget.history_turns)), F.lit(budget.history_turns)))
     back = F.when(F.size(turns) > 0, back).otherwise(turns)
     fits = F.aggregate(
         back,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("used"), F.lit(True).alias("open")),
         lambda s, x: F.struct(
-            (s["n"] + (s["open"] & (s["used"] + x["tokens"] <= budget.history_tokens)).cast("int")).alias("n"),
+            (s["n"] + (s["open"] & (s["used"] + x["tokens"] <= limit)).cast("int")).alias("n"),
             (s["used"] + x["tokens"]).alias("used"),
-            (s["open"] & (s["used"] + x["tokens"] <= budget.history_tokens)).alias("open"),
+            (s["open"] & (s["used"] + x["tokens"] <= limit)).alias("open"),
         ),
         lambda s: s["n"],
     )
@@ -91,7 +92,8 @@ def _latest(turns: Column, budget: Budget) -> Column:
 
 def _starts(budget: Budget) -> Column:
     """Where spans begin: running sums of tokens, begun anew whenever the next turn would exceed what is left beside the rest."""
-    own = F.lit(budget.tokens - budget.history_tokens) - F.coalesce(F.col("system.tokens"), F.lit(0))
+    room = F.greatest(F.lit(budget.tokens) - F.coalesce(F.col("system.tokens"), F.lit(0)), F.lit(0))
+    own = room - F.least(F.lit(budget.history_tokens), F.floor(room / 2))  # history has at most half of what the system turn leaves
     step = F.aggregate(
         "turns",
         F.struct(F.lit(0).alias("i"), F.lit(0).alias("used"), F.array().cast("array<int>").alias("starts")),
@@ -115,7 +117,7 @@ def format_windows(turns: DataFrame, columns: Sequence[str] = ("conv_id", "turn"
     """
     blocks = written(_blocks(turns, columns, budget, tokens), "blocks")
     system = F.get(F.filter("turns", lambda x: x["role"] == "system"), F.lit(0))
-    ends = blocks.select("conv_id", "block", _latest(F.col("turns"), budget).alias("latest"), system.alias("system"))
+    ends = blocks.select("conv_id", "block", _latest(F.col("turns"), budget, F.lit(budget.history_tokens)).alias("latest"), system.alias("system"))
     in_order = Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_first())
     seen = F.first("system", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     heads = ends.select(
@@ -126,10 +128,11 @@ def format_windows(turns: DataFrame, columns: Sequence[str] = ("conv_id", "turn"
     rows = rows.withColumn("before", F.coalesce("before", F.slice("turns", 1, 0)))
     spans = rows.select("conv_id", "block", "turns", "before", "system", "starts", F.posexplode("starts").alias("window", "start"))
     until = F.coalesce(F.get("starts", F.col("window") + 1), F.size("turns"))
-    history = _latest(F.concat("before", F.slice("turns", F.lit(1), F.col("start"))), budget)
-    spans = spans.select(
-        "conv_id", "block", "window", "system", history.alias("history"), F.slice("turns", F.col("start") + 1, until - F.col("start")).alias("span")
-    )
+    earlier = F.concat("before", F.slice("turns", F.lit(1), F.col("start"))).alias("earlier")
+    spans = spans.select("conv_id", "block", "window", "system", earlier, F.slice("turns", F.col("start") + 1, until - F.col("start")).alias("span"))
+    taken = F.aggregate("span", F.coalesce(F.col("system.tokens"), F.lit(0)), lambda s, x: s + x["tokens"])
+    history = _latest(F.col("earlier"), budget, F.least(F.lit(budget.history_tokens), F.lit(budget.tokens) - taken))
+    spans = spans.withColumn("history", history).drop("earlier")
     at = F.struct(F.col("system.block"), F.col("system.i"))
     shown = F.exists(F.concat("history", "span"), lambda x: F.struct(x["block"], x["i"]).eqNullSafe(at))
     first = F.get("span", F.lit(0))
