@@ -15,7 +15,7 @@ from wardloom.operators import attach, codes, cohort, dataset, exclusions, hiera
 from wardloom.plans.run import Result, run
 from wardloom.sources import stage as stages
 from wardloom.sources import tables
-from wardloom.sources.stage import content_key, fingerprint, shared_folder, stage
+from wardloom.sources.stage import content_key, cut_lineage, fingerprint, shared_folder, stage
 from wardloom.sources.tables import read_categories, read_crosswalk, read_dictionary, read_table
 from wardloom.spec import (
     Band,
@@ -470,7 +470,7 @@ def skipped_stays(spark, d):
 
 def _written(spark, d) -> str:
     dest = f"{shared_folder(spark)}/dataset-{uuid.uuid4().hex}"
-    packed = packing.pack_stays(_cut(spark, d), EVENT_TOKENS, MAX_TOKENS)
+    packed = cut_lineage(packing.pack_stays(_cut(spark, d), EVENT_TOKENS, MAX_TOKENS))  # read for its stays and for its records
     labelled, classes = outcomes.label_final_acuity(outcomes.label_death_within(_cohort(spark, d), v.OBS, v.GAP, v.PRED))
     chosen = dataset.split_patients(dataset.keep_active(labelled, packed), SEEDS, VALID)
     chosen = chosen.withColumn("splits", F.array(*[f"split_{s}" for s in SEEDS]))

@@ -216,7 +216,7 @@ def vocab(spark: SparkSession, d: str) -> DataFrame:
 
 def token_events(spark: SparkSession, d: str) -> DataFrame:
     """Encoded events without a tokenizer: token ids, types and places follow from the event id."""
-    joined = ev(spark, d).select("stay_id", "event_id", "ts").join(compat(spark, d).select("stay_id", "intime"), "stay_id")
+    joined = ev(spark, d).select("stay_id", "event_id", "ts").join(raw_stays(spark, d).select("stay_id", "intime"), "stay_id")
     steps = F.sequence(F.lit(0), (F.col("event_id") % 6).cast("int"))
     spread = lambda base, factor, size: F.transform(
         steps, lambda i: (base + (F.col("event_id") * factor + i) % size).cast("int")

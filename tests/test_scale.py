@@ -1,6 +1,7 @@
 """What must hold when one key owns a large part of the rows, a span is a century long, a word has thousands of letters, or a run breaks off."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -211,6 +212,17 @@ def test_a_broken_write_leaves_the_old_set(spark, tmp_path):
     assert dataset.read_dataset(spark, dest).count() == 7
 
 
+@pytest.mark.parametrize("split", [None, "split_42"])
+def test_records_are_written_by_tasks_of_bounded_size(spark, tmp_path, monkeypatch, split):
+    """Tasks follow the number of records, not their bytes in a shuffle."""
+    monkeypatch.setattr(dataset, "RECORDS", 50)
+    dest = str(tmp_path / "set")
+    dataset.write_dataset(*_small_set(spark, 1500), dest, split=split)
+    written = dataset.read_dataset(spark, dest)
+    tasks = {re.search(r"part-(\d+)", r[0]).group(1) for r in written.select(F.input_file_name()).distinct().collect()}
+    assert written.count() == 1500 and len(tasks) >= 20
+
+
 def test_the_cohort_is_read_back_as_it_was(spark, tmp_path):
     dest = str(tmp_path / "set")
     packed, cohort = _small_set(spark, 20)

@@ -17,6 +17,7 @@ from wardloom.spec import Keys
 
 TIMES = ("intime", "outtime_min")
 MANIFEST = "manifest"
+RECORDS = 20_000  # of a file, and of a task that joins and sorts them
 EMPTY = "\u0001"  # what a quoted empty text is read as, before it is told apart from null
 
 
@@ -71,18 +72,21 @@ def write_dataset(
 
     Everything goes to a new version's folder; a row in the manifest, appended last, makes it the one that readers open. A run that breaks off before
     leaves the version before untouched and in use. Without ``split`` the Parquet is laid out by all split columns, so that file statistics let a reader of
-    any seed's split skip the rest; with it, it is partitioned by that column.
+    any seed's split skip the rest; with it, it is partitioned by that column. The cohort is written once on the way and counted, so that records meet
+    their labels in tasks of about ``RECORDS``, however well their padding shrinks in a shuffle. ``packed`` is read once.
     """
     spark = packed.sparkSession
+    cohort = cut_lineage(cohort)
+    parts = max(1, -(-cohort.count() // RECORDS))
     version = uuid.uuid4().hex
     home = f"{dest}/version={version}"
     labels = cohort.drop(*TIMES)
     times = [f.name for f in labels.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
-    records = packed.join(labels.drop(*times), keys.stay)
+    records = packed.repartition(parts, keys.stay).join(labels.drop(*times).repartition(parts, keys.stay), keys.stay)
     splits = sorted(c for c in records.columns if c.startswith("split_"))
     if split is None and splits:  # a split may own most rows, so ranges go on within it
-        records = records.repartitionByRange(*splits, keys.stay).sortWithinPartitions(*splits, keys.stay)
-    writer = records.write.option("maxRecordsPerFile", 20_000)
+        records = records.repartitionByRange(parts, *splits, keys.stay).sortWithinPartitions(*splits, keys.stay)
+    writer = records.write.option("maxRecordsPerFile", RECORDS)
     (writer.partitionBy(split) if split else writer).parquet(f"{home}/packed")
 
     flat = [
