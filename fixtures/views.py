@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardloom.functions.times import nearest_minute
+from wardloom.sources.stage import cut_lineage
 from wardloom.sources.tables import read_table
 from wardloom.spec import StayLayout
 
@@ -202,7 +203,7 @@ def vocab(spark: SparkSession, d: str) -> DataFrame:
     words = read_table(spark, d, "documents", partitions=cores(spark)).select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token")
     )
-    counted = words.groupBy("token").count()
+    counted = cut_lineage(words.groupBy("token").count())
     often = counted.where((F.length("token") > 1) & (F.col("count") >= 2)).select("token", F.lit(2).alias("k"))
     letters = counted.select(F.explode(F.filter(F.split("token", ""), lambda c: c != "")).alias("c")).distinct()
     all_tokens = reduce(

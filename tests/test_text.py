@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
 from wardloom.functions.vocabulary import check_vocabulary
+from wardloom.operators import tokens
 from wardloom.operators.tokens import encode_events, encode_texts, word_pieces
 from wardloom.operators.units import event_units
 from wardloom.spec import TokenIds
@@ -110,6 +111,23 @@ def test_null_texts_have_no_tokens_and_empty_ones_none(spark, vocab):
     assert [r.tokens and tuple(r.tokens) for r in encode_texts(df, vocab, "t").orderBy("i").collect()] == [None, ([], []), ([], [])]
 
 
+@pytest.mark.parametrize("most", [0, 6, 250_000])
+def test_words_that_are_not_sent_to_every_task_are_found_too(spark, vocab, monkeypatch, most):
+    monkeypatch.setattr(tokens, "MOST_WORDS", most)
+    texts = [*some_texts(), "dose 1.5 mg dose", "unaffable dose mgmg 0.25 x(x)", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts, None])], "i int, t string")
+    got = {r.i: r.tokens for r in encode_texts(df, vocab, "t").collect()}
+    assert [list(zip(got[i].ids, got[i].dpes)) for i in range(2 * len(texts))] == [tokens_of(t) for t in [*texts, *texts]]
+    assert got[2 * len(texts)] is None
+
+
+def test_unit_texts_are_not_taken_apart_and_regrouped(spark, vocab):
+    """The words of a text are looked up where it is: its last plan has no exchange, and holds the words once, as a value."""
+    df = spark.createDataFrame([(i, f"dose {i}.5 mg") for i in range(50)], "i int, t string")
+    text = encode_texts(df, vocab, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "_index" not in text.split("Subqueries")[0]
+
+
 def test_word_pieces_match_a_direct_loop(spark, vocab):
     rng = random.Random(7)
     words = ["".join(rng.choices("dosemgaxun", k=rng.randint(1, 9))) for _ in range(600)] + ["x" * 100, "x" * 101, "unaffable"]

@@ -1,4 +1,4 @@
-"""Word pieces of texts, and token arrays of events. Different texts are encoded once, different words cut once; rows look the result up."""
+"""Word pieces of texts, and token arrays of events. Different words are cut once, different values of events encoded once; rows look the result up."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.vocabulary import check_vocabulary, word_table
 from wardloom.functions.words import text_items, unit_items
-from wardloom.plans.hot import join_counted, join_hot
+from wardloom.plans.hot import join_counted, join_hot, least_count
 from wardloom.sources.stage import cut_lineage
 from wardloom.spec import TokenIds
 
@@ -46,6 +46,77 @@ def _with_tokens(texts: DataFrame, encoded: DataFrame, text: str) -> DataFrame:
     return join_counted(texts.withColumn("digest", _digest(F.col(text))), cut_lineage(encoded), "digest", "n", "left").drop("digest")
 
 
+MOST_WORDS = 250_000  # words that are sent to every task
+
+
+def _word_index(known: DataFrame, channels: Sequence[str]) -> Column:
+    """The rows of ``known`` (word, channels) by the hash of the word, as one value: a list of words for each of as many slots as there are words."""
+    slots = 1 << max(known.count() - 1, 0).bit_length()
+    slot = F.pmod(F.xxhash64("word"), F.lit(slots))
+    filled = known.groupBy(slot.alias("id")).agg(F.collect_list(F.struct("word", *channels)).alias("words"))
+    every = known.sparkSession.range(slots).join(filled, "id", "left").agg(F.sort_array(F.collect_list(F.struct("id", "words"))).alias("slots"))
+    return cut_lineage(every.select(F.col("slots.words").alias("slots"))).scalar()
+
+
+def _found(index: Column, word: Column) -> Column:
+    """The entry of ``word``, or null."""
+    return F.get(F.filter(F.get(index, F.pmod(F.xxhash64(word), F.size(index)).cast("int")), lambda entry: entry["word"] == word), 0)
+
+
+def name_items(
+    rows: DataFrame, vocab: DataFrame, tokens: TokenIds, max_word_chars: int | None = None, most_words: int | None = None
+) -> DataFrame:
+    """``rows`` with ``_items`` (words and numbers in order) replaced by ``_ids`` and ``_dpes``: for short texts, whose words are few.
+
+    Every different word is cut once. The words that occur most, at most ``most_words`` by the choice of the least count, are looked up where the row
+    is, and only the other words move: with their row and place, to their pieces and back.
+    """
+    channels = ["ids", "dpes"]
+    # read for the different words, and for the words at their places
+    rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    words = rows.select(F.explode("_items.word").alias("word"))
+    known = cut_lineage(word_table(words, check_vocabulary(vocab), tokens.unknown, max_word_chars))
+    least = least_count(known, "n", MOST_WORDS if most_words is None else most_words)
+    known = known.withColumn("dpes", F.array_repeat(F.lit(tokens.no_place), F.size("ids")))
+    index = _word_index(known.where(F.col("n") >= least).select("word", *channels), channels)
+
+    # a table that is read as a value may not be written inside a lambda, so it is a column, used once: the planner puts the value in its place
+    rows = rows.withColumn("_index", index)
+
+    def given(use: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array("_index"), use), 0)
+
+    def named(item: Column, pos: Column, words: Column) -> Column:
+        word = _found(words, item["word"])
+        return F.struct(pos.alias("pos"), item["word"].alias("word"), *[F.coalesce(item[c], word[c]).alias(c) for c in channels])
+
+    def flat(parts: Column) -> list[Column]:
+        return [F.flatten(parts[c]).alias(f"_{c}") for c in channels]
+
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("_items", "_row", "_index")]
+    found = given(lambda words: F.transform("_items", lambda item, pos: named(item, pos, words)))
+    if least == 1:
+        return rows.select(*kept, found.alias("_items")).select(*kept, *flat(F.col("_items")))
+    # looked up once, so written; the rows travel with their ids, not their words
+    rows = cut_lineage(rows.select("_row", *kept, found.alias("_items")))
+    seldom = rows.select("_row", F.filter("_items", lambda part: part["ids"].isNull()).alias("_left")).select("_row", F.inline("_left")).select("_row", "pos", "word")
+    others = seldom.join(known.where(F.col("n") < least).drop("n"), "word").groupBy("_row").agg(F.collect_list(F.struct("pos", *channels)).alias("_others"))
+    ready = F.transform(F.filter("_items", lambda part: part["ids"].isNotNull()), lambda part: F.struct(*[part[c].alias(c) for c in ("pos", *channels)]))
+    both = rows.select("_row", *kept, ready.alias("_items")).join(others, "_row", "left")
+    return both.select(*kept, *flat(F.when(F.col("_others").isNull(), F.col("_items")).otherwise(F.sort_array(F.concat("_items", "_others")))))
+
+
+def encode_values(
+    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None
+) -> DataFrame:
+    """(digest, ids, dpes, n) of the different texts of ``texts`` (text), each with its number of rows. ``items`` gives a text's words and numbers
+    in order."""
+    digested = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text")
+    once = digested.groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    found = name_items(once.select("digest", "n", items(F.col("text")).alias("_items")), vocab, tokens, max_word_chars)
+    return found.select("digest", F.col("_ids").alias("ids"), F.col("_dpes").alias("dpes"), "n")
+
+
 def word_pieces(
     texts: DataFrame,
     vocab: DataFrame,
@@ -72,8 +143,9 @@ def encode_texts(
     accents: bool = True,
 ) -> DataFrame:
     """Add the tokens of unit texts: a struct of ``ids`` and ``dpes``. A null text has none."""
-    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: unit_items(t, tokens, lower, accents), tokens, max_word_chars)
-    return _with_tokens(texts, found.select("digest", F.struct("ids", "dpes").alias(out), "n"), text)
+    found = name_items(texts.withColumn("_items", unit_items(F.col(text), tokens, lower, accents)), vocab, tokens, max_word_chars)
+    both = F.struct(F.col("_ids").alias("ids"), F.col("_dpes").alias("dpes"))
+    return found.withColumn(out, F.when(F.col("_ids").isNotNull(), both)).drop("_ids", "_dpes")
 
 
 def _names(heads: Sequence[tuple[str, Sequence[str]]], spark: SparkSession) -> DataFrame:
@@ -143,7 +215,7 @@ def encode_events(
     units = rows.select("_event", "table_no", F.explode("units").alias("u")).select("_event", "table_no", "u.pos", "u.value")
     units = cut_lineage(_described(units, dictionaries)) if dictionaries else units
     texts = units.select(F.col("value").alias("text")).unionByName(_names(heads, events.sparkSession))
-    encoded = cut_lineage(encode_distinct(texts, vocab, lambda t: unit_items(t, tokens, lower, accents), tokens, max_word_chars))
+    encoded = cut_lineage(encode_values(texts, vocab, lambda t: unit_items(t, tokens, lower, accents), tokens, max_word_chars))
     known = _heads(heads, encoded)
     valued = join_counted(units.withColumn("digest", _digest(F.col("value"))), encoded, "digest", "n")
     values = valued.groupBy("_event").agg(F.sort_array(F.collect_list(F.struct("pos", "ids", "dpes"))).alias("values"))
