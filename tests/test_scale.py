@@ -162,6 +162,21 @@ def test_a_start_asks_only_while_its_prefix_exists(spark):
     assert vocabulary.spans(words, vocab.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 20])
+def test_pieces_are_the_same_whichever_entries_are_sent(spark, monkeypatch, most):
+    monkeypatch.setattr(vocabulary, "MOST_ENTRIES", most)
+    test_pieces_equal_a_greedy_loop(spark, 5)
+
+
+def test_files_that_keep_the_tasks_busy_are_read_where_they_are(spark, tmp_path):
+    for name, files in (("many", 8), ("one", 1)):
+        spark.range(800).repartition(files).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, parts, dealt in (("many", 4, False), ("many", 64, True), ("one", 4, True)):
+        found = tables.read_table(spark, str(tmp_path), name, partitions=parts)
+        assert ("Exchange" in found._jdf.queryExecution().executedPlan().toString()) == dealt
+        assert found.count() == 800
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_pieces_equal_a_greedy_loop(spark, seed):
     rng = random.Random(seed)

@@ -128,6 +128,42 @@ def test_unit_texts_are_not_taken_apart_and_regrouped(spark, vocab):
     assert "Exchange" not in text and "_index" not in text.split("Subqueries")[0]
 
 
+def _some_long_texts():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("dosemgaxun", k=rng.randint(1, 9))) for _ in range(80)] + ["dose", "mg", "unaffable", "("]
+    texts = [" ".join(rng.choices(words, weights=[1 / (i + 1) for i in range(len(words))], k=n)) for n in (0, 1, 2, 40, 300, 1000)]
+    return [*texts, texts[4], texts[4], "qqq", "qqq qqq dose", "dose qqq", "dose dose", " \n\u00a0", ""]
+
+
+@pytest.mark.parametrize("most", [0, 6, 40, 250_000])
+def test_words_of_long_texts_that_are_not_sent_to_every_task_are_found_too(spark, vocab, most):
+    texts = _some_long_texts()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    rows = word_pieces(df, vocab, "t", most_words=most).collect()
+    assert sorted(r.i for r in rows) == list(range(len(texts) + 1)) and rows[0].__fields__ == ["i", "t", "ids"]
+    got = {r.i: r.ids for r in rows}
+    assert [got[i] for i in range(len(texts))] == [[x for w in re.findall(r"\(|[^(\s]+", t) for x in greedy(w)] for t in texts]
+    assert got[len(texts)] is None
+
+
+def test_long_texts_are_not_written_or_dealt_by_word(spark, vocab, monkeypatch):
+    """Tables written on the way hold words once and texts once, not a row for each word of each text."""
+    from wardloom.functions import vocabulary
+
+    written, write = [], tokens.cut_lineage
+
+    def counted(df):
+        out = write(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(tokens, "cut_lineage", counted)
+    monkeypatch.setattr(vocabulary, "cut_lineage", counted)
+    df = spark.range(60).select("id", F.concat_ws(" ", *[F.concat(F.lit("w"), (F.col("id") * 7 + k) % 97) for k in range(300)]).alias("t"))
+    assert word_pieces(df, vocab, "t").where("size(ids) = 300").count() == 60
+    assert max(written) < 1000
+
+
 def test_word_pieces_match_a_direct_loop(spark, vocab):
     rng = random.Random(7)
     words = ["".join(rng.choices("dosemgaxun", k=rng.randint(1, 9))) for _ in range(600)] + ["x" * 100, "x" * 101, "unaffable"]

@@ -61,11 +61,6 @@ def _word_item(word: Column) -> Column:
     return F.struct(word.alias("word"), none.alias("ids"), none.alias("dpes"))
 
 
-def text_items(text: Column, lower: bool = True, accents: bool = True) -> Column:
-    """A whole text as items: its words, in order."""
-    return F.transform(plain_words(normal(text, lower, accents)), _word_item).cast(f"array<{ITEM}>")
-
-
 def unit_items(text: Column, tokens: TokenIds, lower: bool = True, accents: bool = True) -> Column:
     """A unit text as items: decimals are rounded, then every number or run of dots is its digits and dots as tokens with their place
     codes, and everything else is words, for the vocabulary to name."""

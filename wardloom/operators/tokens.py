@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardloom.functions.vocabulary import check_vocabulary, word_table
-from wardloom.functions.words import text_items, unit_items
+from wardloom.functions.words import normal, plain_words, unit_items
 from wardloom.plans.hot import join_counted, join_hot, least_count
 from wardloom.sources.stage import cut_lineage
 from wardloom.spec import TokenIds
@@ -22,19 +22,18 @@ def _digest(text: Column) -> Column:
 
 
 def encode_distinct(
-    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None, places: bool = True
+    texts: DataFrame, vocab: DataFrame, items: Callable[[Column], Column], tokens: TokenIds, max_word_chars: int | None = None
 ) -> DataFrame:
-    """(digest, ids, dpes, n) of the different texts of ``texts`` (text), each with its number of rows; without ``places`` no dpes. ``items`` gives
-    a text's words and numbers in order. Frequent words find their ids without moving."""
-    channels = ["ids", "dpes"] if places else ["ids"]
+    """(digest, ids, dpes, n) of the different texts of ``texts`` (text), each with its number of rows. ``items`` gives a text's words and numbers in
+    order. Frequent words find their ids without moving."""
+    channels = ["ids", "dpes"]
     digested = texts.where("text IS NOT NULL").select(_digest(F.col("text")).alias("digest"), "text")
     once = digested.groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
     # read twice, for the different words and for the places they stand at
     listed = F.posexplode_outer(items(F.col("text"))).alias("pos", "item")
     placed = cut_lineage(once.select("digest", "n", listed).select("digest", "n", "pos", "item.word", *[f"item.{c}" for c in channels]))
     known = cut_lineage(word_table(placed.select("word"), check_vocabulary(vocab), tokens.unknown, max_word_chars)).withColumnRenamed("n", "times")
-    if places:
-        known = known.withColumn("dpes", F.array_repeat(F.lit(tokens.no_place), F.size("ids")))
+    known = known.withColumn("dpes", F.array_repeat(F.lit(tokens.no_place), F.size("ids")))
     # numbers need no vocabulary, so they do not travel to the words as one null key
     words = join_counted(placed.where("word IS NOT NULL").select("digest", "n", "pos", "word"), known, "word", "times").select("digest", "n", "pos", *channels)
     parts = words.unionByName(placed.where("word IS NULL").select("digest", "n", "pos", *channels))
@@ -42,10 +41,6 @@ def encode_distinct(
     return whole.select("digest", *[F.flatten(F.filter(F.col("p")[c], lambda x: x.isNotNull())).alias(c) for c in channels], "n")
 
 
-def _with_tokens(texts: DataFrame, encoded: DataFrame, text: str) -> DataFrame:
-    return join_counted(texts.withColumn("digest", _digest(F.col(text))), cut_lineage(encoded), "digest", "n", "left").drop("digest")
-
-
 MOST_WORDS = 250_000  # words that are sent to every task
 
 
@@ -63,6 +58,11 @@ def _found(index: Column, word: Column) -> Column:
     return F.get(F.filter(F.get(index, F.pmod(F.xxhash64(word), F.size(index)).cast("int")), lambda entry: entry["word"] == word), 0)
 
 
+def _given(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often it stands there."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def name_items(
     rows: DataFrame, vocab: DataFrame, tokens: TokenIds, max_word_chars: int | None = None, most_words: int | None = None
 ) -> DataFrame:
@@ -83,9 +83,6 @@ def name_items(
     # a table that is read as a value may not be written inside a lambda, so it is a column, used once: the planner puts the value in its place
     rows = rows.withColumn("_index", index)
 
-    def given(use: Callable[[Column], Column]) -> Column:
-        return F.get(F.transform(F.array("_index"), use), 0)
-
     def named(item: Column, pos: Column, words: Column) -> Column:
         word = _found(words, item["word"])
         return F.struct(pos.alias("pos"), item["word"].alias("word"), *[F.coalesce(item[c], word[c]).alias(c) for c in channels])
@@ -94,7 +91,7 @@ def name_items(
         return [F.flatten(parts[c]).alias(f"_{c}") for c in channels]
 
     kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("_items", "_row", "_index")]
-    found = given(lambda words: F.transform("_items", lambda item, pos: named(item, pos, words)))
+    found = _given(F.col("_index"), lambda words: F.transform("_items", lambda item, pos: named(item, pos, words)))
     if least == 1:
         return rows.select(*kept, found.alias("_items")).select(*kept, *flat(F.col("_items")))
     # looked up once, so written; the rows travel with their ids, not their words
@@ -106,6 +103,17 @@ def name_items(
     return both.select(*kept, *flat(F.when(F.col("_others").isNull(), F.col("_items")).otherwise(F.sort_array(F.concat("_items", "_others")))))
 
 
+def _filled(ids: Column, others: Column) -> Column:
+    """``ids`` with its nulls replaced by the lists ``others``, in order. Every run between two nulls is copied once."""
+
+    def fill(at):
+        first = F.slice(ids, F.lit(1), F.get(at, 0))
+        after = F.transform(others, lambda part, k: F.concat(part, F.slice(ids, F.get(at, k) + 2, F.coalesce(F.get(at, k + 1), F.size(ids)) - F.get(at, k) - 1)))
+        return F.flatten(F.concat(F.array(first), after))
+
+    return _given(F.filter(F.transform(ids, lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull()), fill)
+
+
 def word_pieces(
     texts: DataFrame,
     vocab: DataFrame,
@@ -115,10 +123,33 @@ def word_pieces(
     out: str = "ids",
     max_word_chars: int | None = None,
     accents: bool = True,
+    most_words: int | None = None,
 ) -> DataFrame:
-    """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids."""
-    found = encode_distinct(texts.select(F.col(text).alias("text")), vocab, lambda t: text_items(t, lower, accents), tokens, max_word_chars, places=False)
-    return _with_tokens(texts, found.select("digest", F.col("ids").alias(out), "n"), text)
+    """Add the vocabulary ids of whole texts; ``vocab`` is (token, id). A null text has null ids.
+
+    Every different word is cut once. The words that occur most, at most ``most_words`` by the choice of the least count, are looked up where the text
+    is. Only the other words move, with their text's digest and place, to their pieces and on to the texts, which are dealt by digest once. A text that stands
+    in as many rows as the least count says has no such word, so no digest that is asked for has many rows.
+    """
+    words, digest = plain_words(normal(F.col(text), lower, accents)), _digest(F.col(text))
+    known = cut_lineage(word_table(texts.select(F.explode(words).alias("word")), check_vocabulary(vocab), tokens.unknown, max_word_chars))
+    least = least_count(known, "n", MOST_WORDS if most_words is None else most_words)
+    often = known.where(F.col("n") >= least).select("word", "ids")
+    kept = [F.col(f"`{c}`") for c in texts.columns]
+    left = F.array(F.lit(None).cast("int"))  # no id is null, so it marks the place of a word that is not looked up here
+    found = _given(F.col("_index"), lambda index: F.flatten(F.transform(words, lambda word: F.coalesce(_found(index, word)["ids"], left))))
+    rows = texts.withColumn("_index", _word_index(often, ["ids"])).select(*kept, found.alias(out))
+    if least == 1:
+        return rows
+    placed = texts.select(digest.alias("_digest"), F.posexplode(words).alias("_pos", "word"))
+    seldom = placed.join(F.broadcast(often.select("word")), "word", "left_anti").join(known.where(F.col("n") < least).select("word", "ids"), "word")
+    # equal texts bring equal rows
+    others = seldom.groupBy("_digest").agg(F.sort_array(F.collect_set(F.struct("_pos", "ids"))).alias("_others")).select("_digest", F.col("_others.ids").alias("_others"))
+    # texts that ask for nothing are dealt by a key of their own, which is no digest
+    key = F.when(F.exists(out, lambda x: x.isNull()), digest).otherwise(F.unhex(F.hex(F.monotonically_increasing_id())))
+    both = rows.withColumn("_digest", key).join(others, "_digest", "left")
+    whole = F.when(F.col("_others").isNull(), F.col(out)).otherwise(_filled(F.col(out), F.col("_others")))
+    return both.select(*kept, whole.alias(out))
 
 
 def encode_texts(

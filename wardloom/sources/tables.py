@@ -29,10 +29,11 @@ def read_table(
     """Scan one table. CSV columns are strings unless ``schema`` types some of them; names follow the header.
 
     A typed CSV column is converted with a tolerant cast, so an unreadable value is null instead of an error. ``partitions`` deals the rows out anew:
-    for scans that do not split (compressed CSV, single row groups) before much work per row.
+    for scans that do not split (compressed CSV, single row groups) before much work per row. Files that keep as many tasks busy are read where they are.
     """
-    df = _scan(spark, find_table(spark, root, name))
-    if partitions is not None:
+    path = find_table(spark, root, name)
+    df = _scan(spark, path)
+    if partitions is not None and not _spread(spark, path, partitions):
         df = df.repartition(partitions)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if wanted is None:
@@ -41,6 +42,13 @@ def read_table(
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def _spread(spark: SparkSession, path: str, parts: int) -> bool:
+    """Whether no file of the table holds more than its share of ``parts`` parts."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    sizes = [f.getLen() for f in named.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(named) if f.isFile()]
+    return sum(sizes) >= parts * max(sizes, default=0) > 0
+
+
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
