@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardloom.functions.numbers import digit_places, round_decimals, space_digits
+from wardloom.functions import words
 from wardloom.functions.vocabulary import check_vocabulary
 from wardloom.operators import tokens
 from wardloom.operators.tokens import encode_events, encode_texts, word_pieces
@@ -132,7 +133,7 @@ def _some_long_texts():
     rng = random.Random(3)
     words = ["".join(rng.choices("dosemgaxun", k=rng.randint(1, 9))) for _ in range(80)] + ["dose", "mg", "unaffable", "("]
     texts = [" ".join(rng.choices(words, weights=[1 / (i + 1) for i in range(len(words))], k=n)) for n in (0, 1, 2, 40, 300, 1000)]
-    return [*texts, texts[4], texts[4], "qqq", "qqq qqq dose", "dose qqq", "dose dose", " \n\u00a0", ""]
+    return [*texts, texts[4], texts[4], "qqq", "qqq qqq dose", "dose qqq", "do\u00adse\n\u200bmg \u200b qq\x0bq", " \n\u00a0", ""]
 
 
 @pytest.mark.parametrize("most", [0, 6, 40, 250_000])
@@ -142,7 +143,7 @@ def test_words_of_long_texts_that_are_not_sent_to_every_task_are_found_too(spark
     rows = word_pieces(df, vocab, "t", most_words=most).collect()
     assert sorted(r.i for r in rows) == list(range(len(texts) + 1)) and rows[0].__fields__ == ["i", "t", "ids"]
     got = {r.i: r.ids for r in rows}
-    assert [got[i] for i in range(len(texts))] == [[x for w in re.findall(r"\(|[^(\s]+", t) for x in greedy(w)] for t in texts]
+    assert [got[i] for i in range(len(texts))] == [[x for w in re.findall(r"\(|[^(\s]+", re.sub("[\u00ad\u200b\x0b]", "", t)) for x in greedy(w)] for t in texts]
     assert got[len(texts)] is None
 
 
@@ -172,6 +173,15 @@ def test_word_pieces_match_a_direct_loop(spark, vocab):
     assert [got[i] for i in range(len(words))] == [greedy(w) for w in words]
 
 
+def test_words_between_blanks_are_the_plain_words(spark):
+    rng = random.Random(11)
+    odd = [*"abzAZ09 .,;$+<=>^`|~_-'\"()[]{}\\#@\t\n\r\x0b\x0c\x00\x1f\x7f\x85\xa0\xad\u1680\u2028\u200b\ufeff\ufffd\u3000\u3400\u33ff\u4e00\u9fff\ua000\uf900\u2014\u00bf\u00d7\u00e9\u0301"]
+    odd += ["\U00020000", "\U0002fa1f", "\U0002fa20", "\U0001f600", "ß", "word", "日本語"]
+    texts = ["".join(rng.choices(odd, k=rng.randint(0, 40))) for _ in range(600)]
+    parts = run(spark, texts, lambda t: F.transform(F.split(words.spaced_words(t), " "), words.cleaned))
+    assert [[p for p in r if p] for r in parts] == run(spark, texts, words.plain_words)
+
+
 def test_case_is_kept_on_request(spark, vocab):
     df = spark.createDataFrame([("Dose dose",)], "t string")
     assert word_pieces(df, vocab, "t", lower=False).first().ids == [100, IDS["dose"]]

@@ -1,0 +1,92 @@
+"""Words of whole texts in Arrow batches: texts whose words stand between blanks are split, counted and looked up without a row for each word."""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+SLICE = 4 << 20  # bytes of text that are split at a time; what is made of them takes several times as much
+
+
+def _slices(rows: pa.RecordBatch | pa.Array) -> list:
+    """``rows`` cut so that each part has about ``SLICE`` bytes, or a single row."""
+    step = max(1, len(rows) * SLICE // max(rows.nbytes, 1))
+    return [rows.slice(i, step) for i in range(0, len(rows), step)]
+
+
+def counted_words(texts: DataFrame) -> DataFrame:
+    """(word, n) of the different words of ``texts`` (one column), counted in every batch before they move."""
+
+    def counted(batches):
+        for batch in batches:
+            found = [pc.value_counts(pc.list_flatten(pc.split_pattern(part, " "))).flatten() for part in _slices(batch.column(0))]
+            words = pa.concat_tables([pa.table(part, ["word", "n"]) for part in found or [[pa.array([], pa.string()), pa.array([], pa.int64())]]])
+            total = words.filter(pc.not_equal(words["word"], "")).group_by("word").aggregate([("n", "sum")])
+            yield from total.rename_columns({"n_sum": "n"}).select(["word", "n"]).combine_chunks().to_batches()
+
+    return texts.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class WordIndex(NamedTuple):
+    """Words, and where the ids of each begin in ``ids`` and how many there are. Two more places: the empty word has no ids, and a word that is not here has one."""
+
+    words: pa.Array
+    start: np.ndarray
+    size: np.ndarray
+    ids: np.ndarray
+
+
+def word_index(known: DataFrame) -> WordIndex:
+    """``known`` (word, ids), few rows, as arrays."""
+    table = known.select("word", "ids").toArrow()
+    ids = pa.chunked_array(table["ids"].chunks, pa.list_(pa.int32())).combine_chunks()
+    size = np.append(pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64), [0, 1])
+    words = pa.chunked_array([*table["word"].cast(pa.string()).chunks, pa.array([""])]).combine_chunks()
+    return WordIndex(words, np.cumsum(size) - size, size, np.append(pc.list_flatten(ids).to_numpy(zero_copy_only=False), 0).astype(np.int32))
+
+
+def ids_of(text: Column, index: WordIndex) -> Column:
+    """``ids`` of a text's words, one after another, with a null for a word that the index does not hold, and ``left``: where these nulls are, from 0."""
+    words, start, size, ids = index
+
+    def whole(texts: pa.Array) -> pa.Array:
+        listed = pc.split_pattern(texts, " ")
+        at = pc.fill_null(pc.index_in(pc.list_flatten(listed), value_set=words), len(words)).to_numpy()
+        n = size[at]
+        ends = np.append(0, np.cumsum(n))
+        unknown = np.repeat(at == len(words), n)
+        found = pa.array(ids[np.arange(ends[-1]) + np.repeat(start[at] - ends[:-1], n)], mask=unknown)
+        bounds = ends[np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(listed), 0).to_numpy()))]  # where the ids of each text begin
+        nulls = np.flatnonzero(unknown)
+        parts = np.searchsorted(nulls, bounds)
+        left = (nulls - np.repeat(bounds[:-1], np.diff(parts))).astype(np.int32)
+        listed_ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), found, mask=pc.is_null(texts))
+        return pa.StructArray.from_arrays([listed_ids, pa.ListArray.from_arrays(pa.array(parts.astype(np.int32)), pa.array(left))], ["ids", "left"])
+
+    def looked_up(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([whole(part) for part in _slices(texts)] or [whole(texts)])
+
+    return F.arrow_udf(looked_up, "ids array<int>, left array<int>")(text)
+
+
+def other_words(texts: DataFrame, index: WordIndex) -> DataFrame:
+    """(key, pos, word) of the words of ``texts`` (key, text) that the index does not hold; ``pos`` grows along the text."""
+    words = index.words
+
+    def others(batches):
+        for batch in (part for rows in batches for part in _slices(rows)):
+            listed = pc.split_pattern(batch.column(1), " ")
+            flat = pc.list_flatten(listed)
+            places = np.flatnonzero(pc.is_null(pc.index_in(flat, value_set=words)).to_numpy(zero_copy_only=False))
+            row = pc.list_parent_indices(listed).to_numpy()[places]
+            size = pc.fill_null(pc.list_value_length(listed), 0).to_numpy().astype(np.int64)
+            pos = places - (np.cumsum(size) - size)[row]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(pos.astype(np.int32)), flat.take(pa.array(places))], ["key", "pos", "word"])
+
+    return texts.mapInArrow(others, f"key {texts.schema[0].dataType.simpleString()}, pos int, word string")

@@ -91,14 +91,18 @@ def _matches(open_words: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def word_table(words: DataFrame, entries: DataFrame, unknown: int, max_word_chars: int | None = None) -> DataFrame:
-    """(word, ids, n) of the distinct words of ``words`` (word), each with its number of rows: the longest entry first, then the longest continuation,
-    and so on.
+    """(word, ids, n) of the distinct words of ``words`` (word), each with its number of rows; their pieces as in ``counted_word_table``."""
+    distinct = words.select("word").where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counted_word_table(distinct, entries, unknown, max_word_chars)
+
+
+def counted_word_table(distinct: DataFrame, entries: DataFrame, unknown: int, max_word_chars: int | None = None) -> DataFrame:
+    """``distinct`` (word, n, and what else a word has) with ids: the longest entry first, then the longest continuation, and so on.
 
     A word that cannot be finished this way is the unknown id; with ``max_word_chars`` also one that is longer and no entry itself. Spans of words meet the
     vocabulary in equality joins by length, and a word's spans are combined in the tasks before they move; neither side reaches the driver, but for entries of lengths
     that are few.
     """
-    distinct = words.select("word").where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     joined = distinct.join(entries.select(F.col("token").alias("word"), "id"), "word", "left")
     whole = cut_lineage(joined.withColumn("key", F.monotonically_increasing_id()))  # written, so a word keeps its key
     open_ = whole.where("id IS NULL" if max_word_chars is None else f"id IS NULL AND length(word) <= {int(max_word_chars)}").select("key", "word")
@@ -106,4 +110,4 @@ def word_table(words: DataFrame, entries: DataFrame, unknown: int, max_word_char
     steps = _matches(open_, entries).groupBy("key").agg(F.sort_array(F.collect_list(step)).alias("steps"))
     walked = F.coalesce(_walk(F.length("word"), F.col("steps")), F.array(F.lit(unknown)))
     ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(walked)
-    return whole.join(steps, "key", "left").select("word", ids.alias("ids"), "n")
+    return whole.join(steps, "key", "left").select("word", ids.alias("ids"), *distinct.columns[1:])

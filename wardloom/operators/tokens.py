@@ -7,8 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.functions.vocabulary import check_vocabulary, word_table
-from wardloom.functions.words import normal, plain_words, unit_items
+from wardloom.functions.batches import counted_words, ids_of, other_words, word_index
+from wardloom.functions.vocabulary import check_vocabulary, counted_word_table, word_table
+from wardloom.functions.words import cleaned, normal, spaced_words, unit_items
 from wardloom.plans.hot import join_counted, join_hot, least_count
 from wardloom.sources.stage import cut_lineage
 from wardloom.spec import TokenIds
@@ -103,15 +104,14 @@ def name_items(
     return both.select(*kept, *flat(F.when(F.col("_others").isNull(), F.col("_items")).otherwise(F.sort_array(F.concat("_items", "_others")))))
 
 
-def _filled(ids: Column, others: Column) -> Column:
-    """``ids`` with its nulls replaced by the lists ``others``, in order. Every run between two nulls is copied once."""
+def _filled(ids: Column, left: Column, others: Column) -> Column:
+    """``ids`` with its nulls, at the places ``left``, replaced by the lists ``others``, in order. Every run between two nulls is copied once."""
 
-    def fill(at):
-        first = F.slice(ids, F.lit(1), F.get(at, 0))
-        after = F.transform(others, lambda part, k: F.concat(part, F.slice(ids, F.get(at, k) + 2, F.coalesce(F.get(at, k + 1), F.size(ids)) - F.get(at, k) - 1)))
-        return F.flatten(F.concat(F.array(first), after))
+    def more(part, k):
+        after = F.get(left, k)
+        return F.concat(part, F.slice(ids, after + 2, F.coalesce(F.get(left, k + 1), F.size(ids)) - after - 1))
 
-    return _given(F.filter(F.transform(ids, lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull()), fill)
+    return F.flatten(F.concat(F.array(F.slice(ids, F.lit(1), F.get(left, 0))), F.transform(others, more)))
 
 
 def word_pieces(
@@ -131,25 +131,25 @@ def word_pieces(
     is. Only the other words move, with their text's digest and place, to their pieces and on to the texts, which are dealt by digest once. A text that stands
     in as many rows as the least count says has no such word, so no digest that is asked for has many rows.
     """
-    words, digest = plain_words(normal(F.col(text), lower, accents)), _digest(F.col(text))
-    known = cut_lineage(word_table(texts.select(F.explode(words).alias("word")), check_vocabulary(vocab), tokens.unknown, max_word_chars))
+    words, digest = spaced_words(normal(F.col(text), lower, accents)), _digest(F.col(text))
+    counted = counted_words(texts.select(words.alias("text"))).select(cleaned(F.col("word")).alias("word"), "n", F.col("word").alias("spelled"))
+    pieces = counted_word_table(counted, check_vocabulary(vocab), tokens.unknown, max_word_chars)
+    known = cut_lineage(pieces.select(F.col("spelled").alias("word"), F.when(F.col("word") == "", F.array().cast("array<int>")).otherwise(F.col("ids")).alias("ids"), "n"))
     least = least_count(known, "n", MOST_WORDS if most_words is None else most_words)
-    often = known.where(F.col("n") >= least).select("word", "ids")
+    index = word_index(known.where(F.col("n") >= least))
     kept = [F.col(f"`{c}`") for c in texts.columns]
-    left = F.array(F.lit(None).cast("int"))  # no id is null, so it marks the place of a word that is not looked up here
-    found = _given(F.col("_index"), lambda index: F.flatten(F.transform(words, lambda word: F.coalesce(_found(index, word)["ids"], left))))
-    rows = texts.withColumn("_index", _word_index(often, ["ids"])).select(*kept, found.alias(out))
+    # no id is null, so a null stands for a word that is not looked up here
+    rows = texts.withColumn("_found", ids_of(words, index))
     if least == 1:
-        return rows
-    placed = texts.select(digest.alias("_digest"), F.posexplode(words).alias("_pos", "word"))
-    seldom = placed.join(F.broadcast(often.select("word")), "word", "left_anti").join(known.where(F.col("n") < least).select("word", "ids"), "word")
+        return rows.select(*kept, F.col("_found.ids").alias(out))
+    seldom = other_words(texts.select(digest.alias("_digest"), words.alias("text")), index).join(known.where(F.col("n") < least).select("word", "ids"), "word")
     # equal texts bring equal rows
-    others = seldom.groupBy("_digest").agg(F.sort_array(F.collect_set(F.struct("_pos", "ids"))).alias("_others")).select("_digest", F.col("_others.ids").alias("_others"))
+    others = seldom.groupBy(F.col("key").alias("_digest")).agg(F.sort_array(F.collect_set(F.struct("pos", "ids"))).alias("_others")).select("_digest", F.col("_others.ids").alias("_others"))
     # texts that ask for nothing are dealt by a key of their own, which is no digest
-    key = F.when(F.exists(out, lambda x: x.isNull()), digest).otherwise(F.unhex(F.hex(F.monotonically_increasing_id())))
+    key = F.when(F.size("_found.left") > 0, digest).otherwise(F.unhex(F.hex(F.monotonically_increasing_id())))
     both = rows.withColumn("_digest", key).join(others, "_digest", "left")
-    whole = F.when(F.col("_others").isNull(), F.col(out)).otherwise(_filled(F.col(out), F.col("_others")))
-    return both.select(*kept, whole.alias(out))
+    ids = F.col("_found.ids")
+    return both.select(*kept, F.when(F.col("_others").isNull(), ids).otherwise(_filled(ids, F.col("_found.left"), F.col("_others"))).alias(out))
 
 
 def encode_texts(
