@@ -53,18 +53,6 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, REMOVED, ""), F.lit(WORD), F.lit(0))
 
 
-def spaced_words(text: Column) -> Column:
-    """``text`` with blanks around its marks, ideographs and other white space, in one scan: ``cleaned`` parts between blanks, but for empty ones, are
-    what ``plain_words`` lists. White space that is removed divides nothing."""
-    # most letters are told from ideographs by the first and last of them
-    return F.regexp_replace(text, rf"[\p{{Punct}}\p{{P}}{SPACE}[\x{{3400}}-\x{{2FA1F}}&&[{IDEOGRAPHS}]]&&[^ \x0B\f]]", " $0 ")
-
-
-def cleaned(word: Column) -> Column:
-    """A part of ``spaced_words`` without removed characters; nothing of white space is left."""
-    return F.regexp_replace(word, rf"{REMOVED}|[{SPACE}]", "")
-
-
 ITEM = "struct<word:string,ids:array<int>,dpes:array<int>>"
 
 
