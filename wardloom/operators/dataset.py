@@ -85,7 +85,8 @@ def write_dataset(
     records = packed.repartition(parts, keys.stay).join(labels.drop(*times).repartition(parts, keys.stay), keys.stay)
     splits = sorted(c for c in records.columns if c.startswith("split_"))
     if split is None and splits:  # a split may own most rows, so ranges go on within it
-        records = records.repartitionByRange(parts, *splits, keys.stay).sortWithinPartitions(*splits, keys.stay)
+        # in some ranges at least for each seed, or a small set would be one file of which nothing can be skipped
+        records = records.repartitionByRange(max(parts, 4 * len(splits)), *splits, keys.stay).sortWithinPartitions(*splits, keys.stay)
     writer = records.write.option("maxRecordsPerFile", RECORDS)
     (writer.partitionBy(split) if split else writer).parquet(f"{home}/packed")
 
